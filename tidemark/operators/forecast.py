@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import ordered
 from tidemark.operators.ordered import HOURLY, POS, Layout
+from tidemark.session import materialize
 
 
 @dataclass(frozen=True)
@@ -127,3 +128,193 @@ def seasonal_naive_forecast(split: DataFrame, column: str = "close", s: int = 5)
         base = F.when(r == rr, F.col(f"_y{s - rr}")).otherwise(base)
     return test.select("series", "bar_ts", F.col(column).alias("actual"),
                        (base + k.cast("double") * z).alias("predicted"))
+
+
+# ------------------------------------------------------------------ fitting
+
+_SOLVE_SCHEMA = "series string, beta array<double>, sigma2 double, n long"
+RIDGE = 1e-8
+
+
+def normal_equations(df: DataFrame, xcols: Sequence[str], y: str) -> DataFrame:
+    """Long cross-product sums of z = x ++ [y] per series: (series, i, j, s, n).
+
+    Each row emits its (k+1)(k+2)/2 products as one generated array of
+    structs (plain codegen expressions); a partial aggregation reduces them
+    per task before the shuffle."""
+    z = [F.col(c) for c in xcols] + [F.col(y)]
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                               (z[i] * z[j]).alias("p"))
+                      for i in range(len(z)) for j in range(i, len(z))])
+    return (df.select("series", F.explode(pairs).alias("q")).select("series", "q.*")
+            .groupBy("series", "i", "j").agg(F.sum("p").alias("s"),
+                                            F.count(F.lit(1)).alias("n")))
+
+
+def _solve(pdf: pd.DataFrame) -> pd.DataFrame:
+    """k x k least squares from one series' cross-product sums (tiny input)."""
+    k = int(pdf["j"].max())
+    m = np.zeros((k + 1, k + 1))
+    m[pdf["i"].to_numpy(), pdf["j"].to_numpy()] = pdf["s"].to_numpy()
+    m = m + np.triu(m, 1).T
+    xtx, xty, yty = m[:k, :k], m[:k, k], m[k, k]
+    n = int(pdf["n"].iloc[0])
+    ridge = RIDGE * max(np.trace(xtx) / max(k, 1), 1e-300)
+    beta = np.linalg.solve(xtx + ridge * np.eye(k), xty) if k else np.zeros(0)
+    sse = float(yty - 2 * beta @ xty + beta @ xtx @ beta)
+    return pd.DataFrame({"series": [pdf["series"].iloc[0]], "beta": [beta.tolist()],
+                         "sigma2": [max(sse, 0.0) / max(n, 1)], "n": [n]})
+
+
+def least_squares(design: DataFrame, xcols: Sequence[str], y: str) -> DataFrame:
+    """Per-series OLS of y on the columns xcols: (series, beta, sigma2, n)."""
+    return normal_equations(design, xcols, y).groupBy("series").applyInPandas(
+        _solve, _SOLVE_SCHEMA)
+
+
+def _dot(coefs: str, values: str):
+    """sum(coefs[i] * values[i]) as a JVM expression."""
+    return F.aggregate(F.zip_with(F.col(coefs), F.col(values), lambda a, b: a * b),
+                       F.lit(0.0), lambda acc, v: acc + v)
+
+
+def _complete(cols: list[str]):
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return cond
+
+
+def sarima_fit(split: DataFrame, column: str = "close", order: Order = ORDER_A,
+               long_ar: int = LONG_AR, layout: Layout = HOURLY):
+    """Hannan-Rissanen fit on the train rows of each series.
+
+    Input: ``chrono_split(bars, keep_pos=True)``.  Returns (model, frame):
+    model = (series, ar array, ma array, sigma2, n) with coefficients on
+    ``order.ar_lags()`` / ``order.ma_lags()`` of the differenced series;
+    frame = train rows with y, w (differenced) and stage-2 residuals ``e``.
+    """
+    ar, ma = order.ar_lags(), order.ma_lags()
+    base = split.filter(F.col("split") == "train").select(
+        "series", "bar_ts", F.col(column).cast("double").alias("y"))
+    w = seasonal_difference(base, "y", order, layout, out="w")
+    d1 = lag_design(w, "w", range(1, long_ar + 1), layout, prefix="lw")
+    lcols = [f"lw{k}" for k in range(1, long_ar + 1)]
+    d1 = d1.withColumn("_x1", F.array(*[F.col(c) for c in lcols]))
+    stage1 = materialize(least_squares(d1.filter(_complete(["w"] + lcols)), lcols, "w"))
+    resid = d1.join(stage1.select("series", F.col("beta").alias("_b1")), "series", "left").withColumn(
+        "e1", F.when(_complete(["w"] + lcols), F.col("w") - _dot("_b1", "_x1")))
+    resid = resid.select("series", "bar_ts", "y", "w", "e1")
+    lagcols = {f"aw{k}": ("w", k) for k in ar} | {f"ae{k}": ("e1", k) for k in ma}
+    halo = max(k for _, k in lagcols.values())
+
+    def build(f, wdw):
+        return f.withColumns({n: F.lag(c, k).over(wdw) for n, (c, k) in lagcols.items()})
+    d2 = ordered.run_windows(resid, build, halo, layout, keep_pos=True)
+    d2 = d2.withColumn("_x2", F.array(*[F.col(c) for c in lagcols]))
+    ok2 = _complete(["w"] + list(lagcols))
+    stage2 = materialize(least_squares(d2.filter(ok2), list(lagcols), "w"))
+    na = len(ar)
+    model = stage2.select("series", F.slice("beta", 1, na).alias("ar"),
+                          F.slice("beta", na + 1, len(ma)).alias("ma") if ma else
+                          F.array().cast("array<double>").alias("ma"), "sigma2", "n")
+    frame = d2.join(stage2.select("series", F.col("beta").alias("_b2")), "series", "left") \
+        .withColumn("e", F.when(ok2, F.col("w") - _dot("_b2", "_x2")).otherwise(F.lit(0.0))) \
+        .select("series", "bar_ts", POS, "y", "w", "e")
+    return model, frame
+
+
+def _full_ar(order: Order, ar: Sequence[float]) -> np.ndarray:
+    """Coefficients a_1..a_P of y_t = sum a_j y_{t-j} + MA terms + e_t."""
+    phi = np.zeros(max(order.ar_lags() or [0]) + 1)
+    phi[0] = 1.0
+    for lag, c in zip(order.ar_lags(), ar):
+        phi[lag] -= c
+    diff = np.zeros(max(order.diff_lags() or [0]) + 1)
+    diff[0] = 1.0
+    for lag, c in order.diff_lags().items():
+        diff[lag] = c
+    total = np.convolve(phi, diff)
+    return -total[1:]
+
+
+def _companion(a: np.ndarray, theta_lags: Sequence[int], theta: Sequence[float]):
+    P = max(len(a), 1)
+    Q = max(theta_lags or [0])
+    k = P + Q
+    A = np.zeros((k, k))
+    A[0, :len(a)] = a
+    for lag, c in zip(theta_lags, theta):
+        A[0, P + lag - 1] = c
+    for r in range(1, P):
+        A[r, r - 1] = 1.0
+    for r in range(P + 1, P + Q):
+        A[r, r - 1] = 1.0
+    b = np.zeros(k)
+    b[0] = 1.0
+    if Q:
+        b[P] = 1.0
+    return A, b, P, Q
+
+
+def _power_and_sum(A: np.ndarray, M: np.ndarray, h: int):
+    """(A^h, sum_{j<h} A^j M A'^j) by binary doubling."""
+    k = A.shape[0]
+    Pm, Sm = np.eye(k), np.zeros((k, k))
+    for bit in bin(h)[2:]:
+        Sm = Sm + Pm @ Sm @ Pm.T
+        Pm = Pm @ Pm
+        if bit == "1":
+            Sm = M + A @ Sm @ A.T
+            Pm = A @ Pm
+    return Pm, Sm
+
+
+FORECAST_SCHEMA = ("series string, bar_ts timestamp_ntz, actual double, predicted double, "
+                   "lower double, upper double")
+
+
+def sarima_forecast(split: DataFrame, column: str = "close", order: Order = ORDER_A,
+                    long_ar: int = LONG_AR, layout: Layout = HOURLY, log: bool = False) -> DataFrame:
+    """F4 + F5 (+ F6 with ``log``): point forecast and 95 % interval for every
+    test row, h = steps after the last train row.
+
+    The per-series state (last P values, last Q residuals, coefficients) is
+    a few dozen numbers; each test row computes A^h s and the interval sum
+    by doubling in ``mapInPandas`` — rows of one series spread over tasks."""
+    src = materialize(split.withColumn(column, F.log(column)) if log else split)
+    model, frame = sarima_fit(src, column, order, long_ar, layout)
+    depth = len(_full_ar(order, [0.0] * len(order.ar_lags()))) + max(order.ma_lags() or [0])
+    end = src.filter(F.col("split") == "train").groupBy("series").agg(F.max(POS).alias("_T"))
+    tail = frame.join(end, "series").filter(F.col(POS) > F.col("_T") - depth)
+    state = tail.groupBy("series").agg(
+        F.sort_array(F.collect_list(F.struct(POS, "y", "e")), asc=False).alias("_st"))
+    test = (src.filter(F.col("split") == "test")
+            .select("series", "bar_ts", POS, F.col(column).cast("double").alias("actual"))
+            .join(end, "series").join(state, "series").join(model, "series")
+            .select("series", "bar_ts", "actual", (F.col(POS) - F.col("_T")).alias("h"),
+                    F.col("_st").alias("state"), "ar", "ma", "sigma2"))
+    ma_lags = order.ma_lags()
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                a = _full_ar(order, row.ar)
+                A, b, P, Q = _companion(a, ma_lags, row.ma)
+                ys = [s["y"] for s in row.state]
+                es = [s["e"] for s in row.state]
+                st = np.zeros(P + Q)
+                st[:min(P, len(ys))] = ys[:P]
+                st[P:P + min(Q, len(es))] = es[:Q]
+                Ph, Sh = _power_and_sum(A, np.outer(b, b), int(row.h))
+                mean = float((Ph @ st)[0])
+                half = Z95 * np.sqrt(max(row.sigma2, 0.0) * Sh[0, 0])
+                out.append((row.series, row.bar_ts, row.actual, mean, mean - half, mean + half))
+            res = pd.DataFrame(out, columns=["series", "bar_ts", "actual", "predicted", "lower",
+                                             "upper"])
+            if log:
+                res[["actual", "predicted", "lower", "upper"]] = np.exp(
+                    res[["actual", "predicted", "lower", "upper"]])
+            yield res
+    return test.mapInPandas(run, FORECAST_SCHEMA)

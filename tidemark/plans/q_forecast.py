@@ -1 +1,87 @@
-"""Registered queries (filled in progressively)."""
+"""Registered forecasting queries (F1-F7) on the hourly event bars."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import forecast as fc
+from tidemark.operators import mlprep as mp
+from tidemark.plans import fixtures as fx
+from tidemark.plans import sqlparts as q
+from tidemark.plans.catalog import finish, register
+
+W = q.w()
+BD = ["open", "high", "low", "close"]
+_DIFF = (f"close + (-1.0) * lag(close, 1) {W} + (-1.0) * lag(close, 5) {W} + "
+         f"1.0 * lag(close, 6) {W}")
+
+
+def _split(spark, sf):
+    return mp.chrono_split(fx.bars_hourly(spark, sf), keep_pos=True)
+
+
+# F1
+@register("seasonal_difference", f"SELECT *, {_DIFF} AS w FROM ({q.BARS_HOURLY})", BD + ["w"])
+def seasonal_difference(spark, sf):
+    return finish(fc.seasonal_difference(fx.bars_hourly(spark, sf)))
+
+
+# F2
+_LAGS = fc.ORDER_B.ar_lags()
+
+
+@register("lag_design", f"SELECT series, bar_ts, w, " + ", ".join(
+    f"lag(w, {k}) {W} AS lag_{k}" for k in _LAGS) +
+    f" FROM (SELECT series, bar_ts, {_DIFF} AS w FROM ({q.BARS_HOURLY}))",
+    ["w"] + [f"lag_{k}" for k in _LAGS])
+def lag_design(spark, sf):
+    w = fc.seasonal_difference(fx.bars_hourly(spark, sf)).select("series", "bar_ts", "w")
+    return finish(fc.lag_design(w, "w", _LAGS))
+
+
+# F3 (least-squares estimates: rows-only + recovery tests)
+@register("sarima_fit")
+def sarima_fit(spark, sf):
+    model, _ = fc.sarima_fit(_split(spark, sf), "close", fc.ORDER_B)
+    return model
+
+
+# F4
+@register("sarima_forecast")
+def sarima_forecast(spark, sf):
+    return finish(fc.sarima_forecast(_split(spark, sf), "close", fc.ORDER_A)
+                  .select("series", "bar_ts", "actual", "predicted"))
+
+
+# F5
+@register("forecast_interval")
+def forecast_interval(spark, sf):
+    return finish(fc.sarima_forecast(_split(spark, sf), "close", fc.ORDER_A))
+
+
+# F6
+@register("log_forecast")
+def log_forecast(spark, sf):
+    return finish(fc.sarima_forecast(_split(spark, sf), "close", fc.ORDER_B, log=True))
+
+
+# F7
+_F7 = (f"WITH bars AS ({q.BARS_HOURLY}), "
+       f"sp AS (SELECT *, row_number() {W} - 1 AS pos, row_number() {W} - 1 < "
+       "floor(count(*) OVER (PARTITION BY series) * 0.8) AS is_train FROM bars), "
+       "te AS (SELECT series, max(pos) AS t FROM sp WHERE is_train GROUP BY series), "
+       "st AS (SELECT series, t, " + ", ".join(
+           f"max(CASE WHEN pos = t - {k} THEN close END) AS y{k}" for k in range(6)) +
+       " FROM sp JOIN te USING (series) GROUP BY series, t) "
+       "SELECT sp.series, sp.bar_ts, sp.close AS actual, (CASE ((sp.pos - st.t - 1) % 5) + 1 " +
+       " ".join(f"WHEN {r} THEN y{5 - r}" for r in range(1, 6)) +
+       " END) + CAST(floor((sp.pos - st.t - 1) / 5) + 1 AS DOUBLE) * (y0 - y5) AS predicted "
+       "FROM sp JOIN st USING (series) WHERE NOT sp.is_train")
+
+
+@register("seasonal_naive", _F7, ["actual", "predicted"])
+def seasonal_naive(spark, sf):
+    return finish(fc.seasonal_naive_forecast(_split(spark, sf)))
+
+
+__all__ = ["F"]

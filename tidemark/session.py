@@ -57,9 +57,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(base)
 
 
+def materialize(df):
+    """Cut lineage: reliable ``checkpoint`` into the shared checkpoint folder
+    (survives executor loss; never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["local_session", "shared_dir", "ensure_checkpoint_dir", "local_path"]
+__all__ = ["local_session", "shared_dir", "ensure_checkpoint_dir", "materialize", "local_path"]
