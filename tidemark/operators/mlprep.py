@@ -89,10 +89,10 @@ def sequence_windows(df: DataFrame, features: Sequence[str], target: str, length
     def build(f, w):
         step = F.array(*[F.col(c).cast("double") for c in features])
         win = F.collect_list(step).over(w.rowsBetween(-length, -1))
-        return f.withColumn("_win", win)
+        return f.withColumn("seq_window", win)
     out = ordered.run_windows(df.select(layout.series, layout.ts, *features, target), build,
                               length, layout, keep_pos=True)
-    out = out.filter(F.size("_win") == length)
-    seq = F.flatten("_win") if flat else F.col("_win")
+    out = out.filter(F.size("seq_window") == length)
+    seq = F.flatten("seq_window") if flat else F.col("seq_window")
     return out.select(layout.series, layout.ts, POS, seq.alias("window"),
                       F.col(target).alias("target"))

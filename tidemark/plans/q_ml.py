@@ -1 +1,133 @@
-"""Registered queries (filled in progressively)."""
+"""Registered ML queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import evaluate as ev
+from tidemark.operators import ml
+from tidemark.operators import mlprep as mp
+from tidemark.operators.indicators import technical_features
+from tidemark.plans import fixtures as fx
+from tidemark.plans import sqlparts as q
+from tidemark.plans.catalog import finish, register
+from tidemark.session import materialize, shared_dir
+from tidemark.sources.files import write_metrics
+
+SEQ_LEN = 60
+
+
+def _features(spark, sf):
+    return technical_features(fx.bars_hourly(spark, sf))
+
+
+def _with_features_sql(body_ctes: str, select: str) -> str:
+    from tidemark.plans.q_relations import _with_features
+    return _with_features(body_ctes, select)
+
+
+# M3
+@register("assemble")
+def assemble(spark, sf):
+    df = ml.assemble(_features(spark, sf), ml.LR_FEATURES)
+    return df.select("series", "bar_ts", ml.vector_to_array("features").alias("features"))
+
+
+def _lr(spark, sf):
+    feats = _features(spark, sf)
+    train, test = mp.random_split(feats)
+    cols = ml.nonzero(train, ml.LR_FEATURES)
+    return ml.linear_regression(train, cols), train, test
+
+
+# M7
+@register("linear_regression")
+def linear_regression(spark, sf):
+    model, _, _ = _lr(spark, sf)
+    return ml.coefficients(model, spark)
+
+
+# M8
+@register("lr_predict")
+def lr_predict(spark, sf):
+    model, _, test = _lr(spark, sf)
+    return ml.predict(model, test).select("series", "bar_ts", "close", "prediction")
+
+
+# M9
+@register("lr_evaluate")
+def lr_evaluate(spark, sf):
+    model, _, test = _lr(spark, sf)
+    return ml.evaluate(model, test)
+
+
+# M5 (window alignment checked exactly: size, first and last element, target)
+_F0, _FL = ml.SEQ_FEATURES[0], ml.SEQ_FEATURES[-1]
+
+
+@register("sequence_windows", _with_features_sql(
+    f"rs AS (SELECT series, bar_ts, close, count(*) OVER (PARTITION BY series ORDER BY bar_ts "
+    f"ROWS BETWEEN {SEQ_LEN} PRECEDING AND 1 PRECEDING) AS window_rows, "
+    f"lag({_F0}, {SEQ_LEN}) OVER (PARTITION BY series ORDER BY bar_ts) AS first_value, "
+    f"lag({_FL}, 1) OVER (PARTITION BY series ORDER BY bar_ts) AS last_value FROM f)",
+    f"SELECT series, bar_ts, CAST(window_rows * {len(ml.SEQ_FEATURES)} AS INTEGER) AS window_size, "
+    f"first_value, last_value, close AS target FROM rs WHERE window_rows = {SEQ_LEN}"),
+    ["first_value", "last_value", "target"])
+def sequence_windows(spark, sf):
+    seq = mp.sequence_windows(_features(spark, sf), ml.SEQ_FEATURES, "close", SEQ_LEN)
+    return finish(seq.select("series", "bar_ts", F.size("window").alias("window_size"),
+                             F.col("window")[0].alias("first_value"),
+                             F.element_at("window", -1).alias("last_value"), "target"))
+
+
+# M6
+@register("sequence_split", f"WITH bars AS ({q.BARS_HOURLY}), c AS (SELECT series, "
+          f"count(*) - {SEQ_LEN} AS m FROM bars GROUP BY series) SELECT series, 'train' AS split, "
+          "CAST(floor(m * 0.8) AS BIGINT) AS n FROM c UNION ALL SELECT series, 'test' AS split, "
+          "CAST(m - floor(m * 0.8) AS BIGINT) AS n FROM c", [])
+def sequence_split(spark, sf):
+    seq = mp.sequence_windows(_features(spark, sf), ml.SEQ_FEATURES, "close", SEQ_LEN)
+    seq = seq.withColumnRenamed("bar_ts", "seq_ts").withColumnRenamed("_pos", "_p0")
+    sp = mp.chrono_split(seq.select("series", F.col("seq_ts").alias("bar_ts")))
+    return sp.groupBy("series", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _sequence_model(spark, sf):
+    feats = _features(spark, sf)
+    stats = mp.scaler_stats(feats, ["series"], ml.SEQ_FEATURES + ["close"])
+    scaled = mp.standard_scale(feats, ["series"], ml.SEQ_FEATURES + ["close"], stats, suffix="_z")
+    zcols = [f"{c}_z" for c in ml.SEQ_FEATURES]
+    seq = mp.sequence_windows(scaled, zcols, "close_z", SEQ_LEN)
+    sp = materialize(mp.chrono_split(seq.drop("_pos"), train=0.8))
+    model = ml.sequence_regression(sp.filter(F.col("split") == "train"))
+    pred = materialize(ml.sequence_predict(model, sp).drop("window"))
+    pred = mp.inverse_scale(pred, ["series"], "prediction", stats, "close", "predicted")
+    pred = mp.inverse_scale(pred, ["series"], "target", stats, "close", "actual")
+    return pred.select("series", "bar_ts", "split", "actual", "predicted")
+
+
+# M10
+@register("sequence_regression")
+def sequence_regression(spark, sf):
+    pred = _sequence_model(spark, sf)
+    return finish(ev.evaluation_report(pred.filter(F.col("split") == "test").drop("split")))
+
+
+# S5
+@register("model_store")
+def model_store(spark, sf):
+    model, _, test = _lr(spark, sf)
+    path = shared_dir(spark, "models")
+    ml.save_model(model, path, model.stages[0].getInputCols(), spark)
+    loaded, _, meta = ml.load_model(path, spark)
+    return ml.predict(loaded, test).select("series", "bar_ts", "close", "prediction")
+
+
+# S6
+@register("metrics_sink")
+def metrics_sink(spark, sf):
+    from tidemark.plans.q_eval import forecast_frame
+    report = ev.evaluation_report(forecast_frame(spark, sf))
+    path = shared_dir(spark, "metrics")
+    write_metrics(report, path)
+    return spark.read.parquet(path)

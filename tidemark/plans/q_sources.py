@@ -1 +1,28 @@
-"""Registered queries (filled in progressively)."""
+"""Registered source / sink queries."""
+
+from __future__ import annotations
+
+from tidemark.plans import fixtures as fx
+from tidemark.plans import sqlparts as q
+from tidemark.plans.catalog import finish, register
+from tidemark.session import shared_dir
+from tidemark.sources.files import read_bars, write_table
+
+BD = ["open", "high", "low", "close"]
+
+
+# CSV with header, read back under the declared bar schema
+@register("scan_bars", q.BARS_HOURLY, BD)
+def scan_bars(spark, sf):
+    path = shared_dir(spark, "csv_bars")
+    write_table(fx.bars_hourly(spark, sf), path, fmt="csv")
+    return finish(read_bars(spark, path, fmt="csv"))
+
+
+# Partitioned parquet round trip
+@register("sink_roundtrip", q.BARS_HOURLY, BD)
+def sink_roundtrip(spark, sf):
+    path = shared_dir(spark, "parquet_bars")
+    write_table(fx.bars_hourly(spark, sf), path, fmt="parquet", partition_by=["series"])
+    return finish(spark.read.parquet(path).select(
+        "series", "bar_ts", "open", "high", "low", "close", "volume"))
