@@ -1 +1,138 @@
-"""Registered queries (filled in progressively)."""
+"""Registered streaming queries (S4, T1-T7): each runs a stream to completion
+(``availableNow``) over data landed from the given tables and returns the
+sink's table; batch equality is checked against the SQL twin."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import ml
+from tidemark.operators.indicators import technical_features
+from tidemark.plans import fixtures as fx
+from tidemark.plans import sqlparts as q
+from tidemark.plans.catalog import finish, register
+from tidemark.session import shared_dir
+from tidemark.streaming import jobs
+
+BD = ["open", "high", "low", "close"]
+W = q.w()
+PIECES = 4
+
+
+def _ticks(spark, sf, max_files=1):
+    """The events table landed in time-ordered files, replayed one file per batch."""
+    path = shared_dir(spark, "landing", "ticks")
+    jobs.land_in_chunks(fx.table(spark, sf, "events"), path, "ts", PIECES)
+    return jobs.stream_source(spark, path, jobs.TICK_SCHEMA, max_files)
+
+
+def _bars_stream(spark, sf):
+    """Hourly bars landed in time-ordered files and replayed one file per batch."""
+    path = shared_dir(spark, "landing", "bars")
+    jobs.land_in_chunks(fx.bars_hourly(spark, sf), path, "bar_ts", PIECES)
+    return jobs.stream_source(spark, path, jobs.BAR_SCHEMA, max_files=1)
+
+
+# S4
+@register("stream_bars", "SELECT * FROM events", ["value"])
+def stream_bars(spark, sf):
+    _, out = jobs.run(_ticks(spark, sf), "s4")
+    return finish(spark.read.schema(jobs.TICK_SCHEMA).parquet(out))
+
+
+# Closed windows only (the watermark holds the last open hour back)
+@register("stream_ohlc_tumbling", f"SELECT * FROM ({q.BARS_HOURLY}) WHERE bar_ts + INTERVAL 1 HOUR "
+          "<= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE", BD)
+def stream_ohlc_tumbling(spark, sf):
+    _, out = jobs.run(jobs.ohlc_tumbling(_ticks(spark, sf)), "t1")
+    return finish(spark.read.parquet(out))
+
+
+# Every tick delivered twice, kept once
+@register("stream_dedup", "SELECT * FROM events", ["value"])
+def stream_dedup(spark, sf):
+    path = shared_dir(spark, "landing", "ticks")
+    jobs.land_in_chunks(fx.table(spark, sf, "events"), path, "ts", PIECES)
+    once = jobs.stream_source(spark, path, jobs.TICK_SCHEMA, 1)
+    twice = once.unionByName(jobs.stream_source(spark, path, jobs.TICK_SCHEMA, 1))
+    _, out = jobs.run(jobs.dedup(twice), "t2")
+    return finish(spark.read.parquet(out))
+
+
+# T3
+def _rt_sql() -> str:
+    from tidemark.plans.q_indicators import _realtime_sql
+    return _realtime_sql(False)
+
+
+@register("stream_indicators_batch", _rt_sql(),
+          BD + ["returns", "log_returns", "price_range", "price_range_pct", "sma_5", "sma_20",
+                "ema_5", "ema_20", "rsi"])
+def stream_indicators_batch(spark, sf):
+    result = jobs.indicators_per_batch(_bars_stream(spark, sf))
+    return finish(spark.read.parquet(result))
+
+
+# T4
+_T4 = q.with_bars(
+    "SELECT g.series, g.bar_ts, g.close, avg(g.close) " + q.w(5).replace("series", "g.series")
+    .replace("bar_ts", "g.bar_ts") + " AS sma_5, avg(g.close) " + q.w(20).replace(
+        "series", "g.series").replace("bar_ts", "g.bar_ts") + " AS sma_20, r.ema_5, r.ema_20, "
+    "CASE WHEN (CASE WHEN avg(loss) OVER w14 <> 0 THEN avg(gain) OVER w14 / avg(loss) OVER w14 "
+    "ELSE 0 END) <> 0 THEN 100 - 100 / (1 + avg(gain) OVER w14 / avg(loss) OVER w14) ELSE 0 END "
+    "AS rsi FROM g JOIN r ON r.series = g.series AND r.pos = g.pos WINDOW w14 AS (PARTITION BY "
+    "g.series ORDER BY g.bar_ts ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)",
+    q.BARS_HOURLY,
+    "d AS (SELECT *, close - lag(close) " + W + " AS delta FROM b), "
+    "g AS (SELECT *, CASE WHEN delta > 0 THEN delta ELSE 0 END AS gain, "
+    "CASE WHEN delta < 0 THEN -delta ELSE 0 END AS loss FROM d), " +
+    q.ema_recursive("b", [("close", 5, "ema_5"), ("close", 20, "ema_20")], []),
+).replace("WITH bars AS", "WITH RECURSIVE bars AS")
+
+
+@register("stream_indicators_state", _T4, ["close", "sma_5", "sma_20", "ema_5", "ema_20", "rsi"])
+def stream_indicators_state(spark, sf):
+    _, out = jobs.run(jobs.indicators_with_state(_bars_stream(spark, sf)), "t4")
+    return finish(spark.read.schema(jobs.STATE_OUT).parquet(out))
+
+
+# T5
+@register("stream_score")
+def stream_score(spark, sf):
+    from tidemark.operators import mlprep as mp
+    feats = technical_features(fx.bars_hourly(spark, sf))
+    train, _ = mp.random_split(feats)
+    model = ml.linear_regression(train, ml.nonzero(train, ml.LR_FEATURES))
+    path = shared_dir(spark, "models", "t5")
+    ml.save_model(model, path, model.stages[0].getInputCols(), spark)
+    landing = shared_dir(spark, "landing", "features")
+    feats.write.parquet(landing)
+    loaded, _, _ = ml.load_model(path, spark)
+    stream = spark.readStream.schema(feats.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+    _, out = jobs.run(ml.predict(loaded, stream).select("series", "bar_ts", "close", "prediction"),
+                      "t5")
+    return spark.read.parquet(out)
+
+
+# T6
+@register("stream_trigger")
+def stream_trigger(spark, sf):
+    query, _ = jobs.run(jobs.ohlc_tumbling(_ticks(spark, sf)), "t6")
+    rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in query.recentProgress]
+    return spark.createDataFrame(rows, "batch_id long, num_input_rows long")
+
+
+# T7
+@register("stream_kpis", f"SELECT * FROM ({q.BARS_HOURLY}) QUALIFY row_number() OVER "
+          "(PARTITION BY series ORDER BY bar_ts DESC) = 1", BD)
+def stream_kpis(spark, sf):
+    out = shared_dir(spark, "streams", "t7", "result")
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(out)
+    jobs.run(jobs.latest_kpis_stream(_bars_stream(spark, sf)), "t7", mode="complete",
+             foreach_batch=keep)
+    return finish(spark.read.parquet(out))
+
+
+__all__ = ["F"]
