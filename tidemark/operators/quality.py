@@ -57,17 +57,48 @@ def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> Data
                     .alias("duplicates")))
 
 
-def duplicate_rows(df: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
-    """Q4: the 2nd and later copies of each value combination (first = lowest
-    ``order``).  The first copy per group is found by a partial aggregation
-    and joined back, so a hot group never lands in one window task."""
-    cols = list(columns)
+COPY_CHUNK = 1 << 20
+
+
+def _copies(counts: DataFrame, cols: Sequence[str], n: str = "_n") -> DataFrame:
+    """Emit each row of ``counts`` ``n`` times.  Large counts are cut into
+    chunks of COPY_CHUNK that are shuffled apart first, so a hot group's
+    copies are generated by many tasks."""
+    parts = (counts.filter(F.col(n) > 0)
+             .withColumn("_part", F.explode(F.sequence(F.lit(0), F.expr(f"({n} - 1) div {COPY_CHUNK}"))))
+             .repartition(*cols, "_part"))
+    lo = F.col("_part") * COPY_CHUNK
+    hi = F.least(F.col(n), lo + COPY_CHUNK) - 1
+    return parts.withColumn("_k", F.explode(F.sequence(lo, hi))).select(*cols)
+
+
+def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None,
+                   order: str | None = None) -> DataFrame:
+    """Q4: the 2nd and later copies of each value combination (keep-first).
+
+    ``columns`` default to all; the first copy is the one with the lowest
+    ``order`` (full-row ties: one of them).  Firsts come from partial
+    aggregations joined back, so a hot group never lands in one window task."""
+    allc = list(df.columns)
+    cols = list(columns or allc)
+    if order is None:
+        counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+        if cols != allc:
+            raise ValueError("order is required when comparing a subset of columns")
+        return _copies(counts.withColumn("_n", F.col("_n") - 1), allc)
     first = df.groupBy(*cols).agg(F.min(order).alias("_first")).select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)], "_first")
     cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(cols)]
-    return (df.join(first, cond, "inner")
-            .filter(F.col(order) != F.col("_first"))
-            .select(*df.columns))
+    joined = df.join(first, cond, "inner")
+    later = joined.filter(F.col(order) != F.col("_first")).select(*allc)
+    ties = joined.filter(F.col(order) == F.col("_first")).select(*allc)
+    tc = ties.groupBy(*allc).agg(F.count(F.lit(1)).alias("_n"))
+    keep = tc.groupBy(*cols).agg(F.min(F.struct(*allc)).alias("_keep")).select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)], "_keep")
+    tc = (tc.join(keep, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(cols)])
+          .withColumn("_n", F.col("_n") - F.when(F.struct(*allc) == F.col("_keep"), 1)
+                      .otherwise(0)))
+    return later.unionByName(_copies(tc, allc))
 
 
 def describe(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
