@@ -6,6 +6,7 @@ same raw tables (never from our output).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,20 +18,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Bars feed several branches of every plan (row numbering reads them twice,
+# composites more often); they are persisted (memory, spilling to disk; a lost
+# block is recomputed from lineage) so the raw ticks are scanned and
+# aggregated once per query instead of once per branch.
+
+
+def shared(df: DataFrame) -> DataFrame:
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def bars_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_bars(table(spark, sf_dir, "events"), "hour")
+    return shared(events_bars(table(spark, sf_dir, "events"), "hour"))
 
 
 def bars_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_bars(table(spark, sf_dir, "events"), "minute")
+    return shared(events_bars(table(spark, sf_dir, "events"), "minute"))
 
 
 def bars_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders_bars(table(spark, sf_dir, "orders"))
+    return shared(orders_bars(table(spark, sf_dir, "orders")))
 
 
 def bars_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lineitem_bars(table(spark, sf_dir, "lineitem"))
+    return shared(lineitem_bars(table(spark, sf_dir, "lineitem")))
 
 
 LAYOUTS = {"hourly": HOURLY, "minute": MINUTE, "daily": DAILY}
