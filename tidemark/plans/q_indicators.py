@@ -338,4 +338,25 @@ def build_bars_minute(spark, sf):
     return finish(fx.bars_minute(spark, sf))
 
 
-__all__ = ["F", "HOURLY"]
+
+
+
+# The SQL functions applied to list windows built on the chunked layout
+@register("ema_sql_functions", _sel(
+    f"{_list_ema(5)} AS ema_5, {_list_ema(20)} AS ema_20, {_weighted(5)} AS wema_5, "
+    f"{_weighted(20)} AS wema_20"), BD + ["ema_5", "ema_20", "wema_5", "wema_20"])
+def ema_sql_functions(spark, sf):
+    from tidemark.functions.exprs import frame
+    from tidemark.functions.sql_functions import register as register_sql
+    from tidemark.operators.ordered import run_windows
+    register_sql(spark)
+
+    def build(f, w):
+        f = f.withColumns({"list_5": F.collect_list("close").over(frame(w, 5)),
+                           "list_20": F.collect_list("close").over(frame(w, 20))})
+        return f.withColumns({
+            "ema_5": F.expr("calculate_ema(list_5, 5)"),
+            "ema_20": F.expr("calculate_ema(list_20, 20)"),
+            "wema_5": F.expr("calculate_ema_weighted(list_5)"),
+            "wema_20": F.expr("calculate_ema_weighted(list_20)")}).drop("list_5", "list_20")
+    return finish(run_windows(fx.bars_hourly(spark, sf), build, 32, HOURLY))
