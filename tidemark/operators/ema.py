@@ -57,10 +57,9 @@ def ema_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]],
     """
     s = layout.series
     w = layout.window()
-    wsub = Window.partitionBy(s, CHUNK, "_ema_blk").orderBy(POS)
-    j = F.pmod(F.col(POS), F.lit(BLOCK))
-    df = framed.withColumn("_ema_blk", F.expr(f"{POS} div {BLOCK}")).withColumn("_ema_j", j)
-    jc = F.col("_ema_j")
+    wsub = Window.partitionBy(s, CHUNK, F.expr(f"{POS} div {BLOCK}")).orderBy(POS)
+    jc = F.pmod(F.col(POS), F.lit(BLOCK))
+    df = framed
     locs, ends, prevs, outs = {}, {}, {}, {}
     for x, span, out in specs:
         a = alpha(span)
@@ -86,6 +85,5 @@ def ema_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]],
             F.lit(q), jc + 1)
     if locs:
         df = df.withColumns(locs).withColumns(ends).withColumns(prevs)
-    df = df.withColumns(outs)
-    helpers = [c for c in df.columns if c.startswith(("_loc_", "_end_", "_prev_"))]
-    return df.drop("_ema_blk", "_ema_j", *helpers)
+    keep = [c for c in framed.columns if c not in outs]
+    return df.select(*keep, *[v.alias(k) for k, v in outs.items()])

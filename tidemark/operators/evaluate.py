@@ -153,7 +153,7 @@ def cumulative_return(dirs: DataFrame, layout: Layout = HOURLY) -> DataFrame:
     framed = framed.withColumns({"_ra": F.product("_ga").over(run),
                                  "_rp": F.product("_gp").over(run)})
     s = layout.series
-    summary = framed.filter(~F.col(HALO)).groupBy(s, CHUNK).agg(
+    summary = framed.filter(F.col(HALO) == 0).groupBy(s, CHUNK).agg(
         F.product("_ga").alias("_ca"), F.product("_gp").alias("_cp"))
     before = Window.partitionBy(s).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(s, CHUNK, F.product("_ca").over(before).alias("_pa"),

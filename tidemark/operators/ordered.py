@@ -71,32 +71,23 @@ def with_position(df: DataFrame, layout: Layout = HOURLY) -> DataFrame:
     if POS in df.columns:
         return df
     s = layout.series
-    wb = Window.partitionBy(s, _TB).orderBy(layout.ts)
-    numbered = (
-        df.withColumn(_TB, _block_id(layout))
-        .withColumn(_RN, F.row_number().over(wb))
-        .withColumn(_CNT, F.count(F.lit(1)).over(Window.partitionBy(s, _TB)))
-    )
-    blocks = (
-        numbered.filter(F.col(_RN) == 1)
-        .select(s, _TB, _CNT)
-        .withColumn(
-            _OFF,
-            F.sum(_CNT).over(
-                Window.partitionBy(s).orderBy(_TB)
-                .rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .select(s, _TB, F.coalesce(F.col(_OFF), F.lit(0)).alias(_OFF))
-    )
-    return (
-        numbered.join(blocks, [s, _TB], "inner")
-        .withColumn(POS, (F.col(_OFF) + F.col(_RN) - 1).cast("long"))
-        .drop(_TB, _RN, _CNT, _OFF)
-    )
+    block = _block_id(layout)
+    numbered = df.select(
+        "*", block.alias(_TB),
+        F.row_number().over(Window.partitionBy(s, block).orderBy(layout.ts)).alias(_RN),
+        F.count(F.lit(1)).over(Window.partitionBy(s, block)).alias(_CNT))
+    before = Window.partitionBy(s).orderBy(_TB).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = numbered.filter(F.col(_RN) == 1).select(
+        s, _TB, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    return numbered.join(blocks, [s, _TB], "inner").select(
+        *df.columns, (F.col(_OFF) + F.col(_RN) - 1).cast("long").alias(POS))
 
 
 def with_halo(df: DataFrame, halo: int, layout: Layout = HOURLY) -> DataFrame:
-    """Add ``_chunk`` and copy the last ``halo`` rows of each chunk forward."""
+    """Add ``_chunk`` and copy the last ``halo`` rows of each chunk forward.
+
+    ``posexplode`` of [own chunk] or [own chunk, next chunk]: element 1 is
+    the halo copy, flagged by ``_halo`` (a cheap projection of the index)."""
     c = layout.chunk_rows
     if halo >= c:
         raise ValueError(f"halo {halo} must be smaller than chunk_rows {c}")
@@ -104,17 +95,14 @@ def with_halo(df: DataFrame, halo: int, layout: Layout = HOURLY) -> DataFrame:
     own = F.expr(f"{POS} div {c}")
     in_tail = F.pmod(F.col(POS), F.lit(c)) >= F.lit(c - halo)
     targets = F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))
-    return (
-        df.withColumn(CHUNK, F.explode(targets))
-        .withColumn(HALO, F.col(CHUNK) != own)
-    )
+    return df.select("*", F.posexplode(targets).alias(HALO, CHUNK))
 
 
 def strip(df: DataFrame, keep_pos: bool = False) -> DataFrame:
     """Drop halo copies and helper columns."""
-    out = df.filter(~F.col(HALO)) if HALO in df.columns else df
-    drop = [c for c in out.columns if c.startswith("_") and not (keep_pos and c == POS)]
-    return out.drop(*drop)
+    out = df.filter(F.col(HALO) == 0) if HALO in df.columns else df
+    keep = [c for c in out.columns if not c.startswith("_") or (keep_pos and c == POS)]
+    return out.select(*keep)
 
 
 def run_windows(df: DataFrame, build, halo: int, layout: Layout = HOURLY,
@@ -139,7 +127,7 @@ def chunk_carry(framed: DataFrame, layout: Layout, aggs: dict[str, Column],
     to the previous chunk).  Returns (series, _chunk, carry columns...).
     """
     s = layout.series
-    summary = framed.filter(~F.col(HALO)).groupBy(s, CHUNK).agg(
+    summary = framed.filter(F.col(HALO) == 0).groupBy(s, CHUNK).agg(
         *[e.alias(k) for k, e in aggs.items()])
     w = Window.partitionBy(s).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     return summary.select(s, CHUNK, *[fn(k, w).alias(f"_carry_{k}") for k, fn in prefix.items()])

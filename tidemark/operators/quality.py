@@ -219,7 +219,7 @@ def interpolate_linear(df: DataFrame, columns: Sequence[str], layout: Layout) ->
         framed = framed.withColumns({
             f"_pv_{c}": F.last(f"_pt_{c}", ignorenulls=True).over(back),
             f"_nx_{c}": F.last(f"_pt_{c}", ignorenulls=True).over(fwd)})
-    summary = framed.filter(~F.col(HALO)).groupBy(s, CHUNK).agg(*[
+    summary = framed.filter(F.col(HALO) == 0).groupBy(s, CHUNK).agg(*[
         e for c in columns for e in (
             F.max_by(f"_pt_{c}", F.when(F.col(f"_pt_{c}").isNotNull(), F.col(POS))).alias(f"_l_{c}"),
             F.min_by(f"_pt_{c}", F.when(F.col(f"_pt_{c}").isNotNull(), F.col(POS))).alias(f"_f_{c}"))])
