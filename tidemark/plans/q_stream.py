@@ -70,7 +70,7 @@ def _rt_sql() -> str:
                 "ema_5", "ema_20", "rsi"])
 def stream_indicators_batch(spark, sf):
     result = jobs.indicators_per_batch(_bars_stream(spark, sf))
-    return finish(spark.read.parquet(result))
+    return finish(spark.read.parquet(result).drop("batch_id"))
 
 
 # T4

@@ -20,8 +20,21 @@ BAR_COLUMNS = [SERIES, TS, "open", "high", "low", "close", "volume"]
 
 
 def bucket(ts: Column | str, grain: str) -> Column:
-    """Bar start of a timestamp, as a time-zone-free timestamp."""
-    return F.date_trunc(grain, F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
+    """Bar start of a timestamp as a time-zone-free timestamp.
+
+    Minute / hour / day bars are rebuilt from the wall-clock fields, so the
+    session time zone (and its DST gaps) cannot shift a bar."""
+    t = F.col(ts) if isinstance(ts, str) else ts
+    zero = F.lit(0)
+    fields = {
+        "minute": (F.hour(t), F.minute(t)),
+        "hour": (F.hour(t), zero),
+        "day": (zero, zero),
+    }
+    if grain in fields:
+        h, m = fields[grain]
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), h, m, zero)
+    return F.date_trunc(grain, t).cast("timestamp_ntz")
 
 
 def build_bars(df: DataFrame, ts: str, price: Column | str, series: Column | str,

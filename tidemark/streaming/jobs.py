@@ -107,19 +107,43 @@ def dedup(ticks: DataFrame, key: str = "event_id", watermark: str = WATERMARK) -
 
 # ------------------------------------------------------------------ T3
 
+TAIL_ROWS = 20  # longest lookback of the real-time indicators (20-row frames)
+
+
 def indicators_per_batch(bars_stream: DataFrame, name: str = "t3", trigger=None) -> str:
-    """Each micro-batch appends its bars to a history table and rewrites
-    the real-time indicator table from it (idempotent per batch id)."""
+    """Incremental recomputation per micro-batch.
+
+    State is a bounded tail table (the last TAIL_ROWS bars of every series).
+    A batch is computed over tail + new bars (the tail supplies every frame's
+    history), only the new bars' rows are appended to the result (partition
+    ``batch_id``, overwritten on a retry), and the tail is rewritten — work
+    per batch grows with the batch, not with the history."""
+    from tidemark.operators import ordered
     from tidemark.operators.indicators import realtime_features
+    from tidemark.session import materialize
     spark = bars_stream.sparkSession
-    history = shared_dir(spark, "streams", name, "history")
+    tail_dir = shared_dir(spark, "streams", name, "tail")
     result = shared_dir(spark, "streams", name, "result")
+    cols = [f.name for f in BAR_SCHEMA.fields]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append") \
-            .partitionBy("batch_id").parquet(history)
-        hist = spark.read.parquet(history).drop("batch_id").dropDuplicates(["series", "bar_ts"])
-        realtime_features(hist).write.mode("overwrite").parquet(result)
+        fresh = batch.select(*cols).dropDuplicates(["series", "bar_ts"])
+        try:
+            tail = spark.read.schema(BAR_SCHEMA).parquet(f"{tail_dir}/current")
+        except Exception:  # noqa: BLE001 - first batch: no tail yet
+            tail = spark.createDataFrame([], BAR_SCHEMA)
+        known = tail.join(fresh.select("series", "bar_ts"), ["series", "bar_ts"], "left_anti")
+        both = materialize(known.withColumn("_new", F.lit(False))
+                           .unionByName(fresh.withColumn("_new", F.lit(True))))
+        feats = realtime_features(both.drop("_new")).join(
+            both.select("series", "bar_ts", "_new"), ["series", "bar_ts"])
+        (feats.filter("_new").drop("_new").withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(result))
+        pos = ordered.with_position(both.drop("_new"))
+        last = pos.join(ordered.series_counts(both, name="_n"), "series") \
+            .filter(F.col(ordered.POS) >= F.col("_n") - TAIL_ROWS).select(*cols)
+        materialize(last).write.mode("overwrite").parquet(f"{tail_dir}/current")
 
     run(bars_stream, name, foreach_batch=step, trigger=trigger)
     return result
