@@ -38,12 +38,12 @@ def _fc_sql(body: str, more: str = "") -> str:
 def forecast_frame(spark, sf):
     """(series, bar_ts, actual, predicted) with the one-step seasonal naive."""
     b = seasonal_naive_one_step(fx.bars_hourly(spark, sf))
-    return (b.select("series", "bar_ts", F.col("close").alias("actual"), "predicted")
-            .filter(F.col("predicted").isNotNull()))
+    return fx.shared(b.select("series", "bar_ts", F.col("close").alias("actual"), "predicted")
+                     .filter(F.col("predicted").isNotNull()))
 
 
 def _dirs(spark, sf):
-    return ev.direction_frame(forecast_frame(spark, sf))
+    return fx.shared(ev.direction_frame(forecast_frame(spark, sf)))
 
 
 # E9
@@ -215,7 +215,7 @@ def standard_scale(spark, sf):
 def scored_bars(spark, sf):
     """Real-time features + one-step seasonal-naive price + errors."""
     b = seasonal_naive_one_step(realtime_features(fx.bars_hourly(spark, sf)), out="predicted_price")
-    return ev.prediction_errors(b, "close", "predicted_price")
+    return fx.shared(ev.prediction_errors(b, "close", "predicted_price"))
 
 
 def _scored_sql(body: str) -> str:

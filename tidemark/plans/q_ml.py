@@ -18,7 +18,7 @@ SEQ_LEN = 60
 
 
 def _features(spark, sf):
-    return technical_features(fx.bars_hourly(spark, sf))
+    return fx.shared(technical_features(fx.bars_hourly(spark, sf)))
 
 
 def _with_features_sql(body_ctes: str, select: str) -> str:

@@ -44,7 +44,7 @@ def _bars_long(spark, sf):
 
 def _feat_long(spark, sf):
     feats = technical_features(fx.bars_hourly(spark, sf))
-    return co.corr_long(feats, ["series"], FEATS)
+    return fx.shared(co.corr_long(feats, ["series"], FEATS))
 
 
 # C1
