@@ -59,9 +59,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def materialize(df):
     """Cut lineage: reliable ``checkpoint`` into the shared checkpoint folder
-    (survives executor loss; never a local checkpoint)."""
+    (survives executor loss; never a local checkpoint).  The frame is
+    persisted while it is written, otherwise the eager checkpoint computes the
+    plan twice (once to count, once to write)."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def local_path(path: str) -> str:
