@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import CHUNK, POS, Layout
@@ -48,18 +48,24 @@ def horizon(span: float) -> int:
     return BLOCK * (_ends(span) + 1)
 
 
+def dbl(v: float) -> str:
+    """An exact DOUBLE literal in SQL text (plain decimals would parse as DECIMAL)."""
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
 def ema_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]],
                 layout: Layout) -> DataFrame:
     """Add EMA columns to a framed (position + chunk) DataFrame.
 
     ``specs`` = [(input column, span, output column)]; all share three window
-    stages.  The frame's halo must be at least ``horizon(span)``.
+    stages.  The frame's halo must be at least ``horizon(span)``.  Expressions
+    are generated as SQL text: one parse per column instead of hundreds of
+    driver round trips.
     """
-    s = layout.series
-    w = layout.window()
-    wsub = Window.partitionBy(s, CHUNK, F.expr(f"{POS} div {BLOCK}")).orderBy(POS)
-    jc = F.pmod(F.col(POS), F.lit(BLOCK))
-    df = framed
+    w = layout.window_sql()
+    wsub = (f"PARTITION BY `{layout.series}`, `{CHUNK}`, ({POS} div {BLOCK}) "
+            f"ORDER BY `{POS}`")
+    j = f"pmod(`{POS}`, {BLOCK})"
     locs, ends, prevs, outs = {}, {}, {}, {}
     for x, span, out in specs:
         a = alpha(span)
@@ -67,22 +73,19 @@ def ema_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]],
         if q <= 0.0:
             outs[out] = F.col(x).cast("double")
             continue
-        c = F.when(F.col(POS) == 0, F.col(x)).otherwise(F.lit(a) * F.col(x))
-        scaled = c * F.pow(F.lit(q), -jc)
-        locs[f"_loc_{out}"] = F.pow(F.lit(q), jc) * F.sum(scaled).over(
-            wsub.rowsBetween(Window.unboundedPreceding, 0))
-        terms = [F.col(f"_loc_{out}")]
-        for g in range(1, _ends(span)):
-            terms.append(F.coalesce(F.lag(f"_loc_{out}", g * BLOCK).over(w), F.lit(0.0))
-                         * F.lit(q ** (g * BLOCK)))
-        total = terms[0]
-        for t in terms[1:]:
-            total = total + t
-        ends[f"_end_{out}"] = F.when(jc == BLOCK - 1, total)
-        prevs[f"_prev_{out}"] = F.last(f"_end_{out}", ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, -1))
-        outs[out] = F.col(f"_loc_{out}") + F.coalesce(F.col(f"_prev_{out}"), F.lit(0.0)) * F.pow(
-            F.lit(q), jc + 1)
+        c = f"CASE WHEN `{POS}` = 0 THEN `{x}` ELSE {dbl(a)} * `{x}` END"
+        locs[f"_loc_{out}"] = F.expr(
+            f"pow({dbl(q)}, {j}) * sum(({c}) * pow({dbl(q)}, -{j})) OVER ({wsub} "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+        terms = [f"`_loc_{out}`"] + [
+            f"coalesce(lag(`_loc_{out}`, {g * BLOCK}) OVER ({w}), {dbl(0.0)}) * {dbl(q ** (g * BLOCK))}"
+            for g in range(1, _ends(span))]
+        ends[f"_end_{out}"] = F.expr(f"CASE WHEN {j} = {BLOCK - 1} THEN {' + '.join(terms)} END")
+        prevs[f"_prev_{out}"] = F.expr(
+            f"last(`_end_{out}`, true) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+        outs[out] = F.expr(f"`_loc_{out}` + coalesce(`_prev_{out}`, {dbl(0.0)}) * "
+                           f"pow({dbl(q)}, {j} + 1)")
+    df = framed
     if locs:
         df = df.withColumns(locs).withColumns(ends).withColumns(prevs)
     keep = [c for c in framed.columns if c not in outs]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import (div, frame, full, safe_log, sma_full, sma_partial,
                                       std_full)
 from tidemark.operators import ema as _ema
+from tidemark.operators.ema import dbl
 from tidemark.operators.ordered import HOURLY, Layout, run_windows
 
 
@@ -83,40 +84,36 @@ def sma_cols(w: WindowSpec, partial: bool = False) -> dict:
     return {f"sma_{n}": fn(C(), w, n) for n in SMA_PERIODS}
 
 
-def ema_window_expr(w: WindowSpec, n: int, x=None):
+def ema_window_expr(w: WindowSpec | str, n: int, x: str = "close"):
     """EMA over the last n values seeded with the oldest of them.
 
     For a frame of k = min(n, rows so far) values the recursion unrolls to
     x_oldest q^(k-1) + sum_{d<k-1} alpha x_{-d} q^d: weighted fixed lags.
+    ``w`` is the window as SQL text (the layout's ``window_sql()``).
     """
-    x = C() if x is None else x
     a = 2.0 / (n + 1.0)
     q = 1.0 - a
-    k = F.count(x).over(frame(w, n))
-    total = None
+    k = f"count(`{x}`) OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    terms = []
     for d in range(n):
-        lagged = x if d == 0 else F.lag(x, d).over(w)
-        term = (F.when(F.lit(d) < k - 1, F.lit(a) * lagged)
-                .when(F.lit(d) == k - 1, lagged).otherwise(F.lit(0.0))) * F.lit(q ** d)
-        total = term if total is None else total + term
-    return total
+        lagged = f"`{x}`" if d == 0 else f"lag(`{x}`, {d}) OVER ({w})"
+        terms.append(f"(CASE WHEN {d} < {k} - 1 THEN {dbl(a)} * {lagged} WHEN {d} = {k} - 1 "
+                     f"THEN {lagged} ELSE {dbl(0.0)} END) * {dbl(q ** d)}")
+    return F.expr(" + ".join(terms))
 
 
-def ema_weighted_expr(w: WindowSpec, n: int, x=None):
+def ema_weighted_expr(w: WindowSpec | str, n: int, x: str = "close"):
     """Normalised weights (1-a)^i over the frame, i = 0 the OLDEST value,
     a = 2/(k+1) with k the frame length; nulls count as 0."""
-    x = C() if x is None else x
-    k = F.count(F.lit(1)).over(frame(w, n))
-    q = F.lit(1.0) - F.lit(2.0) / (k + F.lit(1.0))
-    num = None
-    den = None
+    k = f"count(1) OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    q = f"({dbl(1.0)} - {dbl(2.0)} / ({k} + {dbl(1.0)}))"
+    num, den = [], []
     for d in range(n):
-        lagged = x if d == 0 else F.lag(x, d).over(w)
-        wt = F.when(F.lit(d) < k, F.pow(q, k - 1 - d)).otherwise(F.lit(0.0))
-        t = F.coalesce(lagged, F.lit(0.0)) * wt
-        num = t if num is None else num + t
-        den = wt if den is None else den + wt
-    return num / den
+        lagged = f"`{x}`" if d == 0 else f"lag(`{x}`, {d}) OVER ({w})"
+        wt = f"(CASE WHEN {d} < {k} THEN pow({q}, {k} - 1 - {d}) ELSE {dbl(0.0)} END)"
+        num.append(f"coalesce({lagged}, {dbl(0.0)}) * {wt}")
+        den.append(wt)
+    return F.expr(f"({' + '.join(num)}) / ({' + '.join(den)})")
 
 
 def rsi_expr(w: WindowSpec):
@@ -204,12 +201,12 @@ def ema(bars: DataFrame, layout: Layout = HOURLY, spans=EMA_SPANS, x: str = "clo
 
 def ema_window(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
     return _run(bars, lambda f, w: f.withColumns(
-        {f"ema_{n}": ema_window_expr(w, n) for n in EMA_SPANS}), layout)
+        {f"ema_{n}": ema_window_expr(layout.window_sql(), n) for n in EMA_SPANS}), layout)
 
 
 def ema_weighted(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
     return _run(bars, lambda f, w: f.withColumns(
-        {f"ema_{n}": ema_weighted_expr(w, n) for n in EMA_SPANS}), layout)
+        {f"ema_{n}": ema_weighted_expr(layout.window_sql(), n) for n in EMA_SPANS}), layout)
 
 
 def rsi(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
@@ -375,8 +372,8 @@ def realtime_features(bars: DataFrame, layout: Layout = HOURLY, weighted: bool =
             "log_returns": F.when(p.isNotNull(), safe_log(div(C(), p))).otherwise(F.lit(0.0)),
             **price_range_cols(O()),
             **sma_cols(w, partial=True),
-            "ema_5": ema_fn(w, 5),
-            "ema_20": ema_fn(w, 20),
+            "ema_5": ema_fn(layout.window_sql(), 5),
+            "ema_20": ema_fn(layout.window_sql(), 20),
             "rsi": rsi_partial_expr(w),
         })
     return _run(bars, build, layout)

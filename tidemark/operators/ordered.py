@@ -55,6 +55,10 @@ class Layout:
     def window(self):
         return Window.partitionBy(self.series, CHUNK).orderBy(POS)
 
+    def window_sql(self) -> str:
+        """The same window as SQL text (for expressions built as strings)."""
+        return f"PARTITION BY `{self.series}`, `{CHUNK}` ORDER BY `{POS}`"
+
 
 HOURLY = Layout(block_seconds=4096 * 3600)
 MINUTE = Layout(block_seconds=4096 * 60)
