@@ -71,3 +71,17 @@ def test_interval_widens_with_horizon(spark):
         width = (g["upper"] - g["lower"]).to_numpy()
         assert (np.diff(width) >= -1e-9).all()
         assert (g["lower"] <= g["predicted"]).all() and (g["predicted"] <= g["upper"]).all()
+
+
+def test_batched_doubling_matches_single():
+    rng = np.random.default_rng(5)
+    k, n = 7, 40
+    A = rng.normal(scale=0.4, size=(n, k, k))
+    b = rng.normal(size=(n, k))
+    M = b[:, :, None] * b[:, None, :]
+    h = rng.integers(1, 300, size=n)
+    Pb, Sb = fc.power_and_sum_batched(A, M, h)
+    for r in range(n):
+        P1, S1 = fc._power_and_sum(A[r], M[r], int(h[r]))
+        assert np.allclose(Pb[r], P1, rtol=1e-9, atol=1e-12)
+        assert np.allclose(Sb[r], S1, rtol=1e-9, atol=1e-12)
