@@ -31,3 +31,25 @@ def test_late_ticks_are_dropped(spark):
     first_hour = bars[bars.bar_ts == base]
     assert len(first_hour) == 1
     assert first_hour["high"].iloc[0] < 999.0  # the late tick did not reopen the bar
+
+
+def test_dedup_across_batches(spark):
+    path = shared_dir(spark, "test", "dups")
+    base = pd.Timestamp("2024-01-01 00:00:00")
+
+    def write(rows):
+        pdf = pd.DataFrame(rows, columns=["event_id", "ts", "user_id", "event_type", "value",
+                                          "props"])
+        spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz")) \
+            .coalesce(1).write.mode("append").parquet(path)
+
+    first = [(i, base + pd.Timedelta(minutes=i), 1, "a", float(i), "{}") for i in range(10)]
+    write(first)
+    # the same records again in the next file (a re-delivery within the watermark) plus new ones
+    write(first[5:] + [(10 + i, base + pd.Timedelta(minutes=10 + i), 1, "a", 1.0, "{}")
+                       for i in range(3)])
+    stream = jobs.stream_source(spark, path, jobs.TICK_SCHEMA, max_files=1)
+    q, out = jobs.run(jobs.dedup(stream), "dups")
+    assert len(q.recentProgress) >= 2
+    got = spark.read.parquet(out).toPandas()
+    assert sorted(got["event_id"]) == list(range(13))
