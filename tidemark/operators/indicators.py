@@ -332,10 +332,16 @@ def technical_features(bars: DataFrame, layout: Layout = HOURLY,
 
 def fill_zero_op(df: DataFrame, cols=None) -> DataFrame:
     """Null / NaN -> 0 in the given (default: all numeric) columns."""
-    from pyspark.sql.types import NumericType
-    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    return df.withColumns({c: F.coalesce(F.nanvl(F.col(c), F.lit(None)), F.lit(0)).cast(
-        df.schema[c].dataType) for c in cols})
+    from pyspark.sql.types import DoubleType, FloatType, NumericType
+    types = {f.name: f.dataType for f in df.schema.fields}  # one schema round trip
+    cols = cols or [c for c, t in types.items() if isinstance(t, NumericType)]
+    fixed = {}
+    for c in cols:
+        v = F.col(c)
+        if isinstance(types[c], (DoubleType, FloatType)):
+            v = F.nanvl(v, F.lit(None))
+        fixed[c] = F.coalesce(v, F.lit(0)).cast(types[c])
+    return df.withColumns(fixed)
 
 
 def sarimax_features(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
