@@ -3,6 +3,7 @@ used for checkpoints, stream state and intermediate tables."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,30 +32,29 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     return spark
 
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
-
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir) from the
-    session; only when neither is set (local tests) a temporary folder is made
-    and registered as the checkpoint dir.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+def checkpoint_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or
+    the context's checkpoint folder.  Where neither is set, a session whose
+    tasks run in the driver's own process (``local[...]``) gets a temporary
+    folder; on a cluster that is an error, as executors would not see it."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
-    base = base.rstrip("/")
-    return "/".join([base, "tidemark", *parts, uuid.uuid4().hex])
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A fresh folder below the shared folder (see ``checkpoint_base``)."""
+    return "/".join([checkpoint_base(spark), "tidemark", *parts, uuid.uuid4().hex])
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``df.checkpoint()`` usable: register the shared folder if unset."""
-    if spark.sparkContext.getCheckpointDir():
-        return
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
-        prefix="tidemark-ckpt-")
-    spark.sparkContext.setCheckpointDir(base)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint_base(spark))
 
 
 def materialize(df):
@@ -68,11 +68,3 @@ def materialize(df):
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["local_session", "shared_dir", "ensure_checkpoint_dir", "materialize", "local_path"]
