@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, mixing, quality_rules
 
 _MODULES = {
+    "op3_quality_rules": quality_rules,
     "op9_decontamination": decontaminate,
+    "op10_mixing": mixing,
 }
 
 QUERIES = {name: module.query for name, module in _MODULES.items()}
