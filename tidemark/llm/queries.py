@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, mixing, quality_rules
+from tidemark.llm import decontaminate, mixing, quality_rules, url_filter
 
 _MODULES = {
+    "op2_url_filters": url_filter,
     "op3_quality_rules": quality_rules,
     "op9_decontamination": decontaminate,
     "op10_mixing": mixing,
