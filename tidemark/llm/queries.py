@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, mixing, quality_rules, url_filter
+from tidemark.llm import (decontaminate, language_id, mixing, quality_classifier, quality_rules,
+                          url_filter)
 
 _MODULES = {
     "op2_url_filters": url_filter,
     "op3_quality_rules": quality_rules,
+    "op4_quality_classifier": quality_classifier,
+    "op7_language_id": language_id,
     "op9_decontamination": decontaminate,
     "op10_mixing": mixing,
 }
