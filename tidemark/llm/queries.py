@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import (decontaminate, language_id, mixing, quality_classifier, quality_rules,
+from tidemark.llm import (decontaminate, language_id, mixing, quality_classifier, quality_rules, simhash,
                           url_filter)
 
 _MODULES = {
+    "op1_simhash_dedup": simhash,
     "op2_url_filters": url_filter,
     "op3_quality_rules": quality_rules,
     "op4_quality_classifier": quality_classifier,
