@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm import (decontaminate, language_id, mixing, quality_classifier, quality_rules, simhash,
-                          url_filter)
+                          substring_dedup, url_filter)
 
 _MODULES = {
     "op1_simhash_dedup": simhash,
@@ -11,6 +11,7 @@ _MODULES = {
     "op3_quality_rules": quality_rules,
     "op4_quality_classifier": quality_classifier,
     "op7_language_id": language_id,
+    "op8_substring_dedup": substring_dedup,
     "op9_decontamination": decontaminate,
     "op10_mixing": mixing,
 }
