@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from tidemark.llm import (decontaminate, language_id, mixing, quality_classifier, quality_rules, simhash,
-                          substring_dedup, url_filter)
+                          substring_dedup, suffix_dedup, url_filter)
 
 _MODULES = {
     "op1_simhash_dedup": simhash,
     "op2_url_filters": url_filter,
     "op3_quality_rules": quality_rules,
     "op4_quality_classifier": quality_classifier,
+    "op5_suffix_dedup": suffix_dedup,
     "op7_language_id": language_id,
     "op8_substring_dedup": substring_dedup,
     "op9_decontamination": decontaminate,

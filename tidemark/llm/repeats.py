@@ -180,10 +180,24 @@ def grouped(contexts: DataFrame, spec: Windows) -> tuple[DataFrame, DataFrame |
 
 
 #: (spec, group, low, high, lft, order, bytes, offsets) of the contexts of whole
-#: groups -> (row, first offset, last offset) of the windows that repeat.  The
-#: windows of a context begin low..high units before its anchor, which is its
+#: groups -> (row, offset) of the windows that repeat, in any order.  The windows of a context begin low..high units before its anchor, which is its
 #: unit number ``lft``.
-Resolver = Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray]]
+Resolver = Callable[..., tuple[np.ndarray, np.ndarray]]
+
+
+def offsets_of(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, offset) of every window of every context."""
+    n = np.maximum(high - low + 1, 0)
+    row = np.repeat(np.arange(len(n)), n)
+    return row, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[row]
+
+
+def _runs(row: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first, last) of the runs of adjoining offsets."""
+    order = np.lexsort((offset, row))
+    row, offset = row[order], offset[order]
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)])[:len(row)]
+    return row[new], offset[new], offset[np.concatenate([new[1:], [True]])[:len(row)]]
 
 
 def _resolve(spec: Windows, resolver: Resolver):
@@ -196,7 +210,7 @@ def _resolve(spec: Windows, resolver: Resolver):
         buf, off = tx.strings(ctx)
         low = np.maximum(col["low"], col["at"] & 1023)
         high = np.minimum(col["high"], col["at"] >> 10 & 1023)
-        row, first, last = resolver(spec, gid, low, high, col["lft"], order, buf, off)
+        row, first, last = _runs(*resolver(spec, gid, low, high, col["lft"], order, buf, off))
         a = col["at"][row] >> 20
         return pa.RecordBatch.from_arrays(
             [pa.array(x) for x in (col["_d"][row], col["_h"][row], a - last, a - first + spec.window)],

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import text as tx
 from tidemark.llm.common import keyed, table
-from tidemark.llm.repeats import Windows, removed, repeated_spans
+from tidemark.llm.repeats import Windows, offsets_of, removed, repeated_spans
 
 WINDOW = 20
 #: Words of an anchor (see ``repeats``).
@@ -46,19 +46,17 @@ def resolve(spec: Windows, group, low, high, lft, order, buf, off):
     first, end, doc = tx.words(buf, off)
     code = np.unique(tx.word_hashes(buf, first, end), return_inverse=True)[1].astype(np.int64)
     edge = np.searchsorted(doc, np.arange(len(off)))
-    n = np.maximum(high - low + 1, 0)
-    row = np.repeat(np.arange(len(n)), n)
-    o = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[row]
+    row, o = offsets_of(low, high)
     suffix, node = deep_nodes(group[row], edge[row] + lft[row] - o, code, spec.window)
     row, o = row[suffix], o[suffix]
     least = np.full(node.max() + 1 if len(node) else 0, np.iinfo(np.int64).max)
     np.minimum.at(least, node, order[row])
     later = order[row] > least[node]
     row, o = row[later], o[later]
-    return row, o, o
+    return row, o
 
 
-def _digest(window: int):
+def _digest(keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tx.slices(batch, "text"):
@@ -76,16 +74,17 @@ def _digest(window: int):
                     part.column(names.index("doc_id")), part.column(names.index("_d")),
                     part.column(names.index("_h")), pa.array(n), pa.array(gone, pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in kept]),
-                    pa.array([x.decode() for x in kept], pa.string()),
+                    pa.array([x.decode() if keep_text else None for x in kept], pa.string()),
                 ], ["doc_id", "_d", "_h", "n_words", "n_removed", "kept_sha256", "kept"])
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_rows: int = 4096) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_rows: int = 4096,
+                   keep_text: bool = True) -> DataFrame:
     """``doc_id, _d, _h, n_words, n_removed, kept_sha256, kept`` for every row:
     words in windows whose word sequence also starts earlier (smaller ``doc_id``,
     or the same document and an earlier start) are removed; ``kept`` joins the
-    others by one space.
+    others by one space (null unless ``keep_text``).
 
     A null text has no words.  Rows that repeat an id and a text are one
     document: each gets its result.  Rows that share an id but not the text are
@@ -97,12 +96,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     spans = repeated_spans(rows, spec, resolve, "substrings")
     kind = dict(docs.dtypes)["doc_id"]
     return rows.join(spans, ["_d", "_h"], "left").mapInArrow(
-        _digest(window), f"doc_id {kind}, _d long, _h long, n_words long, n_removed long, kept_sha256 string, "
+        _digest(keep_text), f"doc_id {kind}, _d long, _h long, n_words long, n_removed long, kept_sha256 string, "
                          "kept string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents")).select(
+    return remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 

@@ -21,10 +21,10 @@ _CHUNK = 1 << 20
 
 
 def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(UTF-8 bytes, offsets) of a string column; a null counts as empty."""
+    """(bytes, offsets) of a string or binary column; a null counts as empty."""
+    column = column.cast(pa.large_binary())
     if column.null_count:
-        column = column.fill_null("")
-    column = column.cast(pa.large_string())
+        column = column.fill_null(b"")
     _, off, data = column.buffers()
     n = len(column)
     if not n:
