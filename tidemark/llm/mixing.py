@@ -24,7 +24,7 @@ MOST = 2.0
 SEED = "mix-1"
 #: Smallest quality weight; bounds how uneven the key buckets can be.
 LEAST_QUALITY = 0.1
-#: Documents in a key bucket, about (at most 1 / LEAST_QUALITY times as many).
+#: Documents in a key bucket, about (at most twice as many).
 BUCKET_ROWS = 1024
 #: Characters that count against a document's quality weight.
 NOISE = "#$%&*|<>!0123456789"
@@ -94,9 +94,11 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL, most: f
         .withColumn("_budget", F.col("target") - F.col("_epochs") * F.col("source_size"))
         .withColumn("_buckets", F.greatest(F.lit(1), F.floor(F.col("_n") / bucket_rows))), "mix-targets")
     same = F.col("source").eqNullSafe(F.col("_s"))
+    # half by the distribution of keys at full quality, half by that at the least:
+    # neither the small keys of good documents nor the large ones of noisy ones crowd a bucket
+    share = 1.0 - 0.5 * F.exp(-F.col("_key")) - 0.5 * F.exp(-LEAST_QUALITY * F.col("_key"))
     rows = slim.join(goal.withColumnRenamed("source", "_s"), same).drop("_s").withColumn(
-        "_b", F.least(F.col("_buckets") - 1, F.floor(
-            F.col("_buckets") * (1.0 - F.exp(-LEAST_QUALITY * F.col("_key"))))))
+        "_b", F.least(F.col("_buckets") - 1, F.floor(F.col("_buckets") * share)))
     upto = Window.partitionBy("source").orderBy("_b")
     sums = (rows.groupBy("source", "_b").agg(F.sum("size").alias("_sum"), F.first("_budget").alias("_budget"))
             .withColumn("_upto", F.sum("_sum").over(upto)))
