@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import (decontaminate, language_id, mixing, quality_classifier, quality_rules, simhash,
+from tidemark.llm import (decontaminate, html_text, language_id, mixing, quality_classifier, quality_rules, simhash,
                           substring_dedup, suffix_dedup, url_filter)
 
 _MODULES = {
@@ -11,6 +11,7 @@ _MODULES = {
     "op3_quality_rules": quality_rules,
     "op4_quality_classifier": quality_classifier,
     "op5_suffix_dedup": suffix_dedup,
+    "op6_html_extraction": html_text,
     "op7_language_id": language_id,
     "op8_substring_dedup": substring_dedup,
     "op9_decontamination": decontaminate,
