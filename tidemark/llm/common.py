@@ -36,11 +36,13 @@ def learnable(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(c.cast("string")) % 3 != 1, F.lit(False))
 
 
+def document_key() -> Column:
+    """A row's id for joins: never null."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` plus the join key of a document: ``_d`` (its id, or
     ``NO_ID``) and ``_h`` (hash of its text).  Rows that agree in both are one
     document; rows that share an id but not the text are different ones."""
-    return docs.select("doc_id", "text").withColumns({
-        "_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-        "_h": F.xxhash64("text"),
-    })
+    return docs.select("doc_id", "text").withColumns({"_d": document_key(), "_h": F.xxhash64("text")})

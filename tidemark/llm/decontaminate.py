@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import keyed, table
+from tidemark.llm.common import table, written
 
 WINDOW = 10
 #: Phrases in one broadcast block (about 200 bytes each).
@@ -120,38 +120,64 @@ def find(index: Index, terms: np.ndarray, length: np.ndarray, first: np.ndarray,
     return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
-def _searcher(block, slop: int):
+def search(block: tuple, column: pa.Array, slop: int = 0):
+    """(words, merged hit spans, items found exactly, items found with ``slop``)
+    of each text of a slice, given a block of phrases (see ``_blocks``)."""
+    items, owner, vocab, terms, length = block
+    n = len(column)
+    buf, off = tx.strings(column)
+    buf = tx.lower_ascii(buf)
+    start, end, doc = tx.words(buf, off, "alnum")
+    h = tx.word_hashes(buf, start, end).view(np.int64)
+    term = np.full(len(h), -1)
+    if len(vocab):
+        at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
+        term = np.where(vocab[at] == h, at, -1)
+    edge = np.searchsorted(doc, np.arange(n + 1))
+    first, last = edge[:-1], edge[1:]
+    index = Index(term, len(vocab))
+    spans, exact = _by_document(find(index, terms, length, first, last, doc), owner, length, doc, n)
+    near: list[list[int]] = [[] for _ in range(n)]
+    if slop:
+        p, s = find(index, terms, length, first, last, doc, slop)
+        near = _items_of(doc[np.clip(s, 0, len(doc) - 1)] if len(s) else s, owner[p], n)
+    return last - first, spans, exact, near
+
+
+def _searcher(sent, slop: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, owner, vocab, terms, length = block.value
+        items = sent.value[0]
         for batch in batches:
             for part in tx.slices(batch, "text"):
-                n = part.num_rows
-                buf, off = tx.strings(part.column(part.schema.get_field_index("text")))
-                buf = tx.lower_ascii(buf)
-                start, end, doc = tx.words(buf, off, "alnum")
-                h = tx.word_hashes(buf, start, end).view(np.int64)
-                at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-                term = np.where(vocab[at] == h, at, -1) if len(vocab) else np.full(len(h), -1)
-                edge = np.searchsorted(doc, np.arange(n + 1))
-                first, last = edge[:-1], edge[1:]
-                index = Index(term, len(vocab))
-                hits = find(index, terms, length, first, last, doc)
-                spans, exact = _by_document(hits, owner, length, doc, n)
-                near = [[] for _ in range(n)]
-                if slop:
-                    p, s = find(index, terms, length, first, last, doc, slop)
-                    d = doc[np.clip(s, 0, len(doc) - 1)] if len(s) else s
-                    near = _items_of(d, owner[p], n)
+                n_words, spans, exact, near = search(sent.value, part.column(1), slop)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(part.schema.get_field_index("doc_id")),
-                    pa.array(last - first, pa.int64()),
-                    pa.array(spans, pa.list_(pa.int64())),
+                    part.column(0), pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
                     pa.array([[items[i] for i in x] for x in exact], pa.list_(pa.string())),
                     pa.array([[items[i] for i in x] for x in near], pa.list_(pa.string())),
                 ], ["doc_id", "n_words", "spans", "items", "near_items"])
     return run
 
 
+def _blocks(items: DataFrame, window: int, block_windows: int) -> Iterator:
+    """Broadcasts of at most about ``block_windows`` phrases each: item names,
+    each phrase's item, sorted vocabulary, phrases x terms, lengths."""
+    frame = phrases(items, window)
+    blocks = max(1, -(-frame.count() // block_windows))
+    for b in range(blocks):
+        part = frame if blocks == 1 else frame.where(
+            F.pmod(F.xxhash64("item", "terms"), F.lit(blocks)) == b)
+        rows = part.select("item", "terms").toPandas()
+        names = sorted(set(rows["item"]))
+        number = {x: i for i, x in enumerate(names)}
+        vocab = np.unique(np.concatenate([np.empty(0, np.int64), *rows["terms"]]))
+        length = np.array([len(x) for x in rows["terms"]], np.int64)
+        terms = np.full((len(rows), window), -1, np.int64)
+        for i, x in enumerate(rows["terms"]):
+            terms[i, :len(x)] = np.searchsorted(vocab, x)
+        owner = np.array([number[x] for x in rows["item"]], np.int64)
+        yield items.sparkSession.sparkContext.broadcast((names, owner, vocab, terms, length))
+
+
 def _items_of(doc: np.ndarray, item: np.ndarray, n: int) -> list[list[int]]:
     pairs = np.unique(np.stack([doc, item], 1), axis=0) if len(doc) else np.empty((0, 2), np.int64)
     cut = np.searchsorted(pairs[:, 0], np.arange(n + 1))
@@ -190,82 +216,86 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
     are compared by 64-bit hashes.  Repeated rows get a row each; ties do not
     arise.  An empty ``docs`` gives no rows, an empty ``items`` no hits.
     """
-    spark = docs.sparkSession
-    frame = phrases(items, window)
-    total = frame.count()
     out = None
-    blocks = max(1, -(-total // block_windows))
-    if blocks > 1:
-        frame = frame.withColumn("_b", F.pmod(F.xxhash64("item", "terms"), F.lit(blocks)))
-    for b in range(blocks):
-        part = frame if blocks == 1 else frame.where(F.col("_b") == b)
-        rows = part.select("item", "terms").toPandas()  # at most about one block of phrases
-        names = sorted(set(rows["item"]))
-        number = {x: i for i, x in enumerate(names)}
-        vocab = np.unique(np.concatenate([np.empty(0, np.int64), *rows["terms"]]))
-        length = np.array([len(x) for x in rows["terms"]], np.int64)
-        terms = np.full((len(rows), window), -1, np.int64)
-        for i, x in enumerate(rows["terms"]):
-            terms[i, :len(x)] = np.searchsorted(vocab, x)
-        owner = np.array([number[x] for x in rows["item"]], np.int64)
-        sent = spark.sparkContext.broadcast((names, owner, vocab, terms, length))
+    for b, sent in enumerate(_blocks(items, window, block_windows)):
         got = docs.select("doc_id", "text").mapInArrow(
             _searcher(sent, slop),
-            f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, spans array<long>, "
+            f"doc_id {docs.select('doc_id').dtypes[0][1]}, n_words long, spans array<long>, "
             "items array<string>, near_items array<string>").withColumn("block", F.lit(b))
         out = got if out is None else out.unionByName(got)
     return out
 
 
-def _digest(found: DataFrame) -> DataFrame:
-    """Word counts and item digests from one block's rows."""
-    def run(batches):
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW,
+          block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The rows of ``docs`` in which no phrase of the items occurs, unchanged."""
+    def keeper(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in tx.slices(batch, "text"):
+                    spans = search(sent.value, part.column(part.schema.get_field_index("text")))[1]
+                    yield part.filter(pa.array([not x for x in spans], pa.bool_()))
+        return run
+    out, before = docs, None
+    for sent in _blocks(items, window, block_windows):
+        if before is not None:
+            out = written(out.mapInArrow(keeper(before), docs.schema), "phrase-blocks")
+        before = sent
+    return out.mapInArrow(keeper(before), docs.schema)
+
+
+def _union(x: list[int], y: list[int]) -> list[int]:
+    """Merged spans of two flat lists of spans."""
+    out: list[int] = []
+    for a, b in sorted([*zip(x[::2], x[1::2], strict=True), *zip(y[::2], y[1::2], strict=True)]):
+        if out and a <= out[-1]:
+            out[-1] = max(out[-1], b)
+        else:
+            out += [a, b]
+    return out
+
+
+def _adder(sent, digest: bool):
+    """Adds a block's hits to ``spans`` and ``items``, or gives the digests."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = sent.value[0]
         for batch in batches:
-            cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            spans, items = cols["spans"].to_pylist(), cols["items"].to_pylist()
-            hit = [sum(s[1::2]) - sum(s[::2]) for s in spans]
-            yield pa.RecordBatch.from_arrays([
-                cols["doc_id"], cols["n_words"], pa.array(hit, pa.int64()),
-                pa.array([len(x) for x in items], pa.int64()),
-                pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]),
-                pa.array([x > 0 for x in hit]),
-            ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-    return found.select("doc_id", "n_words", "spans", "items").mapInArrow(
-        run, f"doc_id {dict(found.dtypes)['doc_id']}, n_words long, n_hit long, n_items long, "
-             "items_sha256 string, contaminated boolean")
+            for part in tx.slices(batch, "text"):
+                n_words, spans, exact, _ = search(sent.value, part.column(1))
+                spans = [_union(x, y) for x, y in zip(part.column(2).to_pylist(), spans, strict=True)]
+                items = [sorted({*x, *(names[i] for i in y)})
+                         for x, y in zip(part.column(3).to_pylist(), exact, strict=True)]
+                if not digest:
+                    yield pa.RecordBatch.from_arrays([
+                        part.column(0), part.column(1), pa.array(spans, pa.list_(pa.int64())),
+                        pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "spans", "items"])
+                    continue
+                hit = [sum(x[1::2]) - sum(x[::2]) for x in spans]
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.array(n_words, pa.int64()), pa.array(hit, pa.int64()),
+                    pa.array([len(x) for x in items], pa.int64()),
+                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
+                    pa.array([x > 0 for x in hit], pa.bool_()),
+                ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+    return run
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                   block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for each
-    document (see ``matches`` for nulls, repeats and empty tables).  With more
-    than one block of phrases the blocks' spans and items of a document are
-    united first; rows that repeat a whole document are then one row for each."""
-    n_blocks = -(-phrases(items, window).count() // block_windows)
-    if n_blocks <= 1:
-        return _digest(matches(docs, items, window, 0, block_windows))
-    rows = keyed(docs)
-    found = matches(rows.select(F.struct("_d", "_h").alias("doc_id"), "text"), items, window, 0,
-                    block_windows)
-    pairs = F.transform(F.sequence(F.lit(0), F.size("spans") / 2 - 1),
-                        lambda i: F.struct(F.element_at("spans", (2 * i + 1).cast("int")).alias("a"),
-                                           F.element_at("spans", (2 * i + 2).cast("int")).alias("b")))
-    merged = (found.withColumn("pairs", F.when(F.size("spans") > 0, pairs))
-              .groupBy("doc_id").agg(F.max("n_words").alias("n_words"),
-                                     F.array_sort(F.flatten(F.collect_list("pairs"))).alias("p"),
-                                     F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
-    empty = F.array().cast("array<struct<a:bigint,b:bigint>>")
-    union = F.aggregate("p", empty, lambda acc, x: F.when(
-        (F.size(acc) > 0) & (x["a"] <= F.element_at(acc, -1)["b"]),
-        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-            F.element_at(acc, -1)["a"].alias("a"),
-            F.greatest(F.element_at(acc, -1)["b"], x["b"]).alias("b"))))
-    ).otherwise(F.concat(acc, F.array(x))))
-    flat = F.flatten(F.transform(union, lambda x: F.array(x["a"], x["b"])))
-    one = _digest(merged.select("doc_id", "n_words", flat.alias("spans"), "items"))
-    one = one.withColumns({"_d": F.col("doc_id._d"), "_h": F.col("doc_id._h")}).drop("doc_id")
-    return rows.select("doc_id", "_d", "_h").join(one, ["_d", "_h"]).select(
-        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    row of ``docs`` (see ``matches`` for nulls, repeats and empty tables).  Each
+    block of phrases but the last is a written pass over the documents, so that
+    no task holds more than one."""
+    kind = docs.select("doc_id").dtypes[0][1]
+    rows = docs.select("doc_id", "text", F.array().cast("array<long>").alias("spans"),
+                       F.array().cast("array<string>").alias("items"))
+    before = None
+    for sent in _blocks(items, window, block_windows):
+        if before is not None:
+            rows = written(rows.mapInArrow(_adder(before, False), rows.schema), "phrase-blocks")
+        before = sent
+    return rows.mapInArrow(_adder(before, True), f"doc_id {kind}, n_words long, n_hit long, n_items long, "
+                                                 "items_sha256 string, contaminated boolean")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,35 +153,44 @@ def train(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, steps: int = STEPS)
     return net
 
 
-def _scorer(sent):
+def predict(net: Network | None, column: pa.Array, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Language and score of every text of a slice."""
+    sym = symbols()
+    total = np.zeros((len(column), len(net.languages) if net else 1))
+    weight = np.zeros(len(column))
+    buf, off = tx.strings(column)
+    start, length, doc = windows(buf, off)
+    s = sym[buf]
+    for i in range(0, len(start) if net else 0, _BATCH):
+        j = slice(i, i + _BATCH)
+        p = net.probabilities(cut(s, start[j], length[j]))
+        np.add.at(total, doc[j], p * length[j, None])
+        np.add.at(weight, doc[j], length[j])
+    total /= np.maximum(weight, 1)[:, None]
+    known = letters & (weight > 0)
+    names = [net.languages[b] if k else UNKNOWN for b, k in zip(total.argmax(axis=1), known, strict=True)]
+    return names, np.where(known, np.minimum(total.max(axis=1), 1.0), 0.0)
+
+
+def _scorer(sent, only_known: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net: Network | None = sent.value
-        sym = symbols()
         for batch in batches:
             for part in tx.slices(batch, "text"):
                 names = part.schema.names
-                letters = part.column(names.index("letters")).to_numpy(zero_copy_only=False)
-                total = np.zeros((part.num_rows, len(net.languages) if net else 1))
-                weight = np.zeros(part.num_rows)
-                buf, off = tx.strings(part.column(names.index("text")))
-                start, length, doc = windows(buf, off)
-                s = sym[buf]
-                for i in range(0, len(start) if net else 0, _BATCH):
-                    j = slice(i, i + _BATCH)
-                    p = net.probabilities(cut(s, start[j], length[j]))
-                    np.add.at(total, doc[j], p * length[j, None])
-                    np.add.at(weight, doc[j], length[j])
-                total /= np.maximum(weight, 1)[:, None]
-                best = total.argmax(axis=1)
-                known = letters & (weight > 0)
-                yield pa.RecordBatch.from_arrays([
-                    part.column(names.index("doc_id")), part.column(names.index("held_out")),
-                    pa.array([net.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]),
-                    pa.array(np.where(known, np.minimum(total.max(axis=1), 1.0), 0.0)),
-                ], ["doc_id", "held_out", "lang_pred", "score"])
+                letters = part.column(len(names) - 1).to_numpy(zero_copy_only=False)
+                language, score = predict(sent.value, part.column(names.index("text")), letters)
+                if only_known:
+                    yield part.select(names[:-1]).filter(pa.array([x != UNKNOWN for x in language], pa.bool_()))
+                else:
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), part.column(1), pa.array(language, pa.string()), pa.array(score)],
+                        ["doc_id", "held_out", "lang_pred", "score"])
     return run
 
 
+_LETTERS = r"\p{L}"
+
+
 def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs``.
 
@@ -191,10 +200,17 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     name.  Other columns are not read; an empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(net)  # about 60 kB, whatever the input
-    rows = docs.select("doc_id", "text", held_out().alias("held_out"),
-                       F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
-    return rows.mapInArrow(_scorer(sent), f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, "
-                                          "lang_pred string, score double")
+    rows = docs.select("doc_id", held_out().alias("held_out"), "text",
+                       F.coalesce(F.col("text").rlike(_LETTERS), F.lit(False)).alias("letters"))
+    return rows.mapInArrow(_scorer(sent, False), f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, "
+                                                 "lang_pred string, score double")
+
+
+def accept(docs: DataFrame, net: Network | None) -> DataFrame:
+    """The rows of ``docs`` that get a language (not ``und``), unchanged."""
+    sent = docs.sparkSession.sparkContext.broadcast(net)
+    rows = docs.select("*", F.coalesce(F.col("text").rlike(_LETTERS), F.lit(False)).alias("__letters"))
+    return rows.mapInArrow(_scorer(sent, True), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

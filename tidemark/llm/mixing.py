@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table, written
+from tidemark.llm.common import document_key, table, written
 
 #: Weights of the sources, in code point order of their names, repeating.
 WEIGHTS = (3, 1, 2)
@@ -72,7 +72,8 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL,
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL, most: float = MOST,
         seed: str = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` for every row.
+    """``doc_id, _d, _h, source, size, source_size, target, taken`` for every row
+    (``_d, _h``: its key, see ``common.keyed``).
 
     ``size`` counts ``[^\\x20\\x09-\\x0D]+`` (null text: 0, taken 0).  A null
     source is a source of its own, the last.  Rows order by key, then id, then
@@ -82,7 +83,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL, most: f
     no rows.
     """
     slim = docs.select(
-        "doc_id", "source",
+        "doc_id", document_key().alias("_d"), F.xxhash64("text").alias("_h"), "source",
         F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
         key("doc_id", quality(), seed).alias("_key"))
     slim = written(slim, "mix")
@@ -114,12 +115,25 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL, most: f
     rest = rows.where(F.col("_end").isNull() | (F.col("_b") != F.col("_end"))).withColumn(
         "_extra", F.col("_end").isNull() | (F.col("_b") < F.col("_end")))
     taken = F.col("size") * (F.col("_epochs") + F.when(F.col("_extra") & (F.col("_budget") > 0), 1).otherwise(0))
-    return rest.unionByName(last).select("doc_id", "source", "size", "source_size", "target",
+    return rest.unionByName(last).select("doc_id", "_d", "_h", "source", "size", "source_size", "target",
                                          taken.cast("long").alias("taken"))
 
 
+def draw(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with ``mix_copies`` (times that
+    the mix takes the text) and ``mix_words`` (words that it takes, repeats
+    counted).  Rows that repeat an id and a text become one, whose copies add
+    up; a text without words is never taken.  Options as for ``mix``."""
+    taken = mix(docs, **options).where("taken > 0").groupBy("_d", "_h").agg(
+        F.sum(F.col("taken") / F.col("size")).cast("long").alias("__copies"), F.sum("taken").alias("__words"))
+    taken = taken.withColumnsRenamed({"_d": "__d", "_h": "__h"})
+    rows = docs.drop("mix_copies", "mix_words").withColumns({"__d": document_key(), "__h": F.xxhash64("text")})
+    rows = rows.join(taken, ["__d", "__h"]).dropDuplicates(["__d", "__h"])
+    return rows.withColumnsRenamed({"__copies": "mix_copies", "__words": "mix_words"}).drop("__d", "__h")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).drop("source")
+    return mix(table(spark, sf_dir, "documents")).drop("_d", "_h", "source")
 
 
 ORACLE = r"""

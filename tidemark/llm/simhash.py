@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import NO_ID, keyed, table, written
+from tidemark.llm.common import document_key, keyed, table, written
 from tidemark.llm.graph import components
 
 SHINGLE = 3
@@ -231,8 +231,7 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, s
     columns stay as they are."""
     first = _components(docs, shingle, radius, seed, tile).select("first").distinct().select(
         F.col("first._d").alias("_fd"), F.col("first._h").alias("_fh"))
-    rows = docs.withColumns({"__d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-                             "__h": F.xxhash64("text")})
+    rows = docs.withColumns({"__d": document_key(), "__h": F.xxhash64("text")})
     kept = rows.join(first, (F.col("__d") == F.col("_fd")) & (F.col("__h") == F.col("_fh")), "left_semi")
     return kept.dropDuplicates(["__d", "__h"]).select(*docs.columns)
 

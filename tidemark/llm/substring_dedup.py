@@ -16,9 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import keyed, table
+from tidemark.llm.common import document_key, keyed, table
 from tidemark.llm.repeats import Windows, offsets_of, removed, repeated_spans
 
 WINDOW = 20
@@ -100,6 +101,35 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
                          "kept string")
 
 
+def _cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in tx.slices(batch, "text"):
+            names = part.schema.names
+            at = names.index("text")
+            texts = part.column(at).to_pylist()
+            cuts = removed(part.column(names.index("__spans")), np.zeros(len(texts)))
+            for i, (a, b) in enumerate(cuts):
+                if len(a):
+                    w = texts[i].encode().split()
+                    texts[i] = b" ".join(
+                        x for s, e in zip([0, *b], [*a, len(w)], strict=True) for x in w[s:e]).decode()
+            columns = [pa.array(texts, pa.string()) if i == at else part.column(i) for i in range(len(names) - 1)]
+            yield pa.RecordBatch.from_arrays(columns, names[:-1])
+
+
+def clean(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_rows: int = 4096) -> DataFrame:
+    """The rows of ``docs`` with the words of earlier windows gone from
+    ``text``: a text that loses words is its other words joined by one space
+    (maybe none), all others stay as they are.  Other columns are unchanged;
+    nulls and repeats are treated as in ``remove_repeats``."""
+    spec = Windows("words", window, gram, every=False, group_rows=group_rows)
+    spans = repeated_spans(keyed(docs), spec, resolve, "substrings").select(
+        F.col("_d").alias("__d"), F.col("_h").alias("__h"), F.col("spans").alias("__spans"))
+    rows = docs.withColumns({"__d": document_key(), "__h": F.xxhash64("text")})
+    rows = rows.join(spans, ["__d", "__h"], "left").select(*docs.columns, "__spans")
+    return rows.mapInArrow(_cleaner, docs.schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
