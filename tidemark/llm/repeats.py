@@ -239,10 +239,13 @@ def repeated_spans(rows: DataFrame, spec: Windows, resolver: Resolver, name: str
     that agree in the key count as one document."""
     text = rows.select(F.lit(0).alias("x"), "text", "_d", "_h")
     found = written(text.mapInArrow(_find(spec), "k long, c long, _d long, _h long, at long"), f"{name}-anchors")
-    often = found.groupBy("k").count().where("count > 1").select("k")
+    # counts are written before they are joined: only a join of plain tables is split where a key is hot
+    often = written(found.groupBy("k").count().where("count > 1").select("k"), f"{name}-often")
     found = written(found.join(often, "k").distinct(), f"{name}-candidates")
-    classes = found.groupBy(*_KEY).agg(F.count("*").alias("n"), F.min(F.struct(*_AT)).alias("o"))
-    several = classes.groupBy("k").agg(F.count("*").alias("m")).where("m > 1").select("k")
+    classes = written(found.groupBy(*_KEY).agg(F.count("*").alias("n"), F.min(F.struct(*_AT)).alias("o")),
+                      f"{name}-classes")
+    several = written(classes.groupBy("k").agg(F.count("*").alias("m")).where("m > 1").select("k"),
+                      f"{name}-several")
     several = classes.join(several, "k").select("k", "c", "n", "o.*")
 
     wants = several.groupBy("_d", "_h").agg(F.collect_list(F.struct("k", "c", "n", "at")).alias("want"))
