@@ -15,7 +15,7 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's smallest one."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    low = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "star")
     return (both.join(low, "u").where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
 
@@ -23,7 +23,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
+    low = written(down.groupBy("u").agg(F.min("v").alias("m")), "star")
     return (down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
 
@@ -33,7 +33,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     (columns ``u, v`` of one orderable type).  Rows with a null end and loops
     tie nothing; a node only in such rows has no row.  Repeated edges count
     once.  The neighbours of a node are only aggregated or joined, never
-    gathered, and each round is a written table."""
+    gathered; the smallest neighbours are written before they are joined, so that
+    the join is split at a hub, and each round is a written table."""
     now = written(edges.select("u", "v").where("u <> v").distinct(), name)
     state = _state(now)
     while state[0]:

@@ -187,7 +187,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TIL
     """``u, v``: links of distinct fingerprints (column ``fp``) that connect
     all that lie within ``radius`` bits of each other, directly or in steps."""
     rows = distinct.select("fp", F.explode(F.array(*table_keys(F.col("fp"), radius))).alias("key"))
-    full = rows.groupBy("key").count().where("count > 1")
+    full = written(rows.groupBy("key").count().where("count > 1"), "simhash-buckets")
     rows = rows.join(full, "key").withColumn("n", F.ceil(F.col("count") / tile).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("n").cast("long")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
