@@ -6,7 +6,10 @@ All arithmetic stays in built-in Spark expressions; division goes through
 
 from __future__ import annotations
 
-from pyspark.sql import Column, WindowSpec
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -14,6 +17,18 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str] | str,
+            how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null, so that rows with a null key
+    meet their group's row.  Key columns come from ``left``."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if not keys:
+        return left.crossJoin(right)  # one row of whole-table statistics
+    right = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return left.join(right, on, how).drop(*[f"__{k}" for k in keys])
+
+
 def div(n: Column | str, d: Column | str) -> Column:
     """n / d, null when d is 0 or null."""
     return F.try_divide(col(n), col(d))

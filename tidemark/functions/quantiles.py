@@ -1,17 +1,17 @@
 """Exact quantiles (linear interpolation) without holding a group in one task.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer; a hot group would not fit.  Here:
+aggregation buffer; a hot group would not fit.  Here, whatever the group's size:
 
-1. one pass: ``count``, ``min``, ``max`` and a ``percentile_approx`` sketch
-   per group at p -/+ 3/ACCURACY (rank error of the sketch <= n/ACCURACY,
-   so for n > SMALL_GROUP the band [lo, hi] brackets the ranks
-   floor/ceil(p (n-1)); smaller groups use [min, max]);
-2. second pass: rows below ``lo`` are only counted; rows inside the band are
-   grouped by value (ties collapse map-side) — about 6 n / ACCURACY values;
+1. one pass: ``count`` and a ``percentile_approx`` sketch per group at
+   p -/+ 3/ACCURACY (rank error of the sketch <= n/ACCURACY) give a band of
+   values around each wanted rank;
+2. second pass, all bands of a group tested in one projection: rows below a band
+   are only counted, next to the largest value below it and the smallest above;
+   rows inside are grouped by value, about 6 n / ACCURACY distinct values;
 3. a running count over the band's distinct values finds the two order
-   statistics; the result interpolates between them like pandas /
-   ``quantile_cont``.
+   statistics floor/ceil(p (n-1)).  A rank just outside the band is the
+   neighbouring value; one further off raises an error, never a wrong result.
 
 Input is long form: group columns + one value column.
 """
@@ -20,59 +20,57 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import join_on
+
 ACCURACY = 100_000
 _MARGIN = 3.0 / ACCURACY
-# Groups up to this size rank all their distinct values (bounded work); above
-# it the sketch band spans >= 6 ranks beyond the sketch's rank error.
-SMALL_GROUP = 2 * ACCURACY
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float]) -> DataFrame:
     """Return keys + ``p`` + ``q`` (quantile of ``value`` at p), one row per
-    (group, p); nulls are ignored; groups with no values are absent."""
+    (group, p); nulls are ignored; groups with no values are absent.  A null
+    key is a group like any other."""
     keys = list(keys)
-    x = F.col(value)
     probs = [float(p) for p in probs]
-    lo_p = [max(0.0, p - _MARGIN) for p in probs]
-    hi_p = [min(1.0, p + _MARGIN) for p in probs]
-    data = df.select(*keys, x.cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    cuts = [max(0.0, p - _MARGIN) for p in probs] + [min(1.0, p + _MARGIN) for p in probs]
+    data = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     stats = data.groupBy(*keys).agg(
-        F.count("_x").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
-        F.percentile_approx("_x", lo_p + hi_p, ACCURACY).alias("_ap"))
+        F.count("_x").alias("_n"), F.percentile_approx("_x", cuts, ACCURACY).alias("_ap"))
     k = len(probs)
-    small = F.col("_n") <= F.lit(SMALL_GROUP)
-    bands = stats.select(
-        *keys, "_n",
-        F.explode(F.array(*[
-            F.struct(
-                F.lit(i).alias("_i"), F.lit(p).alias("p"),
-                (F.lit(p) * (F.col("_n") - 1)).alias("_r"),
-                (F.col("_min") if lo_p[i] == 0.0 else
-                 F.when(small, F.col("_min")).otherwise(F.col("_ap")[i])).alias("_lo"),
-                (F.col("_max") if hi_p[i] == 1.0 else
-                 F.when(small, F.col("_max")).otherwise(F.col("_ap")[k + i])).alias("_hi"))
-            for i, p in enumerate(probs)])).alias("_b"),
-    ).select(*keys, "_n", "_b.*")
-    joined = data.join(bands, keys, "inner")
-    below = joined.groupBy(*keys, "_i").agg(
-        F.count_if(F.col("_x") < F.col("_lo")).alias("_below"))
-    inband = (joined.filter((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
+    x = F.col("_x")
+    lo, hi = ([F.col("_ap")[i] for i in range(k)], [F.col("_ap")[k + i] for i in range(k)])
+    joined = join_on(data, stats, keys)
+    sides = joined.groupBy(*keys).agg(F.first("_n").alias("_n"), *[e for i in range(k) for e in (
+        F.count_if(x < lo[i]).alias(f"_b{i}"), F.max(F.when(x < lo[i], x)).alias(f"_p{i}"),
+        F.min(F.when(x > hi[i], x)).alias(f"_s{i}"))])
+    sides = sides.select(*keys, "_n", F.explode(F.array(*[F.struct(
+        F.lit(i).alias("_i"), F.lit(p).alias("p"), F.col(f"_b{i}").alias("_below"), F.col(f"_p{i}").alias("_prev"),
+        F.col(f"_s{i}").alias("_next")) for i, p in enumerate(probs)])).alias("_e")).select(*keys, "_n", "_e.*")
+    hits = F.filter(F.array(*[F.when((x >= lo[i]) & (x <= hi[i]), F.lit(i)) for i in range(k)]),
+                    lambda i: i.isNotNull())
+    inband = (joined.select(*keys, "_x", F.explode(hits).alias("_i"))
               .groupBy(*keys, "_i", "_x").agg(F.count(F.lit(1)).alias("_c")))
     wr = Window.partitionBy(*keys, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (inband.join(below, keys + ["_i"], "inner")
-              .withColumn("_cum", F.col("_below") + F.sum("_c").over(wr)))
-    ranked = ranked.join(bands.select(*keys, "_i", "p", "_r"), keys + ["_i"], "inner")
-    r_lo, r_hi = F.floor("_r"), F.ceil("_r")
-    picked = ranked.groupBy(*keys, "_i", "p", "_r").agg(
-        F.min(F.when(F.col("_cum") > r_lo, F.col("_x"))).alias("_v_lo"),
-        F.min(F.when(F.col("_cum") > r_hi, F.col("_x"))).alias("_v_hi"))
-    frac = F.col("_r") - F.floor("_r")
-    q = F.when(frac == 0, F.col("_v_lo")).otherwise(
-        F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * frac)
+    ranked = join_on(inband.withColumn("_cum", F.sum("_c").over(wr)), sides, [*keys, "_i"])
+    r = F.col("p") * (F.col("_n") - 1)
+    cum = F.col("_below") + F.col("_cum")
+    group = [*keys, "_i", "p", "_n", "_below", "_prev", "_next"]
+    picked = ranked.groupBy(*group).agg(
+        F.max(cum).alias("_upto"), F.min(F.when(cum > F.floor(r), x)).alias("_v_lo"),
+        F.min(F.when(cum > F.ceil(r), x)).alias("_v_hi"))
+
+    def at(rank: Column, inside: str) -> Column:
+        return (F.when((rank >= F.col("_below")) & (rank < F.col("_upto")), F.col(inside))
+                .when(rank == F.col("_upto"), F.col("_next"))
+                .when(rank == F.col("_below") - 1, F.col("_prev"))
+                .otherwise(F.raise_error(F.lit("quantile rank outside the sketch's band")).cast("double")))
+    frac = r - F.floor(r)
+    low = at(F.floor(r), "_v_lo")
+    q = F.when(frac == 0, low).otherwise(low + (at(F.ceil(r), "_v_hi") - low) * frac)
     return picked.select(*keys, "p", q.alias("q"))
 
 

@@ -1,20 +1,24 @@
 """Recursive exponential moving average as a blocked scan.
 
 y_0 = x_0, y_i = alpha * x_i + q * y_{i-1}, q = 1 - alpha, alpha = 2/(span+1)
-(pandas ``ewm(span, adjust=False)``).  Spark has no recursive window, but the
-recurrence is linear, so it splits into blocks of B rows:
-
-* in-block value with zero carry: loc_i = q^j * sum_{j'<=j} c_j' q^-j'
-  (j = row index in the block, c = x_0 at the series start else alpha*x);
-  a running ``sum`` over ``partitionBy(series, chunk, block)`` — same shuffle
-  as the chunk window, only a different sort.
-* block-end value with carry: E_b = sum_{g=0..m-1} loc_end(b-g) * q^(B g),
-  a handful of fixed-offset ``lag``s; terms beyond m weigh < 1e-17.
-* y_i = loc_i + E_{b-1} * q^(j+1), E_{b-1} from ``last(ignorenulls)`` over the
-  rows before the current one.
-
-The same bound means a chunk only needs ``horizon(span)`` halo rows to be
-exact to double precision.  Inputs must be non-null (fill first).
+(pandas ``ewm(span, adjust=False)``).  A null keeps the value; the next
+observation, g rows after the last, weighs the old value with q^g:
+y_i = (q^g y + alpha x_i) / (q^g + alpha), as pandas does.
+
+Spark has no recursive window, but the recurrence y_i = A_i y + C_i x_i is
+linear, so it splits into blocks of adjoining observations, cut where the decay
+-ln A since the chunk's start passes multiples of ``_DECAY``:
+
+* F_i = product of A in the block up to i, as q^n exp(-d): n plain steps, d the
+  logarithms of the steps over gaps;
+* value with zero carry: loc_i = F_i * sum_{j<=i} C_j x_j / F_j;
+* y_i = loc_i + F_i * E, E the value at the end of the block before.  E needs no
+  carry of its own: over a whole block it decays by exp(-260) at least.
+
+Windows run over ``partitionBy(series, chunk, is null)``, the chunk's own
+shuffle with another sort.  Rows without an observation take the last y.
+Chunks must be cut by observations (``with_halo(count=x)``): then
+``horizon(span)`` halo positions make a chunk exact to 1e-17.
 """
 
 from __future__ import annotations
@@ -27,25 +31,21 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import CHUNK, POS, Layout
 
-BLOCK = 128
 _EPS = 1e-17
+#: Decay (as a negative logarithm) of a block; exp of it must be a double.
+_DECAY = 300.0
+#: Most that one step counts; beyond it the old value is below _EPS anyway.
+_STEP = 40.0
 
 
 def alpha(span: float) -> float:
     return 2.0 / (span + 1.0)
 
 
-def _ends(span: float) -> int:
-    """Number of block ends whose carry weight is above _EPS."""
-    q = 1.0 - alpha(span)
-    if q <= 0.0:
-        return 1
-    return max(1, math.ceil(math.log(_EPS) / (BLOCK * math.log(q))))
-
-
 def horizon(span: float) -> int:
-    """Rows of history after which an earlier start changes y by < 1e-17·|x|."""
-    return BLOCK * (_ends(span) + 1)
+    """Observations after which an earlier start changes y by < 1e-17·|x|."""
+    q = 1.0 - alpha(span)
+    return 1 if q <= 0.0 else math.ceil(math.log(_EPS) / math.log(q)) + 1
 
 
 def dbl(v: float) -> str:
@@ -57,36 +57,50 @@ def ema_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]],
                 layout: Layout) -> DataFrame:
     """Add EMA columns to a framed (position + chunk) DataFrame.
 
-    ``specs`` = [(input column, span, output column)]; all share three window
-    stages.  The frame's halo must be at least ``horizon(span)``.  Expressions
-    are generated as SQL text: one parse per column instead of hundreds of
-    driver round trips.
+    ``specs`` = [(input column, span, output column)].  The frame's halo must
+    hold ``horizon(span)`` observations.  Rows before the first observation get
+    null.  Expressions are generated as SQL text: one parse per column instead
+    of hundreds of driver round trips.
     """
     w = layout.window_sql()
-    wsub = (f"PARTITION BY `{layout.series}`, `{CHUNK}`, ({POS} div {BLOCK}) "
-            f"ORDER BY `{POS}`")
-    j = f"pmod(`{POS}`, {BLOCK})"
-    locs, ends, prevs, outs = {}, {}, {}, {}
+    order = w[w.index("ORDER BY"):]
+    upto = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    df = framed.withColumn("_row", F.expr(f"row_number() OVER ({w})"))
+    inputs = list(dict.fromkeys(x for x, _, _ in specs))
+    wo = {x: f"PARTITION BY `{layout.series}`, `{CHUNK}`, (`{x}` IS NULL) {order}" for x in inputs}
+    df = df.withColumns({f"_i_{x}": F.expr(f"row_number() OVER ({wo[x]}) - 1") for x in inputs}
+                        | {f"_g_{x}": F.expr(f"`_row` - lag(`_row`) OVER ({wo[x]})") for x in inputs})
+    stages: list[dict] = [{} for _ in range(7)]
+    outs = {}
     for x, span, out in specs:
         a = alpha(span)
         q = 1.0 - a
+        v, i, g = f"CAST(`{x}` AS DOUBLE)", f"`_i_{x}`", f"`_g_{x}`"
+        last = f"last(%s, true) OVER ({w} {upto})"
         if q <= 0.0:
-            outs[out] = F.col(x).cast("double")
+            outs[out] = F.expr(last % v)
             continue
-        c = f"CASE WHEN `{POS}` = 0 THEN `{x}` ELSE {dbl(a)} * `{x}` END"
-        locs[f"_loc_{out}"] = F.expr(
-            f"pow({dbl(q)}, {j}) * sum(({c}) * pow({dbl(q)}, -{j})) OVER ({wsub} "
-            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-        terms = [f"`_loc_{out}`"] + [
-            f"coalesce(lag(`_loc_{out}`, {g * BLOCK}) OVER ({w}), {dbl(0.0)}) * {dbl(q ** (g * BLOCK))}"
-            for g in range(1, _ends(span))]
-        ends[f"_end_{out}"] = F.expr(f"CASE WHEN {j} = {BLOCK - 1} THEN {' + '.join(terms)} END")
-        prevs[f"_prev_{out}"] = F.expr(
-            f"last(`_end_{out}`, true) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-        outs[out] = F.expr(f"`_loc_{out}` + coalesce(`_prev_{out}`, {dbl(0.0)}) * "
-                           f"pow({dbl(q)}, {j} + 1)")
-    df = framed
-    if locs:
-        df = df.withColumns(locs).withColumns(ends).withColumns(prevs)
+        plain = f"(coalesce({g}, 1) = 1)"
+        over = f"(pow({dbl(q)}, {g}) + {dbl(a)})"
+        decay = f"least({dbl(_STEP)}, ln({over}) - {g} * {dbl(math.log(q))})"
+        wsub = f"PARTITION BY `{layout.series}`, `{CHUNK}`, (`{x}` IS NULL), `_b_{out}` {order}"
+        factor = f"pow({dbl(q)}, %s`_n_{out}`) * exp(%s`_d_{out}`)"
+        c = (f"CASE WHEN `{CHUNK}` = 0 AND {i} = 0 THEN {v} WHEN {plain} THEN {dbl(a)} * {v} "
+             f"ELSE {dbl(a)} / {over} * {v} END")
+        for stage, column in zip(stages, (
+            {"b": f"floor(sum(CASE WHEN {plain} THEN {dbl(-math.log(q))} ELSE {decay} END) OVER ({wo[x]} {upto}) "
+                  f"/ {dbl(_DECAY)})"},
+            {"n": f"sum(CASE WHEN {plain} THEN 1 ELSE 0 END) OVER ({wsub} {upto})",
+             "d": f"sum(CASE WHEN {plain} THEN {dbl(0.0)} ELSE {decay} END) OVER ({wsub} {upto})"},
+            {"loc": f"{factor % ('', '-')} * sum(({c}) * {factor % ('-', '')}) OVER ({wsub} {upto})"},
+            {"end": f"CASE WHEN lead(`_b_{out}`) OVER ({wo[x]}) <> `_b_{out}` THEN `_loc_{out}` END"},
+            {"prev": f"last(`_end_{out}`, true) OVER ({wo[x]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"},
+            {"y": f"CASE WHEN `{x}` IS NOT NULL THEN `_loc_{out}` + coalesce(`_prev_{out}`, {dbl(0.0)}) * "
+                  f"{factor % ('', '-')} END"},
+        ), strict=False):
+            stage.update({f"_{k}_{out}": F.expr(e) for k, e in column.items()})
+        outs[out] = F.expr(last % f"`_y_{out}`")
+    for stage in stages:
+        df = df.withColumns(stage) if stage else df
     keep = [c for c in framed.columns if c not in outs]
     return df.select(*keep, *[v.alias(k) for k, v in outs.items()])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import div, direction, frame
+from tidemark.functions.exprs import direction, div, frame, join_on
 from tidemark.functions.quantiles import exact_quantiles
 from tidemark.operators import ordered
 from tidemark.operators.ordered import CHUNK, HALO, HOURLY, POS, Layout
@@ -120,13 +120,13 @@ def error_summary(df: DataFrame) -> DataFrame:
         F.stddev_pop(e).alias("error_std"), F.avg(e).alias("error_mean"))
     med = exact_quantiles(df.select("series", e), ["series"], "err", [0.5]).select(
         "series", F.col("q").alias("error_median"))
-    return st.join(med, "series", "left")
+    return join_on(st, med, "series", "left")
 
 
 def evaluation_report(df: DataFrame, layout: Layout = HOURLY) -> DataFrame:
     """E1 + E2 + E6 in one row per series."""
-    return (regression_metrics(df).join(directional_accuracy_diff(df, layout), "series")
-            .join(error_summary(df).drop("n"), "series"))
+    both = join_on(regression_metrics(df), directional_accuracy_diff(df, layout), "series")
+    return join_on(both, error_summary(df).drop("n"), "series")
 
 
 def rolling_accuracy(dirs: DataFrame, layout: Layout = HOURLY, n: int = 20) -> DataFrame:
@@ -158,7 +158,7 @@ def cumulative_return(dirs: DataFrame, layout: Layout = HOURLY) -> DataFrame:
     before = Window.partitionBy(s).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(s, CHUNK, F.product("_ca").over(before).alias("_pa"),
                              F.product("_cp").over(before).alias("_pp"))
-    out = framed.join(summary, [s, CHUNK], "left").select(
+    out = join_on(framed, summary, [s, CHUNK], "left").select(
         s, "bar_ts", POS, HALO,
         (F.col("_ra") * F.coalesce(F.col("_pa"), F.lit(1.0))).alias("cum_actual"),
         (F.col("_rp") * F.coalesce(F.col("_pp"), F.lit(1.0))).alias("cum_predicted"))

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import join_on
 from tidemark.operators import ordered
 from tidemark.operators.ordered import HOURLY, POS, Layout
 from tidemark.session import materialize
@@ -114,11 +115,11 @@ def seasonal_naive_forecast(split: DataFrame, column: str = "close", s: int = 5)
     Input: ``chrono_split(..., keep_pos=True)`` output."""
     train = split.filter(F.col("split") == "train")
     end = train.groupBy("series").agg(F.max(POS).alias("_T"))
-    tail = (train.join(end, "series").filter(F.col(POS) > F.col("_T") - (s + 1))
+    tail = (join_on(train, end, "series").filter(F.col(POS) > F.col("_T") - (s + 1))
             .select("series", (F.col(POS) - F.col("_T")).alias("_off"), F.col(column).alias("_y")))
     state = tail.groupBy("series").agg(*[
         F.max(F.when(F.col("_off") == -k, F.col("_y"))).alias(f"_y{k}") for k in range(s + 1)])
-    test = split.filter(F.col("split") == "test").join(end, "series").join(state, "series")
+    test = join_on(join_on(split.filter(F.col("split") == "test"), end, "series"), state, "series")
     h = F.col(POS) - F.col("_T")
     r = F.pmod(h - 1, F.lit(s)) + 1
     k = F.floor((h - 1) / F.lit(s)) + 1
@@ -204,7 +205,7 @@ def sarima_fit(split: DataFrame, column: str = "close", order: Order = ORDER_A,
     lcols = [f"lw{k}" for k in range(1, long_ar + 1)]
     d1 = d1.withColumn("_x1", F.array(*[F.col(c) for c in lcols]))
     stage1 = materialize(least_squares(d1.filter(_complete(["w"] + lcols)), lcols, "w"))
-    resid = d1.join(stage1.select("series", F.col("beta").alias("_b1")), "series", "left").withColumn(
+    resid = join_on(d1, stage1.select("series", F.col("beta").alias("_b1")), "series", "left").withColumn(
         "e1", F.when(_complete(["w"] + lcols), F.col("w") - _dot("_b1", "_x1")))
     resid = resid.select("series", "bar_ts", "y", "w", "e1")
     lagcols = {f"aw{k}": ("w", k) for k in ar} | {f"ae{k}": ("e1", k) for k in ma}
@@ -220,7 +221,7 @@ def sarima_fit(split: DataFrame, column: str = "close", order: Order = ORDER_A,
     model = stage2.select("series", F.slice("beta", 1, na).alias("ar"),
                           F.slice("beta", na + 1, len(ma)).alias("ma") if ma else
                           F.array().cast("array<double>").alias("ma"), "sigma2", "n")
-    frame = d2.join(stage2.select("series", F.col("beta").alias("_b2")), "series", "left") \
+    frame = join_on(d2, stage2.select("series", F.col("beta").alias("_b2")), "series", "left") \
         .withColumn("e", F.when(ok2, F.col("w") - _dot("_b2", "_x2")).otherwise(F.lit(0.0))) \
         .select("series", "bar_ts", POS, "y", "w", "e")
     return model, frame
@@ -306,18 +307,19 @@ def sarima_forecast(split: DataFrame, column: str = "close", order: Order = ORDE
     interval sums with one batched doubling (``power_and_sum_batched``) in
     ``mapInPandas`` — rows of one series spread over tasks, no per-row loop
     over the powers."""
-    src = materialize(split.withColumn(column, F.log(column)) if log else split)
+    src = split.withColumn("_actual", F.col(column).cast("double"))
+    src = materialize(src.withColumn(column, F.log(column)) if log else src)
     model, frame = sarima_fit(src, column, order, long_ar, layout)
     depth = len(_full_ar(order, [0.0] * len(order.ar_lags()))) + max(order.ma_lags() or [0])
     end = src.filter(F.col("split") == "train").groupBy("series").agg(F.max(POS).alias("_T"))
-    tail = frame.join(end, "series").filter(F.col(POS) > F.col("_T") - depth)
+    tail = join_on(frame, end, "series").filter(F.col(POS) > F.col("_T") - depth)
     state = tail.groupBy("series").agg(
         F.sort_array(F.collect_list(F.struct(POS, "y", "e")), asc=False).alias("_st"))
-    test = (src.filter(F.col("split") == "test")
-            .select("series", "bar_ts", POS, F.col(column).cast("double").alias("actual"))
-            .join(end, "series").join(state, "series").join(model, "series")
-            .select("series", "bar_ts", "actual", (F.col(POS) - F.col("_T")).alias("h"),
-                    F.col("_st").alias("state"), "ar", "ma", "sigma2"))
+    known = join_on(join_on(end, state, "series"), model, "series")
+    test = src.filter(F.col("split") == "test").select("series", "bar_ts", POS, "_actual")
+    test = join_on(test, known, "series").select(
+        "series", "bar_ts", F.col("_actual").alias("actual"), (F.col(POS) - F.col("_T")).alias("h"),
+        F.col("_st").alias("state"), "ar", "ma", "sigma2")
     ma_lags = order.ma_lags()
 
     def run(batches):
@@ -325,8 +327,10 @@ def sarima_forecast(split: DataFrame, column: str = "close", order: Order = ORDE
             n = len(pdf)
             if n == 0:
                 continue
-            mats, states, bvecs = [], [], []
-            for ar, ma, state in zip(pdf["ar"], pdf["ma"], pdf["state"]):
+            mats, states, bvecs = [], [], []  # one of each for every series in the batch
+            code, _ = pd.factorize(pdf["series"], use_na_sentinel=False)
+            first = np.unique(code, return_index=True)[1]
+            for ar, ma, state in zip(*(pdf[c].iloc[first] for c in ("ar", "ma", "state")), strict=True):
                 A, b, P, Q = _companion(_full_ar(order, ar), ma_lags, ma)
                 st = np.zeros(P + Q)
                 ys = [s["y"] for s in state][:P]
@@ -334,16 +338,15 @@ def sarima_forecast(split: DataFrame, column: str = "close", order: Order = ORDE
                 st[:len(ys)] = ys
                 st[P:P + len(es)] = es
                 mats.append(A), states.append(st), bvecs.append(b)
-            A = np.stack(mats)
-            b = np.stack(bvecs)
+            A = np.stack(mats)[code]
+            b = np.stack(bvecs)[code]
             Ph, Sh = power_and_sum_batched(A, b[:, :, None] * b[:, None, :], pdf["h"].to_numpy())
-            mean = np.einsum("nk,nk->n", Ph[:, 0, :], np.stack(states))
+            mean = np.einsum("nk,nk->n", Ph[:, 0, :], np.stack(states)[code])
             half = Z95 * np.sqrt(np.clip(pdf["sigma2"].to_numpy(), 0, None) * Sh[:, 0, 0])
             res = pd.DataFrame({"series": pdf["series"], "bar_ts": pdf["bar_ts"],
                                 "actual": pdf["actual"], "predicted": mean,
                                 "lower": mean - half, "upper": mean + half})
             if log:
-                res[["actual", "predicted", "lower", "upper"]] = np.exp(
-                    res[["actual", "predicted", "lower", "upper"]])
+                res[["predicted", "lower", "upper"]] = np.exp(res[["predicted", "lower", "upper"]])
             yield res
     return test.mapInPandas(run, FORECAST_SCHEMA)

@@ -85,21 +85,13 @@ def sma_cols(w: WindowSpec, partial: bool = False) -> dict:
 
 
 def ema_window_expr(w: WindowSpec | str, n: int, x: str = "close"):
-    """EMA over the last n values seeded with the oldest of them.
-
-    For a frame of k = min(n, rows so far) values the recursion unrolls to
-    x_oldest q^(k-1) + sum_{d<k-1} alpha x_{-d} q^d: weighted fixed lags.
-    ``w`` is the window as SQL text (the layout's ``window_sql()``).
-    """
+    """EMA over the values (not the nulls) of the last n rows, seeded with
+    the oldest of them; null if there are none.  ``w`` is the window as SQL text
+    (the layout's ``window_sql()``)."""
     a = 2.0 / (n + 1.0)
-    q = 1.0 - a
-    k = f"count(`{x}`) OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-    terms = []
-    for d in range(n):
-        lagged = f"`{x}`" if d == 0 else f"lag(`{x}`, {d}) OVER ({w})"
-        terms.append(f"(CASE WHEN {d} < {k} - 1 THEN {dbl(a)} * {lagged} WHEN {d} = {k} - 1 "
-                     f"THEN {lagged} ELSE {dbl(0.0)} END) * {dbl(q ** d)}")
-    return F.expr(" + ".join(terms))
+    values = f"collect_list(CAST(`{x}` AS DOUBLE)) OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return F.expr(f"element_at(transform(array({values}), v -> aggregate(slice(v, 2, greatest(size(v) - 1, 0)), "
+                  f"get(v, 0), (acc, y) -> y * {dbl(a)} + acc * {dbl(1.0 - a)})), 1)")
 
 
 def ema_weighted_expr(w: WindowSpec | str, n: int, x: str = "close"):
@@ -196,7 +188,7 @@ def sma_partial_op(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
 def ema(bars: DataFrame, layout: Layout = HOURLY, spans=EMA_SPANS, x: str = "close") -> DataFrame:
     halo = max(_ema.horizon(s) for s in spans)
     specs = [(x, s, f"ema_{s}") for s in spans]
-    return run_windows(bars, lambda f, w: _ema.ema_columns(f, specs, layout), halo, layout)
+    return run_windows(bars, lambda f, w: _ema.ema_columns(f, specs, layout), halo, layout, count=x)
 
 
 def ema_window(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
@@ -248,7 +240,7 @@ def macd(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
                              layout)
         f = f.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
         return _ema.ema_columns(f, [("macd", MACD_SIGNAL, "macd_signal")], layout)
-    return run_windows(bars, build, EMA_HALO, layout)
+    return run_windows(bars, build, EMA_HALO, layout, count="close")
 
 
 def _pct_raw(w):
@@ -324,7 +316,7 @@ def technical_features(bars: DataFrame, layout: Layout = HOURLY,
         f = f.withColumn("macd", F.col("ema_12") - F.col("_ema_26"))
         return _ema.ema_columns(f, [("macd", MACD_SIGNAL, "macd_signal")], layout)
 
-    out = run_windows(bars, build, EMA_HALO, layout)
+    out = run_windows(bars, build, EMA_HALO, layout, count="close")
     base = [c for c in bars.columns]
     out = out.select(*base, *FEATURE_COLUMNS)
     return fill_zero_op(out, FEATURE_COLUMNS) if fill_zero else out

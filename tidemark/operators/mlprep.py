@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import div
+from tidemark.functions.exprs import div, join_on
 from tidemark.operators import ordered
 from tidemark.operators.ordered import HOURLY, POS, Layout
 
@@ -23,7 +23,7 @@ def chrono_split(df: DataFrame, layout: Layout = HOURLY, train: float = 0.8,
     'test' (n = rows of the series)."""
     p = ordered.with_position(df, layout)
     n = ordered.series_counts(df, layout, "_n")
-    out = p.join(n, layout.series).withColumn(
+    out = join_on(p, n, layout.series).withColumn(
         "split", F.when(F.col(POS) < F.floor(F.col("_n") * F.lit(train)), "train")
         .otherwise("test")).drop("_n")
     return out if keep_pos else out.drop(POS)
@@ -37,7 +37,10 @@ def hash_split(df: DataFrame, key: str, train: float = 0.8, salt: int = 42) -> D
     """M2, deterministic: 'train' when ((key * 2654435761 + salt) mod 2^32)
     mod 100 < 100 * train.  Repeatable across engines and re-runs (a lost
     executor recomputes the same split)."""
-    h = F.pmod(F.col(key).cast("long") * F.lit(HASH_MULT) + F.lit(salt), F.lit(HASH_MOD))
+    k = F.pmod(F.col(key).cast("long"), F.lit(HASH_MOD))
+    # in two halves of 16 bits, as the whole product may not fit a long
+    high = F.pmod(F.shiftright(k, 16) * F.lit(HASH_MULT), F.lit(1 << 16)) * F.lit(1 << 16)
+    h = F.pmod(high + k.bitwiseAND(F.lit(0xFFFF)) * F.lit(HASH_MULT) + F.lit(salt), F.lit(HASH_MOD))
     return df.withColumn("split", F.when(F.pmod(h, F.lit(100)) < F.lit(int(round(train * 100))),
                                          "train").otherwise("test"))
 
@@ -60,7 +63,7 @@ def standard_scale(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     """M4: (x - mean) / population std (sklearn StandardScaler; MLlib's
     scaler uses n-1).  Zero std -> 0 like sklearn (scale 1)."""
     st = stats if stats is not None else scaler_stats(df, keys, columns)
-    out = df.join(st, list(keys), "left")
+    out = join_on(df, st, keys, "left")
     return out.withColumns({
         f"{c}{suffix}": F.coalesce(
             div(F.col(c) - F.col(f"{c}__mean"),
@@ -75,7 +78,7 @@ def inverse_scale(df: DataFrame, keys: Sequence[str], column: str, stats: DataFr
     st = stats.select(*keys, F.col(f"{source}__mean").alias("_m"),
                       F.col(f"{source}__std").alias("_s"))
     scale = F.when(F.col("_s") != 0, F.col("_s")).otherwise(F.lit(1.0))
-    return (df.join(st, list(keys), "left")
+    return (join_on(df, st, keys, "left")
             .withColumn(out, F.col(column) * scale + F.col("_m")).drop("_m", "_s"))
 
 

@@ -28,6 +28,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import join_on
+
 POS = "_pos"
 CHUNK = "_chunk"
 HALO = "_halo"
@@ -35,6 +37,7 @@ _TB = "_tb"
 _RN = "_rn"
 _CNT = "_cnt"
 _OFF = "_off"
+_NTH = "_nth"
 
 
 @dataclass(frozen=True)
@@ -53,11 +56,11 @@ class Layout:
     chunk_rows: int = 1 << 15
 
     def window(self):
-        return Window.partitionBy(self.series, CHUNK).orderBy(POS)
+        return Window.partitionBy(self.series, CHUNK).orderBy(POS, F.col(self.ts).asc_nulls_last())
 
     def window_sql(self) -> str:
         """The same window as SQL text (for expressions built as strings)."""
-        return f"PARTITION BY `{self.series}`, `{CHUNK}` ORDER BY `{POS}`"
+        return f"PARTITION BY `{self.series}`, `{CHUNK}` ORDER BY `{POS}`, `{self.ts}` NULLS LAST"
 
 
 HOURLY = Layout(block_seconds=4096 * 3600)
@@ -70,34 +73,44 @@ def _block_id(layout: Layout) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(layout.block_seconds * 1_000_000))
 
 
-def with_position(df: DataFrame, layout: Layout = HOURLY) -> DataFrame:
-    """Add ``_pos`` (0-based row number inside the series, ordered by ts)."""
+def with_position(df: DataFrame, layout: Layout = HOURLY, count: str | None = None) -> DataFrame:
+    """Add ``_pos`` (0-based row number inside the series, ordered by ts).
+
+    Rows without a time stamp come last in their series; a null series is a
+    series.  With ``count`` only rows with a value there are numbered: others
+    share the position of the last one before (-1 if there is none)."""
     if POS in df.columns:
-        return df
+        if count is None:
+            return df
+        df = df.drop(POS)
     s = layout.series
     block = _block_id(layout)
-    numbered = df.select(
-        "*", block.alias(_TB),
-        F.row_number().over(Window.partitionBy(s, block).orderBy(layout.ts)).alias(_RN),
-        F.count(F.lit(1)).over(Window.partitionBy(s, block)).alias(_CNT))
-    before = Window.partitionBy(s).orderBy(_TB).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(s, block)
+    order = inside.orderBy(F.col(layout.ts).asc_nulls_last())
+    numbered = df.select("*", block.alias(_TB), F.row_number().over(order).alias(_RN),
+                         F.count(count or F.lit(1)).over(inside).alias(_CNT))
+    if count:
+        numbered = numbered.withColumn(_NTH, F.count(count).over(
+            order.rowsBetween(Window.unboundedPreceding, 0)))
+    before = (Window.partitionBy(s).orderBy(F.col(_TB).asc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
     blocks = numbered.filter(F.col(_RN) == 1).select(
         s, _TB, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
-    return numbered.join(blocks, [s, _TB], "inner").select(
-        *df.columns, (F.col(_OFF) + F.col(_RN) - 1).cast("long").alias(POS))
+    nth = F.col(_NTH if count else _RN)
+    return join_on(numbered, blocks, [s, _TB]).select(
+        *df.columns, (F.col(_OFF) + nth - 1).cast("long").alias(POS))
 
 
-def with_halo(df: DataFrame, halo: int, layout: Layout = HOURLY) -> DataFrame:
-    """Add ``_chunk`` and copy the last ``halo`` rows of each chunk forward.
+def with_halo(df: DataFrame, halo: int, layout: Layout = HOURLY, count: str | None = None) -> DataFrame:
+    """Add ``_chunk`` and copy the last ``halo`` positions of each chunk forward.
 
     ``posexplode`` of [own chunk] or [own chunk, next chunk]: element 1 is
-    the halo copy, flagged by ``_halo`` (a cheap projection of the index)."""
-    c = layout.chunk_rows
-    if halo >= c:
-        raise ValueError(f"halo {halo} must be smaller than chunk_rows {c}")
-    df = with_position(df, layout)
-    own = F.expr(f"{POS} div {c}")
-    in_tail = F.pmod(F.col(POS), F.lit(c)) >= F.lit(c - halo)
+    the halo copy, flagged by ``_halo`` (a cheap projection of the index).  A
+    halo longer than half a chunk makes the chunks longer."""
+    c = max(layout.chunk_rows, 2 * halo)
+    df = with_position(df, layout, count)
+    own = F.expr(f"greatest({POS}, 0) div {c}")
+    in_tail = (F.col(POS) >= 0) & (F.pmod(F.col(POS), F.lit(c)) >= F.lit(c - halo))
     targets = F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))
     return df.select("*", F.posexplode(targets).alias(HALO, CHUNK))
 
@@ -110,9 +123,9 @@ def strip(df: DataFrame, keep_pos: bool = False) -> DataFrame:
 
 
 def run_windows(df: DataFrame, build, halo: int, layout: Layout = HOURLY,
-                keep_pos: bool = False) -> DataFrame:
+                keep_pos: bool = False, count: str | None = None) -> DataFrame:
     """Position + halo, ``build(frame, w)`` adds columns, then strip."""
-    framed = with_halo(df, halo, layout)
+    framed = with_halo(df, halo, layout, count)
     return strip(build(framed, layout.window()), keep_pos=keep_pos)
 
 

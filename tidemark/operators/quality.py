@@ -13,9 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
-from tidemark.functions.exprs import div
+from tidemark.functions.exprs import div, join_on
 from tidemark.functions.quantiles import exact_quantiles, quantile_columns, unpivot
 from tidemark.operators import ordered
 from tidemark.operators.ordered import CHUNK, HALO, POS, Layout
@@ -37,11 +37,16 @@ def overview(df: DataFrame) -> DataFrame:
         "n_rows", F.lit(len(fields)).alias("n_columns")).select("c.*", "n_rows", "n_columns")
 
 
+def _missing(df: DataFrame, c: str):
+    kind = df.schema[c].dataType
+    return F.col(c).isNull() | F.isnan(c) if isinstance(kind, (DoubleType, FloatType)) else F.col(c).isNull()
+
+
 def missing_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Q2: nulls (and NaN for doubles) per column, with percent of rows."""
     columns = list(columns or df.columns)
     row = df.agg(F.count(F.lit(1)).alias("_n"), *[
-        F.sum(F.col(c).isNull().cast("long")).alias(f"_m{i}") for i, c in enumerate(columns)])
+        F.sum(_missing(df, c).cast("long")).alias(f"_m{i}") for i, c in enumerate(columns)])
     return row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_m{i}").alias("missing"),
                  (F.col(f"_m{i}") * 100.0 / F.col("_n")).alias("pct_missing"))
@@ -77,7 +82,7 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None,
     """Q4: the 2nd and later copies of each value combination (keep-first).
 
     ``columns`` default to all; the first copy is the one with the lowest
-    ``order`` (full-row ties: one of them).  Firsts come from partial
+    ``order`` (nulls are highest; full-row ties: one of them).  Firsts come from partial
     aggregations joined back, so a hot group never lands in one window task."""
     allc = list(df.columns)
     cols = list(columns or allc)
@@ -90,8 +95,9 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None,
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)], "_first")
     cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(cols)]
     joined = df.join(first, cond, "inner")
-    later = joined.filter(F.col(order) != F.col("_first")).select(*allc)
-    ties = joined.filter(F.col(order) == F.col("_first")).select(*allc)
+    is_first = F.col(order).eqNullSafe(F.col("_first"))
+    later = joined.filter(~is_first).select(*allc)
+    ties = joined.filter(is_first).select(*allc)
     tc = ties.groupBy(*allc).agg(F.count(F.lit(1)).alias("_n"))
     keep = tc.groupBy(*cols).agg(F.min(F.struct(*allc)).alias("_keep")).select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)], "_keep")
@@ -112,7 +118,7 @@ def describe(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Data
     qs = exact_quantiles(long, k, "value", [0.25, 0.5, 0.75])
     wide = qs.groupBy(*k).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
                                for p, n in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]])
-    return basic.join(wide, k, "left")
+    return join_on(basic, wide, k, "left")
 
 
 def summary_stats(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -149,11 +155,11 @@ def iqr_outliers(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     k = list(keys) + ["column_name"]
     bounds = iqr_bounds(df, keys, columns, approx)
     long = unpivot(df, keys, columns)
-    counted = long.join(bounds, k, "inner").groupBy(*k).agg(
+    counted = join_on(long, bounds, k).groupBy(*k).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if((F.col("value") < F.col("lower_bound")) |
                    (F.col("value") > F.col("upper_bound"))).alias("outliers"))
-    return (bounds.join(counted, k, "inner")
+    return (join_on(bounds, counted, k)
             .withColumn("pct_outliers", F.col("outliers") * 100.0 / F.col("n_rows")))
 
 
@@ -161,7 +167,7 @@ def outlier_rows(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Q9: rows whose ``column`` lies outside the exact IQR fences."""
     b = iqr_bounds(df, keys, [column]).drop("column_name")
     x = F.col(column)
-    return (df.join(b.select(*keys, "lower_bound", "upper_bound"), list(keys), "inner")
+    return (join_on(df, b.select(*keys, "lower_bound", "upper_bound"), keys)
             .filter((x < F.col("lower_bound")) | (x > F.col("upper_bound")))
             .drop("lower_bound", "upper_bound"))
 
@@ -177,7 +183,7 @@ def zscore_clean(df: DataFrame, keys: Sequence[str], column: str, threshold: flo
     st = df.groupBy(*keys).agg(F.avg(column).alias("_mu"), F.stddev_pop(column).alias("_sd"),
                                (F.min(column) == F.max(column)).alias("_flat"))
     z = F.when(~F.col("_flat"), div(x - F.col("_mu"), F.col("_sd")))
-    return (df.join(st, list(keys), "inner")
+    return (join_on(df, st, keys)
             .withColumn(out or column, F.when(F.abs(z) > threshold, F.col("_mu")).otherwise(x))
             .drop("_mu", "_sd", "_flat"))
 
@@ -196,7 +202,7 @@ def forward_fill(df: DataFrame, columns: Sequence[str], layout: Layout) -> DataF
         framed, layout,
         {c: F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))) for c in columns},
         {c: (lambda name, wc: F.last(name, ignorenulls=True).over(wc)) for c in columns})
-    out = framed.join(carry, [layout.series, CHUNK], "left")
+    out = join_on(framed, carry, [layout.series, CHUNK], "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_ff_{c}"), F.col(f"_carry_{c}"))
                            for c in columns})
     return ordered.strip(out)
@@ -229,7 +235,7 @@ def interpolate_linear(df: DataFrame, columns: Sequence[str], layout: Layout) ->
     summary = summary.select(s, CHUNK, *[e for c in columns for e in (
         F.last(f"_l_{c}", ignorenulls=True).over(before).alias(f"_cp_{c}"),
         F.last(f"_f_{c}", ignorenulls=True).over(after).alias(f"_cn_{c}"))])
-    out = framed.join(summary, [s, CHUNK], "left")
+    out = join_on(framed, summary, [s, CHUNK], "left")
     for c in columns:
         p = F.coalesce(F.col(f"_pv_{c}"), F.col(f"_cp_{c}"))
         n = F.coalesce(F.col(f"_nx_{c}"), F.col(f"_cn_{c}"))
@@ -252,11 +258,11 @@ def histogram(df: DataFrame, keys: Sequence[str], column: str, bins: int) -> Dat
     width = F.col("_hi") - F.col("_lo")
     b = F.when(width == 0, F.lit(1)).otherwise(
         F.least(F.floor((x - F.col("_lo")) / width * F.lit(float(bins))) + 1, F.lit(bins)))
-    counts = (df.filter(x.isNotNull()).join(st, k, "inner").withColumn("bin", b.cast("int"))
+    counts = (join_on(df.filter(x.isNotNull()), st, k).withColumn("bin", b.cast("int"))
               .groupBy(*k, "bin").agg(F.count(F.lit(1)).alias("count")))
     grid = st.select(*k, "_lo", "_hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    return (grid.join(counts, k + ["bin"], "left")
+    return (join_on(grid, counts, k + ["bin"], "left")
             .select(*k, "bin",
                     (F.col("_lo") + (F.col("bin") - 1) * step).alias("bin_lower"),
                     (F.col("_lo") + F.col("bin") * step).alias("bin_upper"),
@@ -265,7 +271,6 @@ def histogram(df: DataFrame, keys: Sequence[str], column: str, bins: int) -> Dat
 
 KDE_GRID = 200
 KDE_CUT = 3.0
-KDE_REACH = 8.0  # kernel terms beyond 8 bandwidths are below 1e-14 of the peak
 
 
 def kde_grid(df: DataFrame, keys: Sequence[str], column: str, grid: int = KDE_GRID,
@@ -273,9 +278,8 @@ def kde_grid(df: DataFrame, keys: Sequence[str], column: str, grid: int = KDE_GR
     """Q14: Gaussian KDE on an even grid of ``grid`` points over
     [min - cut h, max + cut h], Scott bandwidth h = std(ddof=1) n^(-1/5).
 
-    Each value only visits grid points within KDE_REACH bandwidths (a
-    generated index range, no join of data with grid), then a partial
-    aggregation sums per grid point."""
+    Equal values are counted first; the kernel sums of all grid points are one
+    partial aggregation, so no row is ever multiplied by the grid."""
     k = list(keys)
     x = F.col(column)
     st = df.groupBy(*k).agg(F.count(column).alias("_n"), F.stddev_samp(column).alias("_sd"),
@@ -285,20 +289,16 @@ def kde_grid(df: DataFrame, keys: Sequence[str], column: str, grid: int = KDE_GR
     st = st.withColumns({"_g0": F.col("_lo") - cut * F.col("_h"),
                          "_step": (F.col("_hi") - F.col("_lo") + 2 * cut * F.col("_h"))
                          / F.lit(float(grid - 1))})
-    d = df.filter(x.isNotNull()).join(st, k, "inner")
-    first = F.greatest(F.lit(0), F.ceil((x - KDE_REACH * F.col("_h") - F.col("_g0")) / F.col("_step")))
-    last = F.least(F.lit(grid - 1), F.floor((x + KDE_REACH * F.col("_h") - F.col("_g0"))
-                                            / F.col("_step")))
-    d = d.withColumn("g", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-    gx = F.col("_g0") + F.col("g") * F.col("_step")
-    z = (gx - x) / F.col("_h")
-    sums = d.groupBy(*k, "g").agg(F.sum(F.exp(F.lit(-0.5) * z * z)).alias("_s"))
-    gridrows = st.select(*k, "_n", "_h", "_g0", "_step",
-                         F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
+    values = df.filter(x.isNotNull()).groupBy(*k, x.alias("_x")).agg(F.count(F.lit(1)).alias("_w"))
+    d = join_on(values, st.select(*k, "_h", "_g0", "_step"), k)
+    sums = d.groupBy(*k).agg(*[F.expr(
+        f"sum(_w * exp(-0.5D * pow((_g0 + {g} * _step - _x) / _h, 2)))").alias(f"_s{g}") for g in range(grid)])
+    sums = sums.select(*k, F.array(*[f"_s{g}" for g in range(grid)]).alias("_s"))
     norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))
-    return (gridrows.join(sums, k + ["g"], "left")
+    return (join_on(st.select(*k, "_n", "_h", "_g0", "_step"), sums, k)
+            .select(*k, "_n", "_h", "_g0", "_step", F.posexplode("_s").alias("g", "_v"))
             .select(*k, "g", (F.col("_g0") + F.col("g") * F.col("_step")).alias("x"),
-                    (F.coalesce(F.col("_s"), F.lit(0.0)) / norm).alias("density")))
+                    (F.col("_v") / norm).alias("density")))
 
 
 def box_stats(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -311,9 +311,9 @@ def box_stats(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Dat
     iqr = F.col("q3") - F.col("q1")
     bounds = bounds.withColumns({"_lf": F.col("q1") - 1.5 * iqr, "_uf": F.col("q3") + 1.5 * iqr})
     v = F.col("value")
-    agg = unpivot(df, keys, columns).filter(v.isNotNull()).join(bounds, k, "inner").groupBy(*k).agg(
+    agg = join_on(unpivot(df, keys, columns).filter(v.isNotNull()), bounds, k).groupBy(*k).agg(
         F.min(v).alias("min"), F.max(v).alias("max"),
         F.min(F.when(v >= F.col("_lf"), v)).alias("lower_whisker"),
         F.max(F.when(v <= F.col("_uf"), v)).alias("upper_whisker"),
         F.count_if((v < F.col("_lf")) | (v > F.col("_uf"))).alias("outliers"))
-    return bounds.drop("_lf", "_uf").join(agg, k, "inner")
+    return join_on(bounds.drop("_lf", "_uf"), agg, k)

@@ -181,7 +181,7 @@ def chrono_split(spark, sf):
 
 
 # M2
-@register("hash_split", f"SELECT event_id, event_type, value, CASE WHEN ((event_id * "
+@register("hash_split", f"SELECT event_id, event_type, value, CASE WHEN ((event_id::HUGEINT * "
           f"{mp.HASH_MULT} + 42) % {mp.HASH_MOD}) % 100 < 80 THEN 'train' ELSE 'test' END AS split "
           "FROM events", ["value"])
 def hash_split(spark, sf):

@@ -201,6 +201,41 @@ def macd(spark, sf):
     return finish(ind.macd(fx.bars_hourly(spark, sf)))
 
 
+# W7, W8, W16 over a column with nulls, and a span longer than a chunk's halo
+def _null_sql(cols: str, join: str, *ctes: str) -> str:
+    return q.with_bars(f"SELECT {', '.join('b.' + c for c in B)}, {cols} FROM b {join}", q.NULL_BARS,
+                       ",\n".join(ctes)).replace("WITH bars AS", "WITH RECURSIVE bars AS")
+
+
+_JOIN_R = "JOIN r ON r.series = b.series AND r.pos = b.pos"
+
+
+def _null_bars(spark, sf):
+    return fx.with_nulls(fx.bars_hourly(spark, sf))
+
+
+@register("ema_nulls", _null_sql("r.ema_5, r.ema_2000", _JOIN_R, q.ema_nulls(
+    "b", "close", {"ema_5": 5, "ema_2000": 2000})), BD + ["ema_5", "ema_2000"])
+def ema_nulls(spark, sf):
+    return finish(ind.ema(_null_bars(spark, sf), spans=(5, 2000)))
+
+
+@register("ema_window_nulls", _sel(f"{_list_ema(5).replace('list(close)', 'list(close) FILTER (close IS NOT NULL)')} "
+                                   "AS ema_5", bars=q.NULL_BARS), BD + ["ema_5"])
+def ema_window_nulls(spark, sf):
+    return finish(ind.ema_window(_null_bars(spark, sf)).drop("ema_20"))
+
+
+@register("macd_nulls", _null_sql(
+    "m.ema_12, m.ema_26, m.macd, r2.macd_signal",
+    "JOIN m ON m.series = b.series AND m.pos = b.pos JOIN r2 ON r2.series = b.series AND r2.pos = b.pos",
+    q.ema_nulls("b", "close", {"ema_12": 12, "ema_26": 26}),
+    "m AS (SELECT series, pos, ema_12, ema_26, ema_12 - ema_26 AS macd FROM r)",
+    q.ema_nulls("m", "macd", {"macd_signal": 9}, "r2")), BD + ["ema_12", "ema_26", "macd", "macd_signal"])
+def macd_nulls(spark, sf):
+    return finish(ind.macd(_null_bars(spark, sf)))
+
+
 _RET = f"rt AS (SELECT *, {q.div('close', PREV)} - 1 AS ret FROM b)"
 
 

@@ -19,9 +19,7 @@ BD = ["open", "high", "low", "close"]
 PROFILE = ["open", "high", "low", "close", "volume"]
 W = q.w()
 
-# bars with close nulled where the row position % 7 < 3 (edge fixture)
-NULL_BARS = (f"SELECT series, bar_ts, open, high, low, CASE WHEN (row_number() {W} - 1) % 7 < 3 "
-             f"THEN NULL ELSE close END AS close, volume FROM ({q.BARS_HOURLY})")
+NULL_BARS = q.NULL_BARS
 
 
 def _nulls(spark, sf):

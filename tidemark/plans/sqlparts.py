@@ -40,6 +40,11 @@ def w(n: int | None = None, part: str = "series", order: str = "bar_ts") -> str:
     return f"OVER (PARTITION BY {part} ORDER BY {order}{frame})"
 
 
+# bars with close nulled where the row position % 7 < 3 (edge fixture)
+NULL_BARS = (f"SELECT series, bar_ts, open, high, low, CASE WHEN (row_number() {w()} - 1) % 7 < 3 "
+             f"THEN NULL ELSE close END AS close, volume FROM ({BARS_HOURLY})")
+
+
 def div(n: str, d: str) -> str:
     return f"(({n}) / NULLIF(({d}), 0))"
 
@@ -82,7 +87,7 @@ def ema_recursive(src: str, specs: list[tuple[str, float, str]], keep: list[str]
     src: relation with series, pos and the input columns; specs = (input,
     span, output).  Returns a SELECT of keep + outputs.
     """
-    init = ", ".join(f"{x} AS {o}" for x, _, o in specs)
+    init = ", ".join(f"{x} AS {o}" for x, _, o in specs)  # inputs without nulls
     step = ", ".join(
         f"{2.0 / (s + 1.0)!r} * s.{x} + {1.0 - 2.0 / (s + 1.0)!r} * r.{o}" for x, s, o in specs)
     outs = ", ".join(o for _, _, o in specs)
@@ -93,3 +98,25 @@ r(series, pos, {outs}) AS (
   SELECT s.series, s.pos, {step}
   FROM r JOIN {src} AS s ON s.series = r.series AND s.pos = r.pos + 1
 )"""
+
+
+def ema_nulls(src: str, x: str, spans: dict[str, float], name: str = "r") -> str:
+    """Recursive CTE of EMAs over a column with nulls (pandas adjust=False,
+    ignore_na=False): a null keeps the value and lets its weight decay."""
+    outs = list(spans)
+    step, init = [], []
+    for o, s in spans.items():
+        a = 2.0 / (s + 1.0)
+        q = 1.0 - a
+        init += [f"{x}::DOUBLE AS {o}", f"1.0::DOUBLE AS w_{o}"]
+        step += [f"CASE WHEN s.{x} IS NULL THEN r.{o} WHEN r.{o} IS NULL THEN s.{x} ELSE "
+                 f"({q!r} * r.w_{o} * r.{o} + {a!r} * s.{x}) / ({q!r} * r.w_{o} + {a!r}) END",
+                 f"CASE WHEN s.{x} IS NULL THEN {q!r} * r.w_{o} ELSE 1.0 END"]
+    cols = ", ".join(f"{o}, w_{o}" for o in outs)
+    return f"""
+{name}(series, pos, {cols}) AS (
+  SELECT series, pos, {", ".join(init)} FROM {src} WHERE pos = 0
+  UNION ALL
+  SELECT s.series, s.pos, {", ".join(step)}
+  FROM {name} AS r JOIN {src} AS s ON s.series = r.series AND s.pos = r.pos + 1
+)"""
