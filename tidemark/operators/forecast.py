@@ -199,7 +199,7 @@ def sarima_fit(split: DataFrame, column: str = "close", order: Order = ORDER_A,
     """
     ar, ma = order.ar_lags(), order.ma_lags()
     base = split.filter(F.col("split") == "train").select(
-        "series", "bar_ts", F.col(column).cast("double").alias("y"))
+        "series", "bar_ts", POS, F.col(column).cast("double").alias("y"))
     w = seasonal_difference(base, "y", order, layout, out="w")
     d1 = lag_design(w, "w", range(1, long_ar + 1), layout, prefix="lw")
     lcols = [f"lw{k}" for k in range(1, long_ar + 1)]
@@ -207,7 +207,7 @@ def sarima_fit(split: DataFrame, column: str = "close", order: Order = ORDER_A,
     stage1 = materialize(least_squares(d1.filter(_complete(["w"] + lcols)), lcols, "w"))
     resid = join_on(d1, stage1.select("series", F.col("beta").alias("_b1")), "series", "left").withColumn(
         "e1", F.when(_complete(["w"] + lcols), F.col("w") - _dot("_b1", "_x1")))
-    resid = resid.select("series", "bar_ts", "y", "w", "e1")
+    resid = resid.select("series", "bar_ts", POS, "y", "w", "e1")
     lagcols = {f"aw{k}": ("w", k) for k in ar} | {f"ae{k}": ("e1", k) for k in ma}
     halo = max(k for _, k in lagcols.values())
 

@@ -54,7 +54,8 @@ def latest_kpis(scored: DataFrame, layout: Layout = HOURLY) -> DataFrame:
         return f.withColumn("price_change_pct",
                             F.when(prev.isNull(), F.lit(0.0))
                             .otherwise(div(F.col("close") - prev, prev) * 100.0))
-    base = scored.select("series", "bar_ts", "close", "predicted_price", "rsi")
+    base = scored.select("series", "bar_ts", "close", "predicted_price", "rsi",
+                         *[c for c in scored.columns if c == ordered.POS])
     changed = ordered.run_windows(base, build, 1, layout)
     last = latest(changed)
     return last.select("series", "bar_ts", F.col("close").alias("current_price"),

@@ -124,8 +124,10 @@ def strip(df: DataFrame, keep_pos: bool = False) -> DataFrame:
 
 def run_windows(df: DataFrame, build, halo: int, layout: Layout = HOURLY,
                 keep_pos: bool = False, count: str | None = None) -> DataFrame:
-    """Position + halo, ``build(frame, w)`` adds columns, then strip."""
+    """Position + halo, ``build(frame, w)`` adds columns, then strip.  A frame
+    that comes numbered stays so, and is not numbered again."""
     framed = with_halo(df, halo, layout, count)
+    keep_pos = keep_pos or (POS in df.columns and count is None)
     return strip(build(framed, layout.window()), keep_pos=keep_pos)
 
 

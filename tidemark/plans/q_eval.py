@@ -14,6 +14,7 @@ from tidemark.operators import kpis as kp
 from tidemark.operators import mlprep as mp
 from tidemark.operators.forecast import seasonal_naive_one_step
 from tidemark.operators.indicators import realtime_features
+from tidemark.operators.ordered import with_position
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sqlparts as q
 from tidemark.plans.catalog import finish, register
@@ -214,7 +215,8 @@ def standard_scale(spark, sf):
 
 def scored_bars(spark, sf):
     """Real-time features + one-step seasonal-naive price + errors."""
-    b = seasonal_naive_one_step(realtime_features(fx.bars_hourly(spark, sf)), out="predicted_price")
+    numbered = with_position(fx.bars_hourly(spark, sf))  # once for all that follows
+    b = seasonal_naive_one_step(realtime_features(numbered), out="predicted_price")
     return fx.shared(ev.prediction_errors(b, "close", "predicted_price"))
 
 
@@ -268,3 +270,19 @@ def typed_result(spark, sf):
     return finish(kp.typed_result(scored_bars(spark, sf), kp.RESULT_5, {
         "Datetime": "bar_ts", "Predicted_Price": "predicted_price", "Actual_Price": "close",
         "Prediction_Error": "prediction_error", "Prediction_Error_Pct": "prediction_error_pct"}))
+
+
+# S7, all 19 columns; a prediction is made for the hour after its bar
+_R19 = {"Open": "open", "High": "high", "Low": "low", "Close": "close", "Volume": "volume", "Returns": "returns",
+        "Log_Returns": "log_returns", "Price_Range": "price_range", "Price_Range_Pct": "price_range_pct",
+        "SMA_5": "sma_5", "SMA_20": "sma_20", "EMA_5": "ema_5", "EMA_20": "ema_20", "RSI": "rsi",
+        "Predicted_Price": "predicted_price", "Prediction_Error": "prediction_error",
+        "Prediction_Error_Pct": "prediction_error_pct"}
+
+
+@register("typed_result_19", _scored_sql(
+    "SELECT series, bar_ts AS \"Datetime\", bar_ts + INTERVAL 1 HOUR AS \"Prediction_Time\", "
+    + ", ".join(f"{v} AS \"{k}\"" for k, v in _R19.items()) + " FROM sc"), [k for k in _R19 if k != "Volume"])
+def typed_result_19(spark, sf):
+    rows = scored_bars(spark, sf).withColumn("next_ts", F.expr("bar_ts + INTERVAL 1 HOUR"))
+    return finish(kp.typed_result(rows, kp.RESULT_19, {**_R19, "Datetime": "bar_ts", "Prediction_Time": "next_ts"}))

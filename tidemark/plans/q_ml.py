@@ -10,7 +10,8 @@ from tidemark.operators import mlprep as mp
 from tidemark.operators.indicators import technical_features
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sqlparts as q
-from tidemark.plans.catalog import finish, register
+from tidemark.plans import q_eval  # noqa: F401 - its twin is used below
+from tidemark.plans.catalog import ORACLE, finish, register
 from tidemark.session import materialize, shared_dir
 from tidemark.sources.files import write_metrics
 
@@ -27,15 +28,21 @@ def _with_features_sql(body_ctes: str, select: str) -> str:
 
 
 # M3
-@register("assemble")
+@register("assemble", _with_features_sql(
+    "u AS (SELECT series, bar_ts, unnest([" + ", ".join(f"{c}::DOUBLE" for c in ml.LR_FEATURES) + "]) AS value, "
+    f"unnest(range(0, {len(ml.LR_FEATURES)})) AS i FROM f)", "SELECT series, bar_ts, i::INTEGER AS i, value FROM u"),
+    ["value"])
 def assemble(spark, sf):
     df = ml.assemble(_features(spark, sf), ml.LR_FEATURES)
-    return df.select("series", "bar_ts", ml.vector_to_array("features").alias("features"))
+    return finish(df.select("series", "bar_ts", F.posexplode(ml.vector_to_array("features")).alias("i", "value")))
 
 
 def _lr(spark, sf):
     feats = _features(spark, sf)
-    train, test = mp.random_split(feats)
+    # by a hash of the bar's hour: a recomputed task never moves a row between the parts
+    hour = F.floor(F.unix_micros(F.col("bar_ts").cast("timestamp")) / 3_600_000_000)
+    split = mp.hash_split(feats.withColumn("_hour", hour), "_hour").drop("_hour")
+    train, test = (split.filter(F.col("split") == x).drop("split") for x in ("train", "test"))
     cols = ml.nonzero(train, ml.LR_FEATURES)
     return ml.linear_regression(train, cols), train, test
 
@@ -124,10 +131,10 @@ def model_store(spark, sf):
 
 
 # S6
-@register("metrics_sink")
+@register("metrics_sink", ORACLE["evaluation_report"])
 def metrics_sink(spark, sf):
     from tidemark.plans.q_eval import forecast_frame
     report = ev.evaluation_report(forecast_frame(spark, sf))
     path = shared_dir(spark, "metrics")
     write_metrics(report, path)
-    return spark.read.parquet(path)
+    return finish(spark.read.parquet(path).drop("run_ts"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sqlparts as q
 from tidemark.plans.catalog import finish, register
@@ -19,6 +21,19 @@ def scan_bars(spark, sf):
     return finish(read_bars(spark, path, fmt="csv"))
 
 
+# A price file as data providers write it: one series, capitalised names, another column order
+@register("scan_price_csv", f"SELECT 'R' AS series, bar_ts, open, high, low, close, CAST(volume AS BIGINT) AS volume, "
+          f"close AS adj_close FROM ({q.BARS_DAILY}) WHERE series = 'R'", [*BD, "adj_close"])
+def scan_price_csv(spark, sf):
+    path = shared_dir(spark, "csv_prices")
+    bars = fx.bars_daily(spark, sf).where("series = 'R'")
+    write_table(bars.select(
+        F.col("volume").alias("Volume"), F.date_format("bar_ts", "yyyy-MM-dd").alias("Date"),
+        F.col("close").alias("Adj Close"), F.col("close").alias("Close"), F.col("open").alias("Open"),
+        F.col("low").alias("Low"), F.col("high").alias("High")), path, fmt="csv")
+    return finish(read_bars(spark, path, series="R"))
+
+
 # Partitioned parquet round trip
 @register("sink_roundtrip", q.BARS_HOURLY, BD)
 def sink_roundtrip(spark, sf):

@@ -101,7 +101,8 @@ def stream_indicators_state(spark, sf):
 def stream_score(spark, sf):
     from tidemark.operators import mlprep as mp
     feats = technical_features(fx.bars_hourly(spark, sf))
-    train, _ = mp.random_split(feats)
+    train = mp.hash_split(feats.withColumn("_k", F.year("bar_ts") * 366 + F.dayofyear("bar_ts")), "_k").filter(
+        F.col("split") == "train").drop("split", "_k")
     model = ml.linear_regression(train, ml.nonzero(train, ml.LR_FEATURES))
     path = shared_dir(spark, "models", "t5")
     ml.save_model(model, path, model.stages[0].getInputCols(), spark)

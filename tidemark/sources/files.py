@@ -18,14 +18,39 @@ BAR_SCHEMA = StructType([
     StructField("volume", LongType())])
 
 
-def read_bars(spark: SparkSession, path: str, schema: StructType = BAR_SCHEMA,
-              fmt: str = "csv", header: bool = True) -> DataFrame:
-    """Read a bar table with a declared schema (no inference job)."""
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", header).option("timestampNTZFormat",
-                                                         "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
-    return reader.format(fmt).load(path)
+#: Names under which price files give the bar columns, in any case.
+_NAMES = {"date": "bar_ts", "datetime": "bar_ts", "time": "bar_ts", "adj close": "adj_close",
+          "symbol": "series", "ticker": "series"}
+_STAMP = "yyyy-MM-dd[['T'][' ']HH:mm:ss[.SSSSSS]]"
+
+
+def read_bars(spark: SparkSession, path: str, schema: StructType = BAR_SCHEMA, fmt: str = "csv",
+              header: bool = True, series: str | None = None) -> DataFrame:
+    """Read a bar table under a declared schema (no inference job).
+
+    Columns of a CSV file with a header are found by name, whatever their order
+    and case (``Date``, ``Open``, ..., ``Adj Close`` included): a missing one
+    raises, an ``adj_close`` is kept, others are dropped.  ``series`` names the
+    one series of a file without such a column.  Without a header the columns
+    come in the schema's order."""
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    if not header:
+        return spark.read.schema(schema).option("timestampNTZFormat", _STAMP).csv(path)
+    raw = spark.read.option("header", True).csv(path)
+    names = {_NAMES.get(c.strip().lower(), c.strip().lower()): c for c in raw.columns}
+    out = []
+    for f in [*schema.fields, StructField("adj_close", DoubleType())]:
+        if f.name in names:
+            text = F.col(f"`{names[f.name]}`")
+            out.append((F.to_timestamp_ntz(text, F.lit(_STAMP)) if isinstance(f.dataType, TimestampNTZType)
+                        else text.cast(DoubleType()).cast(f.dataType) if isinstance(f.dataType, LongType)
+                        else text.cast(f.dataType)).alias(f.name))
+        elif f.name == "series" and series is not None:
+            out.append(F.lit(series).alias("series"))
+        elif f.name != "adj_close":
+            raise ValueError(f"{path}: no column for {f.name} among {raw.columns}")
+    return raw.select(*out)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
