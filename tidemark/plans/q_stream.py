@@ -1,61 +1,58 @@
-"""Registered streaming queries (S4, T1-T7): each runs a stream to completion
-(``availableNow``) over data landed from the given tables and returns the
-sink's table; batch equality is checked against the SQL twin."""
+"""Registered streaming queries (S4, T1-T7): each replays the given ticks as a
+bounded stream (``availableNow``) and returns the sink's table; batch equality is
+checked against the SQL twin."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import evaluate as ev
 from tidemark.operators import ml
-from tidemark.operators.indicators import technical_features
+from tidemark.operators.forecast import seasonal_naive_one_step
+from tidemark.operators.indicators import realtime_features, technical_features
+from tidemark.operators.ordered import with_position
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sqlparts as q
-from tidemark.plans.catalog import finish, register
+from tidemark.plans.catalog import ORACLE, finish, register
+from tidemark.plans.q_eval import latest_kpis  # noqa: F401 - its twin is used below
 from tidemark.session import shared_dir
 from tidemark.streaming import jobs
 
 BD = ["open", "high", "low", "close"]
 W = q.w()
-PIECES = 4
 
 
-def _ticks(spark, sf, max_files=1):
-    """The events table landed in time-ordered files, replayed one file per batch."""
-    path = shared_dir(spark, "landing", "ticks")
-    jobs.land_in_chunks(fx.table(spark, sf, "events"), path, "ts", PIECES)
-    return jobs.stream_source(spark, path, jobs.TICK_SCHEMA, max_files)
+def _events(sf):
+    # a pattern, as the file stream takes a plain path for a folder and the table may be one file
+    return f"{sf.rstrip('/')}/events.parque[t]"
 
 
 def _bars_stream(spark, sf):
-    """Hourly bars landed in time-ordered files and replayed one file per batch."""
-    path = shared_dir(spark, "landing", "bars")
-    jobs.land_in_chunks(fx.bars_hourly(spark, sf), path, "bar_ts", PIECES)
-    return jobs.stream_source(spark, path, jobs.BAR_SCHEMA, max_files=1)
+    """Hourly bars that the T1 job makes of the ticks, as a stream (without a file
+    limit: the files of one T1 batch hold its bars in no order of time)."""
+    path = jobs.bars_job(spark, _events(sf), shared_dir(spark, "streams", "bars"))
+    return jobs.stream_source(spark, path, jobs.BAR_SCHEMA)
 
 
 # S4
 @register("stream_bars", "SELECT * FROM events", ["value"])
 def stream_bars(spark, sf):
-    _, out = jobs.run(_ticks(spark, sf), "s4")
+    _, out = jobs.run(jobs.stream_source(spark, _events(sf)), shared_dir(spark, "streams", "s4"))
     return finish(spark.read.schema(jobs.TICK_SCHEMA).parquet(out))
 
 
-# Closed windows only (the watermark holds the last open hour back)
-@register("stream_ohlc_tumbling", f"SELECT * FROM ({q.BARS_HOURLY}) WHERE bar_ts + INTERVAL 1 HOUR "
-          "<= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE", BD)
+# Closed windows from the stream, the last open ones from the flush
+@register("stream_ohlc_tumbling", q.BARS_HOURLY, BD)
 def stream_ohlc_tumbling(spark, sf):
-    _, out = jobs.run(jobs.ohlc_tumbling(_ticks(spark, sf)), "t1")
-    return finish(spark.read.parquet(out))
+    path = jobs.bars_job(spark, _events(sf), shared_dir(spark, "streams", "t1"))
+    return finish(spark.read.schema(jobs.BAR_SCHEMA).parquet(path))
 
 
 # Every tick delivered twice, kept once
 @register("stream_dedup", "SELECT * FROM events", ["value"])
 def stream_dedup(spark, sf):
-    path = shared_dir(spark, "landing", "ticks")
-    jobs.land_in_chunks(fx.table(spark, sf, "events"), path, "ts", PIECES)
-    once = jobs.stream_source(spark, path, jobs.TICK_SCHEMA, 1)
-    twice = once.unionByName(jobs.stream_source(spark, path, jobs.TICK_SCHEMA, 1))
-    _, out = jobs.run(jobs.dedup(twice), "t2")
+    twice = jobs.stream_source(spark, _events(sf)).unionByName(jobs.stream_source(spark, _events(sf)))
+    _, out = jobs.run(jobs.dedup(twice), shared_dir(spark, "streams", "t2"))
     return finish(spark.read.parquet(out))
 
 
@@ -69,8 +66,8 @@ def _rt_sql() -> str:
           BD + ["returns", "log_returns", "price_range", "price_range_pct", "sma_5", "sma_20",
                 "ema_5", "ema_20", "rsi"])
 def stream_indicators_batch(spark, sf):
-    result = jobs.indicators_per_batch(_bars_stream(spark, sf))
-    return finish(spark.read.parquet(result).drop("batch_id"))
+    job = jobs.indicators_per_batch(_bars_stream(spark, sf), shared_dir(spark, "streams", "t3"))
+    return finish(job.result(spark))
 
 
 # T4
@@ -92,7 +89,7 @@ _T4 = q.with_bars(
 
 @register("stream_indicators_state", _T4, ["close", "sma_5", "sma_20", "ema_5", "ema_20", "rsi"])
 def stream_indicators_state(spark, sf):
-    _, out = jobs.run(jobs.indicators_with_state(_bars_stream(spark, sf)), "t4")
+    _, out = jobs.run(jobs.indicators_with_state(_bars_stream(spark, sf)), shared_dir(spark, "streams", "t4"))
     return finish(spark.read.schema(jobs.STATE_OUT).parquet(out))
 
 
@@ -111,29 +108,24 @@ def stream_score(spark, sf):
     loaded, _, _ = ml.load_model(path, spark)
     stream = spark.readStream.schema(feats.schema).option("maxFilesPerTrigger", 2).parquet(landing)
     _, out = jobs.run(ml.predict(loaded, stream).select("series", "bar_ts", "close", "prediction"),
-                      "t5")
+                      shared_dir(spark, "streams", "t5"))
     return spark.read.parquet(out)
 
 
 # T6
-@register("stream_trigger")
+@register("stream_trigger", "SELECT count(*) AS input_rows FROM events")
 def stream_trigger(spark, sf):
-    query, _ = jobs.run(jobs.ohlc_tumbling(_ticks(spark, sf)), "t6")
-    rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in query.recentProgress]
-    return spark.createDataFrame(rows, "batch_id long, num_input_rows long")
+    counts = jobs.count_input(jobs.stream_source(spark, _events(sf)), shared_dir(spark, "streams", "t6"))
+    return counts.agg(F.sum("num_input_rows").alias("input_rows"))
 
 
 # T7
-@register("stream_kpis", f"SELECT * FROM ({q.BARS_HOURLY}) QUALIFY row_number() OVER "
-          "(PARTITION BY series ORDER BY bar_ts DESC) = 1", BD)
-def stream_kpis(spark, sf):
-    out = shared_dir(spark, "streams", "t7", "result")
+def _score(bars):
+    priced = seasonal_naive_one_step(realtime_features(with_position(bars)), out="predicted_price")
+    return ev.prediction_errors(priced, "close", "predicted_price")
 
-    def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(out)
-    jobs.run(jobs.latest_kpis_stream(_bars_stream(spark, sf)), "t7", mode="complete",
-             foreach_batch=keep)
-    return finish(spark.read.parquet(out))
 
-
-__all__ = ["F"]
+@register("stream_kpis", ORACLE["latest_kpis"])
+def stream_kpis(spark, sf):
+    job = jobs.kpis_per_batch(_bars_stream(spark, sf), shared_dir(spark, "streams", "t7"), _score)
+    return finish(job.result(spark, ("series",)))
