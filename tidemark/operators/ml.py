@@ -70,13 +70,25 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = "close") -> Dat
         "rmse_test double, r2_train double, r2_test double")
 
 
-def sequence_regression(train: DataFrame, window: str = "window", label: str = "target",
-                        max_iter: int = 100, epsilon: float = 1.35) -> PipelineModel:
-    """Huber-loss linear regression on the flattened sequence window."""
-    lr = LinearRegression(featuresCol="features", labelCol=label, loss="huber",
-                          epsilon=epsilon, maxIter=max_iter, regParam=1e-4)
+def sequence_regression(train: DataFrame, valid: DataFrame | None = None, window: str = "window",
+                        label: str = "target", max_iter: int = 100, epsilon: float = 1.35,
+                        penalties: Sequence[float] = (1e-4, 1e-2, 1.0)) -> PipelineModel:
+    """Huber-loss linear regression on the flattened sequence window.
+
+    With ``valid`` rows, the penalty is the one whose model has the least error
+    there (what early stopping does for a network that is trained step by step:
+    less fitting where more does not generalise); else the first one."""
     vec = train.withColumn("features", array_to_vector(window))
-    return Pipeline(stages=[lr]).fit(vec)
+    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
+    best, least = None, None
+    for penalty in penalties if valid is not None else penalties[:1]:
+        lr = LinearRegression(featuresCol="features", labelCol=label, loss="huber", epsilon=epsilon,
+                              maxIter=max_iter, regParam=float(penalty))
+        model = Pipeline(stages=[lr]).fit(vec)
+        error = ev.evaluate(sequence_predict(model, valid, window)) if valid is not None else 0.0
+        if least is None or error < least:
+            best, least = model, error
+    return best
 
 
 def sequence_predict(model: PipelineModel, df: DataFrame, window: str = "window") -> DataFrame:
@@ -97,5 +109,3 @@ def load_model(path: str, spark):
     features = meta.first()["features"]
     return PipelineModel.load(f"{path}/model"), list(features), meta
 
-
-__all__ = ["vector_to_array"]

@@ -83,19 +83,20 @@ def inverse_scale(df: DataFrame, keys: Sequence[str], column: str, stats: DataFr
 
 
 def sequence_windows(df: DataFrame, features: Sequence[str], target: str, length: int = 60,
-                     layout: Layout = HOURLY, flat: bool = True) -> DataFrame:
+                     layout: Layout = HOURLY, flat: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """M5: for row i the features of rows i-length .. i-1 and the target of
     row i; rows without a full window are dropped (n - length per series).
 
-    ``flat``: one array of length x k doubles (time-major), ready for a
+    ``carry`` columns of row i are kept.  ``flat``: one array of length x k doubles (time-major), ready for a
     vector; else an array of per-step arrays."""
     def build(f, w):
         step = F.array(*[F.col(c).cast("double") for c in features])
         win = F.collect_list(step).over(w.rowsBetween(-length, -1))
         return f.withColumn("seq_window", win)
-    out = ordered.run_windows(df.select(layout.series, layout.ts, *features, target), build,
+    numbered = [c for c in df.columns if c == POS]
+    out = ordered.run_windows(df.select(layout.series, layout.ts, *features, target, *carry, *numbered), build,
                               length, layout, keep_pos=True)
     out = out.filter(F.size("seq_window") == length)
     seq = F.flatten("seq_window") if flat else F.col("seq_window")
     return out.select(layout.series, layout.ts, POS, seq.alias("window"),
-                      F.col(target).alias("target"))
+                      F.col(target).alias("target"), *carry)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
@@ -173,18 +173,21 @@ def outlier_rows(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
 
 
 def zscore_clean(df: DataFrame, keys: Sequence[str], column: str, threshold: float = 3.0,
-                 out: str | None = None) -> DataFrame:
+                 out: str | None = None, fit: Column | None = None) -> DataFrame:
     """Q10: |z| > threshold (population std) -> replaced by the group mean.
+    With ``fit`` only the rows where it holds (the train part) are cleaned, by
+    their own mean and std; the others stay as they are.
 
     Mean/std per group come from a partial aggregation joined back (a
     whole-group window would put a hot group in one task); zero std -> no
     outliers."""
     x = F.col(column)
-    st = df.groupBy(*keys).agg(F.avg(column).alias("_mu"), F.stddev_pop(column).alias("_sd"),
-                               (F.min(column) == F.max(column)).alias("_flat"))
+    fit = F.lit(True) if fit is None else F.coalesce(fit, F.lit(False))
+    st = df.filter(fit).groupBy(*keys).agg(F.avg(column).alias("_mu"), F.stddev_pop(column).alias("_sd"),
+                                           (F.min(column) == F.max(column)).alias("_flat"))
     z = F.when(~F.col("_flat"), div(x - F.col("_mu"), F.col("_sd")))
-    return (join_on(df, st, keys)
-            .withColumn(out or column, F.when(F.abs(z) > threshold, F.col("_mu")).otherwise(x))
+    return (join_on(df, st, keys, "left")
+            .withColumn(out or column, F.when(fit & (F.abs(z) > threshold), F.col("_mu")).otherwise(x))
             .drop("_mu", "_sd", "_flat"))
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import evaluate as ev
 from tidemark.operators import ml
 from tidemark.operators import mlprep as mp
+from tidemark.functions.exprs import join_on
 from tidemark.operators.indicators import technical_features
+from tidemark.operators.ordered import series_counts, with_position
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sqlparts as q
 from tidemark.plans import q_eval  # noqa: F401 - its twin is used below
@@ -102,12 +104,17 @@ def sequence_split(spark, sf):
 def _sequence_model(spark, sf):
     feats = _features(spark, sf)
     stats = mp.scaler_stats(feats, ["series"], ml.SEQ_FEATURES + ["close"])
-    scaled = mp.standard_scale(feats, ["series"], ml.SEQ_FEATURES + ["close"], stats, suffix="_z")
     zcols = [f"{c}_z" for c in ml.SEQ_FEATURES]
-    seq = mp.sequence_windows(scaled, zcols, "close_z", SEQ_LEN)
-    sp = materialize(mp.chrono_split(seq.drop("_pos"), train=0.8))
-    model = ml.sequence_regression(sp.filter(F.col("split") == "train"))
-    pred = materialize(ml.sequence_predict(model, sp).drop("window"))
+    scaled = mp.standard_scale(feats, ["series"], ml.SEQ_FEATURES + ["close"], stats, suffix="_z")
+    # rows are numbered and split before the windows, which are 60 times as large, are built
+    rows = with_position(scaled.select("series", "bar_ts", "close_z", *zcols))
+    rows = join_on(rows, series_counts(rows, name="_n"), "series")
+    nth, train = F.col("_pos") - SEQ_LEN, F.floor((F.col("_n") - SEQ_LEN) * 0.8)
+    part = F.when(nth < F.floor(train * 0.9), "train").when(nth < train, "valid").otherwise("test")
+    rows = materialize(rows.withColumn("split", part).drop("_n"))
+    seq = mp.sequence_windows(rows, zcols, "close_z", SEQ_LEN, carry=["split"])
+    model = ml.sequence_regression(*(seq.filter(F.col("split") == x) for x in ("train", "valid")))
+    pred = ml.sequence_predict(model, seq).drop("window", "_pos")
     pred = mp.inverse_scale(pred, ["series"], "prediction", stats, "close", "predicted")
     pred = mp.inverse_scale(pred, ["series"], "target", stats, "close", "actual")
     return pred.select("series", "bar_ts", "split", "actual", "predicted")

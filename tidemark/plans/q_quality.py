@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import projection as pj
 from tidemark.operators import quality as ql
 from tidemark.operators.indicators import technical_features
+from tidemark.operators.mlprep import chrono_split
 from tidemark.operators.ordered import HOURLY
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sqlparts as q
@@ -139,6 +140,18 @@ def zscore_clean(spark, sf):
                                   out="close_clean"))
 
 
+# Q10, before a fit: only the train part is cleaned
+@register("zscore_clean_train", f"WITH bars AS ({q.BARS_HOURLY}), p AS (SELECT *, row_number() {W} - 1 < "
+          "floor(count(*) OVER (PARTITION BY series) * 0.8) AS fit FROM bars), st AS (SELECT series, avg(close) AS mu, "
+          "stddev_pop(close) AS sd, min(close) = max(close) AS flat FROM p WHERE fit GROUP BY series) "
+          f"SELECT {', '.join(B)}, CASE WHEN fit THEN 'train' ELSE 'test' END AS split, CASE WHEN fit AND NOT flat "
+          "AND abs((close - mu) / NULLIF(sd, 0)) > 3 THEN mu ELSE close END AS close_clean "
+          "FROM p JOIN st USING (series)", BD + ["close_clean"])
+def zscore_clean_train(spark, sf):
+    split = chrono_split(fx.bars_hourly(spark, sf))
+    return finish(ql.zscore_clean(split, ["series"], "close", out="close_clean", fit=F.col("split") == "train"))
+
+
 # Q11
 @register("forward_fill", f"SELECT series, bar_ts, open, high, low, coalesce(close, "
           f"last_value(close IGNORE NULLS) OVER (PARTITION BY series ORDER BY bar_ts ROWS BETWEEN "
