@@ -1,17 +1,19 @@
 """Pearson correlations (C1-C7), long form.
 
-Each input row emits its k(k+1)/2 column pairs with a nested higher-order
-``transform`` (JVM side, no join), pairs with a null are dropped
-(pairwise-complete, like pandas), and one ``groupBy(keys, i, j)`` with map-side
-partial aggregation computes ``covar_pop`` / ``stddev_pop``.  A pair with a
-constant side is undefined (null): the guard is ``min = max`` rather than a
-zero test on a rounded standard deviation.
+Every task reduces each Arrow batch to pair moments (count, means, centred
+products) with matrix products: k(k+1)/2 rows for each key in a batch instead of
+for each row.  A partial aggregation merges them.  Pairs with a null are left out
+(pairwise-complete, like pandas).  A pair with a constant side is undefined
+(null): the guard is ``min = max`` rather than a zero test on a rounded standard
+deviation.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,24 +28,61 @@ FEATURE_GROUPS = {
 HIGH_CORR = 0.8
 
 
+def _pair_moments(x: np.ndarray) -> pd.DataFrame:
+    """Moments of all column pairs i >= j of one key's rows (NaN: no value)."""
+    ok = ~np.isnan(x)
+    ref = np.where(ok.any(axis=0), np.nanmax(np.where(ok, x, -np.inf), axis=0), 0.0)
+    c, v = np.where(ok, x - ref, 0.0), ok.astype(float)
+    n = v.T @ v
+    d = np.maximum(n, 1)
+    sx = c.T @ v  # sum of column i over the rows where j has a value
+    mean, sq = sx / d, (c * c).T @ v - sx * sx / d
+    cross = c.T @ c - sx * sx.T / d
+    low, high = np.empty_like(n), np.empty_like(n)
+    for j in range(x.shape[1]):
+        rows = np.where(ok & ok[:, j: j + 1], x, np.nan)
+        low[:, j] = np.min(np.where(np.isnan(rows), np.inf, rows), axis=0)
+        high[:, j] = np.max(np.where(np.isnan(rows), -np.inf, rows), axis=0)
+    i, j = np.tril_indices(x.shape[1])
+    out = pd.DataFrame({"i": i, "j": j, "n": n[i, j].astype(np.int64), "mx": (mean + ref[:, None])[i, j],
+                        "my": (mean + ref[:, None])[j, i], "xx": np.maximum(sq[i, j], 0), "yy": np.maximum(sq[j, i], 0),
+                        "xy": cross[i, j], "x0": low[i, j], "x1": high[i, j], "y0": low[j, i], "y1": high[j, i]})
+    return out[out["n"] > 0]
+
+
+def by_key(pdf: pd.DataFrame, keys: Sequence[str]):
+    """(key values, rows) of a batch; a null key is a key."""
+    if not keys:
+        yield {}, pdf
+        return
+    for _, part in pdf.groupby(list(keys), dropna=False, sort=False):
+        yield {k: part[k].iloc[0] for k in keys}, part
+
+
 def corr_long(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Keys + column_1, column_2, i, j, n, correlation for every ordered pair."""
     keys = list(keys)
     cols = list(columns)
-    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v"))
-                    for i, c in enumerate(cols)])
-    pairs = F.flatten(F.transform(arr, lambda a: F.transform(
-        F.filter(arr, lambda b: b["i"] <= a["i"]),
-        lambda b: F.struct(a["i"].alias("i"), b["i"].alias("j"), a["v"].alias("x"),
-                           b["v"].alias("y")))))
-    p = (df.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
-         .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    values = [f"_v{i}" for i in range(len(cols))]
+    data = df.select(*keys, *[F.col(c).cast("double").alias(v) for c, v in zip(cols, values, strict=True)])
+
+    def moments(batches):
+        for pdf in batches:
+            for key, part in by_key(pdf, keys):
+                yield _pair_moments(part[values].to_numpy(float)).assign(**key)
+
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in data.schema.fields[:len(keys)])
+    names = ("mx", "my", "xx", "yy", "xy", "x0", "x1", "y0", "y1")
+    p = data.mapInPandas(moments, f"{kinds}i int, j int, n long, " + ", ".join(f"{c} double" for c in names))
     st = p.groupBy(*keys, "i", "j").agg(
-        F.count(F.lit(1)).alias("n"), F.covar_pop("x", "y").alias("_cov"),
-        F.stddev_pop("x").alias("_sx"), F.stddev_pop("y").alias("_sy"),
-        (F.min("x") == F.max("x")).alias("_cx"), (F.min("y") == F.max("y")).alias("_cy"))
+        F.sum("n").alias("n"), F.expr("sum(n * mx) / sum(n)").alias("_mx"), F.expr("sum(n * my) / sum(n)").alias("_my"),
+        *[F.sum(c).alias(f"_{c}") for c in ("xx", "yy", "xy")], F.expr("sum(n * mx * mx)").alias("_mxx"),
+        F.expr("sum(n * my * my)").alias("_myy"), F.expr("sum(n * mx * my)").alias("_mxy"),
+        (F.min("x0") == F.max("x1")).alias("_cx"), (F.min("y0") == F.max("y1")).alias("_cy"))
+    cov = F.expr("_xy + _mxy - n * _mx * _my")
+    var = F.expr("(_xx + _mxx - n * _mx * _mx) * (_yy + _myy - n * _my * _my)")
     r = F.when(F.col("_cx") | F.col("_cy"), F.lit(None).cast("double")).otherwise(
-        F.try_divide(F.col("_cov"), F.col("_sx") * F.col("_sy")))
+        F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.try_divide(cov, F.sqrt(var))))
     lower = st.select(*keys, "i", "j", "n", r.alias("correlation"))
     upper = lower.filter(F.col("i") != F.col("j")).select(
         *keys, F.col("j").alias("i"), F.col("i").alias("j"), "n", "correlation")

@@ -275,6 +275,8 @@ def momentum(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
 
 # ---------------------------------------------------------------- composites
 
+# The columns of the feature table, in its order.  ``ema_12`` here is the
+# 12-span EMA; the reference stores MACD under that name.
 FEATURE_COLUMNS = [
     "returns", "log_returns", "price_range", "price_range_pct", "sma_5", "sma_20",
     "ema_5", "ema_20", "rsi", "bb_middle", "bb_upper", "bb_lower", "k_line", "d_line",
@@ -351,6 +353,7 @@ def sarimax_features(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
     return _run(bars, build, layout).na.drop()
 
 
+# The columns of the intraday scoring path, in its order.
 REALTIME_COLUMNS = ["returns", "log_returns", "price_range", "price_range_pct", "sma_5",
                     "sma_20", "ema_5", "ema_20", "rsi"]
 

@@ -57,3 +57,13 @@ def with_nulls(bars: DataFrame, column: str = "close", every: int = 7, first: in
     p = with_position(bars, HOURLY)
     return p.withColumn(column, F.when(F.pmod(F.col(POS), F.lit(every)) < first, F.lit(None))
                         .otherwise(F.col(column))).drop(POS)
+
+
+def with_null_keys(bars: DataFrame) -> DataFrame:
+    """Edge fixture: one series without a name, and no time stamp on the last
+    bar of each series."""
+    last = bars.groupBy("series").agg(F.max("bar_ts").alias("_last"))
+    known = bars.join(last, "series")
+    return known.select(F.expr("nullif(series, 'click')").alias("series"),
+                        F.when(F.col("bar_ts") < F.col("_last"), F.col("bar_ts")).alias("bar_ts"),
+                        *[c for c in bars.columns if c not in ("series", "bar_ts")])

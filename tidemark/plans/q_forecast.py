@@ -82,6 +82,3 @@ _F7 = (f"WITH bars AS ({q.BARS_HOURLY}), "
 @register("seasonal_naive", _F7, ["actual", "predicted"])
 def seasonal_naive(spark, sf):
     return finish(fc.seasonal_naive_forecast(_split(spark, sf)))
-
-
-__all__ = ["F"]

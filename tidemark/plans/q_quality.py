@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import projection as pj
 from tidemark.operators import quality as ql
+from tidemark.operators.indicators import sma as ind_sma
 from tidemark.operators.indicators import technical_features
+from tidemark.operators.ml import LR_FEATURES
 from tidemark.operators.mlprep import chrono_split
 from tidemark.operators.ordered import HOURLY
 from tidemark.plans import fixtures as fx
@@ -336,8 +338,7 @@ def log_price(spark, sf):
 
 
 # P12
-_NZ = ["open", "high", "low", "volume", "returns", "log_returns", "price_range", "price_range_pct",
-       "sma_5", "sma_20", "ema_5", "ema_20", "rsi"]
+_NZ = LR_FEATURES
 
 
 def _nz_sql() -> str:
@@ -354,3 +355,55 @@ def _nz_sql() -> str:
 def nonzero_features(spark, sf):
     feats = technical_features(fx.bars_hourly(spark, sf))
     return finish(pj.column_sums(feats, _NZ))
+
+
+# Rows with a null series, time stamp or order key stay: each operator family over such a fixture
+_NK = f"({q.NULL_KEY_BARS})"
+
+
+def _null_keys(spark, sf):
+    return fx.with_null_keys(fx.bars_hourly(spark, sf))
+
+
+@register("sma_null_keys", f"SELECT *, CASE WHEN count(close) {q.w(5)} = 5 THEN avg(close) {q.w(5)} END AS sma_5 "
+          f"FROM {_NK}", BD + ["sma_5"])
+def sma_null_keys(spark, sf):
+    return finish(ind_sma(_null_keys(spark, sf)).drop("sma_20"))
+
+
+@register("chrono_split_null_keys", f"SELECT *, CASE WHEN row_number() {W} - 1 < floor(count(*) OVER (PARTITION BY "
+          f"series) * 0.8) THEN 'train' ELSE 'test' END AS split FROM {_NK}", BD)
+def chrono_split_null_keys(spark, sf):
+    return finish(chrono_split(_null_keys(spark, sf)))
+
+
+@register("describe_null_keys", "SELECT series, column_name, count(value) AS count, avg(value) AS mean, "
+          "stddev_samp(value) AS std, min(value) AS min, max(value) AS max, quantile_cont(value, 0.25) AS p25, "
+          "quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.75) AS p75 "
+          f"FROM ({_long_sql(_NK, ['series'], PROFILE)}) GROUP BY series, column_name", _STATS[1:])
+def describe_null_keys(spark, sf):
+    return finish(ql.describe(_null_keys(spark, sf), ["series"], PROFILE))
+
+
+@register("zscore_clean_null_keys", f"WITH st AS (SELECT series, avg(close) AS mu, stddev_pop(close) AS sd FROM {_NK} "
+          f"GROUP BY series) SELECT b.*, CASE WHEN abs((close - mu) / NULLIF(sd, 0)) > 1.5 THEN mu ELSE close END "
+          f"AS close_clean FROM {_NK} b JOIN st ON b.series IS NOT DISTINCT FROM st.series", BD + ["close_clean"])
+def zscore_clean_null_keys(spark, sf):
+    return finish(ql.zscore_clean(_null_keys(spark, sf), ["series"], "close", 1.5, out="close_clean"))
+
+
+@register("forward_fill_null_keys", "SELECT series, bar_ts, open, high, low, coalesce(c, last_value(c IGNORE NULLS) OVER "
+          "(PARTITION BY series ORDER BY bar_ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS close, volume "
+          f"FROM (SELECT *, CASE WHEN volume % 2 = 0 THEN close END AS c FROM {_NK})", BD)
+def forward_fill_null_keys(spark, sf):
+    bars = _null_keys(spark, sf)
+    return finish(ql.forward_fill(bars.withColumn("close", F.when(F.col("volume") % 2 == 0, F.col("close"))),
+                                  ["close"], HOURLY))
+
+
+@register("duplicate_rows_null_order", "SELECT * FROM (SELECT event_type, user_id, nullif(event_id, event_id // 3 * 3) "
+          "AS k FROM events) QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY k) > 1")
+def duplicate_rows_null_order(spark, sf):
+    ev = fx.table(spark, sf, "events").select("event_type", "user_id", F.expr(
+        "nullif(event_id, event_id div 3 * 3)").alias("k"))
+    return ql.duplicate_rows(ev, ["event_type", "user_id"], "k")

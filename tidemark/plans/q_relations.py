@@ -10,7 +10,6 @@ from tidemark.plans.catalog import finish, register
 
 OHLCV = ["open", "high", "low", "close", "volume"]
 FEATS = OHLCV + FEATURE_COLUMNS
-LONG_COLS = ["series", "column_1", "column_2", "i", "j", "n", "correlation"]
 
 
 def corr_long_sql(src: str, cols: list[str]) -> str:
@@ -112,6 +111,3 @@ def group_corr(spark, sf):
 def group_corr_mean(spark, sf):
     sub = co.group_corr(_feat_long(spark, sf), co.group_map(spark))
     return finish(co.group_corr_mean(sub, ["series"]))
-
-
-__all__ = ["LONG_COLS"]

@@ -45,6 +45,11 @@ NULL_BARS = (f"SELECT series, bar_ts, open, high, low, CASE WHEN (row_number() {
              f"THEN NULL ELSE close END AS close, volume FROM ({BARS_HOURLY})")
 
 
+# bars without the series 'click', and without the time stamp of each series' last bar
+NULL_KEY_BARS = (f"SELECT nullif(series, 'click') AS series, CASE WHEN bar_ts < max(bar_ts) OVER (PARTITION BY series) "
+                 f"THEN bar_ts END AS bar_ts, open, high, low, close, volume FROM ({BARS_HOURLY})")
+
+
 def div(n: str, d: str) -> str:
     return f"(({n}) / NULLIF(({d}), 0))"
 
