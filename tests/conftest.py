@@ -20,6 +20,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", "8g")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():

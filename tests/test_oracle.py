@@ -22,6 +22,7 @@ def con():
 def test_matches_oracle(spark, con, name):
     got = QUERIES[name](spark, SF_SMALL).toPandas()
     want = con.execute(ORACLE[name]).df()
+    spark.catalog.clearCache()
     assert_same(got, want)
 
 
