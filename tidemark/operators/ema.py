@@ -13,7 +13,7 @@ linear, so it splits into blocks of adjoining observations, cut where the decay
   logarithms of the steps over gaps;
 * value with zero carry: loc_i = F_i * sum_{j<=i} C_j x_j / F_j;
 * y_i = loc_i + F_i * E, E the value at the end of the block before.  E needs no
-  carry of its own: over a whole block it decays by exp(-260) at least.
+  carry of its own: over a whole block it decays below 1e-17.
 
 Windows run over ``partitionBy(series, chunk, is null)``, the chunk's own
 shuffle with another sort.  Rows without an observation take the last y.
@@ -33,7 +33,7 @@ from tidemark.operators.ordered import CHUNK, POS, Layout
 
 _EPS = 1e-17
 #: Decay (as a negative logarithm) of a block; exp of it must be a double.
-_DECAY = 300.0
+_DECAY = 80.0
 #: Most that one step counts; beyond it the old value is below _EPS anyway.
 _STEP = 40.0
 
@@ -84,7 +84,9 @@ def ema_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]],
         over = f"(pow({dbl(q)}, {g}) + {dbl(a)})"
         decay = f"least({dbl(_STEP)}, ln({over}) - {g} * {dbl(math.log(q))})"
         wsub = f"PARTITION BY `{layout.series}`, `{CHUNK}`, (`{x}` IS NULL), `_b_{out}` {order}"
-        factor = f"pow({dbl(q)}, %s`_n_{out}`) * exp(%s`_d_{out}`)"
+        # in a block powers count from its first observation, so that this one is taken as it is
+        factor = f"pow({dbl(q)}, %s(`_n_{out}` - 1)) * exp(%s`_d_{out}`)"
+        carried = f"pow({dbl(q)}, `_n_{out}`) * exp(-`_d_{out}`)"
         c = (f"CASE WHEN `{CHUNK}` = 0 AND {i} = 0 THEN {v} WHEN {plain} THEN {dbl(a)} * {v} "
              f"ELSE {dbl(a)} / {over} * {v} END")
         for stage, column in zip(stages, (
@@ -96,7 +98,7 @@ def ema_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]],
             {"end": f"CASE WHEN lead(`_b_{out}`) OVER ({wo[x]}) <> `_b_{out}` THEN `_loc_{out}` END"},
             {"prev": f"last(`_end_{out}`, true) OVER ({wo[x]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"},
             {"y": f"CASE WHEN `{x}` IS NOT NULL THEN `_loc_{out}` + coalesce(`_prev_{out}`, {dbl(0.0)}) * "
-                  f"{factor % ('', '-')} END"},
+                  f"{carried} END"},
         ), strict=False):
             stage.update({f"_{k}_{out}": F.expr(e) for k, e in column.items()})
         outs[out] = F.expr(last % f"`_y_{out}`")
