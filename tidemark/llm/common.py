@@ -24,6 +24,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch, where the session has Spark's default (10,000): texts
+#: may be long, and a batch is held by the JVM and by the Python worker.
+ARROW_ROWS = 1_000
+
+
+def arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in batches of ``ARROW_ROWS``."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, str(ARROW_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """True for the third of the rows that no label is learned from.  A null
     id is in no fold: it is neither learned from nor held out."""

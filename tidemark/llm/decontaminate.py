@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import table, written
+from tidemark.llm.common import arrow, table, written
 
 WINDOW = 10
 #: Phrases in one broadcast block (about 200 bytes each).
@@ -58,7 +58,7 @@ def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
                     [pa.array(item, pa.string()), pa.array(terms, pa.list_(pa.int64()))],
                     ["item", "terms"])
     rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
-    return rows.mapInArrow(run, "item string, terms array<long>").distinct()
+    return arrow(rows, run, "item string, terms array<long>").distinct()
 
 
 class Index:
@@ -218,8 +218,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
     """
     out = None
     for b, sent in enumerate(_blocks(items, window, block_windows)):
-        got = docs.select("doc_id", "text").mapInArrow(
-            _searcher(sent, slop),
+        got = arrow(docs.select("doc_id", "text"), _searcher(sent, slop),
             f"doc_id {docs.select('doc_id').dtypes[0][1]}, n_words long, spans array<long>, "
             "items array<string>, near_items array<string>").withColumn("block", F.lit(b))
         out = got if out is None else out.unionByName(got)
@@ -239,9 +238,9 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     out, before = docs, None
     for sent in _blocks(items, window, block_windows):
         if before is not None:
-            out = written(out.mapInArrow(keeper(before), docs.schema), "phrase-blocks")
+            out = written(arrow(out, keeper(before), docs.schema), "phrase-blocks")
         before = sent
-    return out.mapInArrow(keeper(before), docs.schema)
+    return arrow(out, keeper(before), docs.schema)
 
 
 def _union(x: list[int], y: list[int]) -> list[int]:
@@ -292,10 +291,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     before = None
     for sent in _blocks(items, window, block_windows):
         if before is not None:
-            rows = written(rows.mapInArrow(_adder(before, False), rows.schema), "phrase-blocks")
+            rows = written(arrow(rows, _adder(before, False), rows.schema), "phrase-blocks")
         before = sent
-    return rows.mapInArrow(_adder(before, True), f"doc_id {kind}, n_words long, n_hit long, n_items long, "
-                                                 "items_sha256 string, contaminated boolean")
+    return arrow(rows, _adder(before, True), f"doc_id {kind}, n_words long, n_hit long, n_items long, "
+                                             "items_sha256 string, contaminated boolean")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

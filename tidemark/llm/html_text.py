@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import table
+from tidemark.llm.common import arrow, table
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -237,8 +237,8 @@ def extract(pages: DataFrame, tree: Tree | None = None) -> DataFrame:
     table gives no rows.
     """
     kind = dict(pages.dtypes)["page_id"]
-    return pages.select("page_id", "url", "html").mapInArrow(
-        _extractor(tree or train()), f"page_id {kind}, url string, text string, n_chars long, n_blocks long")
+    return arrow(pages.select("page_id", "url", "html"), _extractor(tree or train()),
+                 f"page_id {kind}, url string, text string, n_chars long, n_blocks long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

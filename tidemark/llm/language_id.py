@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import held_out, learnable, table
+from tidemark.llm.common import arrow, held_out, learnable, table
 from tidemark.llm.nn import Adam, bounded_sample, softmax
 
 WINDOW = 128
@@ -31,7 +31,7 @@ TRAIN_WINDOWS = 4
 #: Optimiser steps of 256 windows, whatever the sample's size.
 STEPS = 220
 UNKNOWN = "und"
-_BATCH = 2_048
+_BATCH = 1_024
 
 
 def symbols() -> np.ndarray:
@@ -202,15 +202,15 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(net)  # about 60 kB, whatever the input
     rows = docs.select("doc_id", held_out().alias("held_out"), "text",
                        F.coalesce(F.col("text").rlike(_LETTERS), F.lit(False)).alias("letters"))
-    return rows.mapInArrow(_scorer(sent, False), f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, "
-                                                 "lang_pred string, score double")
+    return arrow(rows, _scorer(sent, False), f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, "
+                                             "lang_pred string, score double")
 
 
 def accept(docs: DataFrame, net: Network | None) -> DataFrame:
     """The rows of ``docs`` that get a language (not ``und``), unchanged."""
     sent = docs.sparkSession.sparkContext.broadcast(net)
     rows = docs.select("*", F.coalesce(F.col("text").rlike(_LETTERS), F.lit(False)).alias("__letters"))
-    return rows.mapInArrow(_scorer(sent, True), docs.schema)
+    return arrow(rows, _scorer(sent, True), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import held_out, learnable, table
+from tidemark.llm.common import arrow, held_out, learnable, table
 from tidemark.llm.nn import Adam, bounded_sample
 
 PASSAGE = 384
@@ -189,9 +189,9 @@ def score(docs: DataFrame, net: Network | float) -> DataFrame:
     empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(net)  # about 40 kB, whatever the input
-    return docs.select("doc_id", "text", held_out().alias("held_out")).mapInArrow(
-        _scorer(sent), f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, score double, "
-                       "predicted int, n_passages long")
+    return arrow(docs.select("doc_id", "text", held_out().alias("held_out")), _scorer(sent),
+                 f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, score double, "
+                 "predicted int, n_passages long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

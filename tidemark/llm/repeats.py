@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import written
+from tidemark.llm.common import arrow, written
 
-_CHUNK = 1 << 20
-_GROUP_BYTES = 4_000_000
+_CHUNK = 1 << 19
+_GROUP_BYTES = 2_000_000
 _KEY = ["k", "c"]
 _AT = ("_d", "_h", "at")
 
@@ -238,7 +238,7 @@ def repeated_spans(rows: DataFrame, spec: Windows, resolver: Resolver, name: str
     in which windows repeat.  ``rows``: ``text, _d, _h`` (see ``keyed``); rows
     that agree in the key count as one document."""
     text = rows.select(F.lit(0).alias("x"), "text", "_d", "_h")
-    found = written(text.mapInArrow(_find(spec), "k long, c long, _d long, _h long, at long"), f"{name}-anchors")
+    found = written(arrow(text, _find(spec), "k long, c long, _d long, _h long, at long"), f"{name}-anchors")
     # counts are written before they are joined: only a join of plain tables is split where a key is hot
     often = written(found.groupBy("k").count().where("count > 1").select("k"), f"{name}-often")
     found = written(found.join(often, "k").distinct(), f"{name}-candidates")
@@ -250,13 +250,13 @@ def repeated_spans(rows: DataFrame, spec: Windows, resolver: Resolver, name: str
 
     wants = several.groupBy("_d", "_h").agg(F.collect_list(F.struct("k", "c", "n", "at")).alias("want"))
     once = rows.select("text", "_d", "_h").join(wants, ["_d", "_h"]).dropDuplicates(["_d", "_h"])
-    contexts = written(once.mapInArrow(
-        _contexts(spec), "k long, c long, n long, _d long, _h long, at long, lft int, ctx binary"),
+    contexts = written(arrow(
+        once, _contexts(spec), "k long, c long, n long, _d long, _h long, at long, lft int, ctx binary"),
         f"{name}-contexts")
     groups, single = grouped(contexts, spec)
     parts = ["key", "low", "high", "lft", "_d", "_h", "at", "ctx"]
-    shared = groups.select(*parts).repartition("key").sortWithinPartitions("key").mapInArrow(
-        _resolve(spec, resolver), "_d long, _h long, a long, b long")
+    groups = groups.select(*parts).repartition("key").sortWithinPartitions("key")
+    shared = arrow(groups, _resolve(spec, resolver), "_d long, _h long, a long, b long")
 
     a = F.shiftright("at", 20)
     copies = found.join(classes.where("n > 1").select("k", "c", "o"), _KEY)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import document_key, keyed, table, written
+from tidemark.llm.common import arrow, document_key, keyed, table, written
 from tidemark.llm.graph import components
 
 SHINGLE = 3
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
                     [part.column(0), part.column(2), part.column(3),
                      pa.array(np.array(fp, np.uint64).view(np.int64))], ["doc_id", "_d", "_h", "fp"])
     rows = keyed(docs)
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, _d long, _h long, fp long")
+    return arrow(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, _d long, _h long, fp long")
 
 
 def table_keys(fp: Column, radius: int = RADIUS) -> list[Column]:
@@ -193,7 +193,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TIL
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     rows = rows.select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "fp")
     rows = rows.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
-    return rows.mapInArrow(_linker(radius), "u long, v long")
+    return arrow(rows, _linker(radius), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED,

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import document_key, keyed, table
+from tidemark.llm.common import arrow, document_key, keyed, table
 from tidemark.llm.repeats import Windows, offsets_of, removed, repeated_spans
 
 WINDOW = 20
@@ -96,9 +96,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     rows = keyed(docs)
     spans = repeated_spans(rows, spec, resolve, "substrings")
     kind = dict(docs.dtypes)["doc_id"]
-    return rows.join(spans, ["_d", "_h"], "left").mapInArrow(
-        _digest(keep_text), f"doc_id {kind}, _d long, _h long, n_words long, n_removed long, kept_sha256 string, "
-                         "kept string")
+    return arrow(rows.join(spans, ["_d", "_h"], "left"), _digest(keep_text),
+                 f"doc_id {kind}, _d long, _h long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
 def _cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +126,7 @@ def clean(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_rows: i
         F.col("_d").alias("__d"), F.col("_h").alias("__h"), F.col("spans").alias("__spans"))
     rows = docs.withColumns({"__d": document_key(), "__h": F.xxhash64("text")})
     rows = rows.join(spans, ["__d", "__h"], "left").select(*docs.columns, "__spans")
-    return rows.mapInArrow(_cleaner, docs.schema)
+    return arrow(rows, _cleaner, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

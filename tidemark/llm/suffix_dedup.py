@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import keyed, table
+from tidemark.llm.common import arrow, keyed, table
 from tidemark.llm.repeats import Windows, offsets_of, removed, repeated_spans
 
 WINDOW = 400
@@ -162,9 +162,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     spec = Windows("bytes", window, gram, every=True, group_rows=group_rows)
     rows = keyed(docs)
     spans = repeated_spans(rows, spec, resolve, "suffixes")
-    return rows.join(spans, ["_d", "_h"], "left").mapInArrow(
-        _digest(keep_text), f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, "
-                            "kept_sha256 string, kept binary")
+    kind = dict(docs.dtypes)["doc_id"]
+    return arrow(rows.join(spans, ["_d", "_h"], "left"), _digest(keep_text),
+                 f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

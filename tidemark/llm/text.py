@@ -14,10 +14,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a single longer text forms a slice alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(int(_BASE), -1, 2 ** 64))
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 
 
 def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
