@@ -241,7 +241,8 @@ def repeated_spans(rows: DataFrame, spec: Windows, resolver: Resolver, name: str
     found = written(arrow(text, _find(spec), "k long, c long, _d long, _h long, at long"), f"{name}-anchors")
     # counts are written before they are joined: only a join of plain tables is split where a key is hot
     often = written(found.groupBy("k").count().where("count > 1").select("k"), f"{name}-often")
-    found = written(found.join(often, "k").distinct(), f"{name}-candidates")
+    # repeated rows are found by document: a grouping that the join's own keys served would keep it whole
+    found = written(found.join(often, "k").repartition("_d", "_h").distinct(), f"{name}-candidates")
     classes = written(found.groupBy(*_KEY).agg(F.count("*").alias("n"), F.min(F.struct(*_AT)).alias("o")),
                       f"{name}-classes")
     several = written(classes.groupBy("k").agg(F.count("*").alias("m")).where("m > 1").select("k"),
