@@ -147,7 +147,7 @@ def _digest(keep_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_rows: int = 4096,
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_rows: int = 1024,
                    keep_text: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` for every row:
     each UTF-8 byte covered by a ``window``-byte string that also starts anywhere
