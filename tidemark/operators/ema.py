@@ -70,7 +70,7 @@ def ema_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]],
     wo = {x: f"PARTITION BY `{layout.series}`, `{CHUNK}`, (`{x}` IS NULL) {order}" for x in inputs}
     df = df.withColumns({f"_i_{x}": F.expr(f"row_number() OVER ({wo[x]}) - 1") for x in inputs}
                         | {f"_g_{x}": F.expr(f"`_row` - lag(`_row`) OVER ({wo[x]})") for x in inputs})
-    stages: list[dict] = [{} for _ in range(7)]
+    stages: list[dict] = [{} for _ in range(6)]
     outs = {}
     for x, span, out in specs:
         a = alpha(span)
@@ -99,10 +99,16 @@ def ema_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]],
             {"prev": f"last(`_end_{out}`, true) OVER ({wo[x]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"},
             {"y": f"CASE WHEN `{x}` IS NOT NULL THEN `_loc_{out}` + coalesce(`_prev_{out}`, {dbl(0.0)}) * "
                   f"{carried} END"},
-        ), strict=False):
+        ), strict=True):
             stage.update({f"_{k}_{out}": F.expr(e) for k, e in column.items()})
         outs[out] = F.expr(last % f"`_y_{out}`")
-    for stage in stages:
-        df = df.withColumns(stage) if stage else df
+    if outs and stages[0]:
+        df = df.withColumns(stages[0])
+        for _, _, out in specs:  # one after the other: both stages of a block share its sort
+            for stage in stages[1:3]:
+                own = {k: v for k, v in stage.items() if k in (f"_n_{out}", f"_d_{out}", f"_loc_{out}")}
+                df = df.withColumns(own) if own else df
+        for stage in stages[3:]:
+            df = df.withColumns(stage) if stage else df
     keep = [c for c in framed.columns if c not in outs]
     return df.select(*keep, *[v.alias(k) for k, v in outs.items()])
