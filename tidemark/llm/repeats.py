@@ -14,9 +14,9 @@ Equal windows are found without shuffling all of them:
 4. Where a gram has several contexts, the texts of the distinct ones (one copy
    of each) meet in a group, and a resolver finds the windows that they share.
 
-A group larger than ``group_rows`` is split: half of the offsets that a window
-may have from the anchor fix a longer common core, whose hash is the new key.
-At a single offset the core is the whole window and a plain aggregation is left.
+A group larger than ``group_rows`` is split (see ``grouped``): half of the offsets
+that a window may have from the anchor fix a longer common core, whose hash is the
+new key.  At a single offset the core is the whole window, and one context is left.
 """
 
 from __future__ import annotations
@@ -140,43 +140,54 @@ def _contexts(spec: Windows):
     return run
 
 
-def _core(spec: Windows):
-    """Hash of what the windows at offsets low..high have in common."""
-    start, size = F.col("lft") - F.col("low") + 1, F.lit(spec.window) - F.col("high") + F.col("low")
-    if spec.unit == "bytes":
-        part = F.substring(F.col("ctx"), start, size)
-    else:
-        part = F.slice(F.split(F.col("ctx").cast("string"), " "), start, size)
-    return F.xxhash64("key", "low", "high", part)
-
+def _part(spec: Windows, first, last):
+    """Hash of the context from ``first`` units before the anchor to the end of
+    the window that begins ``last`` units before it."""
+    start, size = F.col("lft") - first + 1, F.lit(spec.window) - last + first
+    text = F.col("ctx") if spec.unit == "bytes" else F.split(F.col("ctx").cast("string"), " ")
+    part = F.substring(text, start, size) if spec.unit == "bytes" else F.slice(text, start, size)
+    return F.xxhash64("key", "low", "high", first, last, part)
 
-def grouped(contexts: DataFrame, spec: Windows) -> tuple[DataFrame, DataFrame | None]:
-    """Contexts with a group ``key`` and offsets ``low..high`` such that no
-    group is larger than ``group_rows``, and those at a single offset in larger
-    groups (all whose windows are equal)."""
-    todo = contexts.withColumns({"key": F.col("k"), "low": F.lit(0), "high": F.lit(spec.reach)})
-    done = single = None
 
-    def add(to: DataFrame | None, more: DataFrame) -> DataFrame:
-        return more if to is None else to.unionByName(more)
+def grouped(contexts: DataFrame, spec: Windows) -> tuple[DataFrame, list[DataFrame]]:
+    """Contexts with a group ``key`` and offsets ``low..high`` such that no group
+    is larger than ``group_rows``, and tables of spans that repeat (``_d, _h, a,
+    b``) found while larger groups were split.
 
+    A split halves the offsets.  The windows of a half have a longer core in
+    common, whose hash is the new key.  Contexts that agree over the whole half
+    repeat each other there: one of them goes on.  So a passage that a great many
+    documents share leaves few rows, and a context is in few groups."""
+    todo = contexts.withColumns({"key": F.col("k"), "low": F.lit(0), "high": F.lit(spec.reach)})
+    done, spans = None, []
+    own_low, own_high = F.col("at").bitwiseAND(F.lit(1023)), F.shiftright("at", 10).bitwiseAND(F.lit(1023))
+    low, high = F.greatest(F.col("low"), own_low.cast("int")), F.least(F.col("high"), own_high.cast("int"))
     while True:
         big = todo.groupBy("key").count().where(F.col("count") > spec.group_rows).select("key")
         if big.isEmpty():
-            return add(done, todo), single
+            return todo if done is None else done.unionByName(todo), spans
         big = written(big, "repeats-big")
-        done = add(done, todo.join(big, "key", "left_anti"))
-        hot = todo.join(big, "key")
-        single = add(single, hot.where("low = high"))
+        rest = todo.join(big, "key", "left_anti")
+        done = rest if done is None else done.unionByName(rest)
         mid = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
-        halves = hot.where("low < high").withColumn("half", F.explode(F.array(
+        halves = todo.join(big, "key").withColumn("half", F.explode(F.array(
             F.struct(F.col("low").alias("a"), mid.alias("b")),
             F.struct((mid + 1).alias("a"), F.col("high").alias("b")))))
         halves = halves.withColumns({"low": F.col("half.a"), "high": F.col("half.b")}).drop("half")
         # windows at other offsets than the anchor's own have another anchor
-        halves = halves.where((F.col("low") <= F.shiftright("at", 10).bitwiseAND(F.lit(1023)))
-                              & (F.col("high") >= F.col("at").bitwiseAND(F.lit(1023))))
-        todo = written(halves.withColumn("key", _core(spec)), "repeats-halves")
+        halves = halves.where(low <= high).withColumn("key", _part(spec, F.col("low"), F.col("high")))
+        halves = written(halves.withColumn("hull", _part(spec, high, low)), "repeats-halves")
+        same = written(halves.groupBy("key", "hull").agg(F.count("*").alias("m"), F.min(F.struct(*_AT)).alias("o")),
+                       "repeats-hulls")
+        again = halves.join(same.where("m > 1"), ["key", "hull"])
+        if not spec.every:
+            again = again.where(~F.col("o").eqNullSafe(F.struct(*_AT)))
+        at = F.shiftright("at", 20)
+        spans.append(again.select("_d", "_h", (at - high).alias("a"), (at - low + spec.window).alias("b")))
+        first = same.select("key", "hull", *[F.col(f"o.{c}").alias(f"o_{c}") for c in _AT])
+        todo = halves.join(first, ["key", "hull"]).where(
+            " AND ".join(f"{c} = o_{c}" for c in _AT)).drop("hull", *[f"o_{c}" for c in _AT])
+        todo = written(todo, "repeats-left")
 
 
 #: (spec, group, low, high, lft, order, bytes, offsets) of the contexts of whole
@@ -254,7 +265,7 @@ def repeated_spans(rows: DataFrame, spec: Windows, resolver: Resolver, name: str
     contexts = written(arrow(
         once, _contexts(spec), "k long, c long, n long, _d long, _h long, at long, lft int, ctx binary"),
         f"{name}-contexts")
-    groups, single = grouped(contexts, spec)
+    groups, split = grouped(contexts, spec)
     parts = ["key", "low", "high", "lft", "_d", "_h", "at", "ctx"]
     groups = groups.select(*parts).repartition("key").sortWithinPartitions("key")
     shared = arrow(groups, _resolve(spec, resolver), "_d long, _h long, a long, b long")
@@ -266,12 +277,8 @@ def repeated_spans(rows: DataFrame, spec: Windows, resolver: Resolver, name: str
     shared = shared.unionByName(copies.select(
         "_d", "_h", (a - F.shiftright("at", 10).bitwiseAND(F.lit(1023))).alias("a"),
         (a - F.col("at").bitwiseAND(F.lit(1023)) + spec.window).alias("b")))
-    if single is not None:
-        if not spec.every:
-            first = single.groupBy("key").agg(F.min(F.struct(*_AT)).alias("o"))
-            single = single.join(first, "key").where(~F.col("o").eqNullSafe(F.struct(*_AT)))
-        shared = shared.unionByName(single.select(
-            "_d", "_h", (a - F.col("low")).alias("a"), (a - F.col("low") + spec.window).alias("b")))
+    for more in split:
+        shared = shared.unionByName(more)
     return shared.groupBy("_d", "_h").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
