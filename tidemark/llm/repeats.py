@@ -49,6 +49,10 @@ class Windows:
     every: bool
     group_rows: int = 4096
 
+    def __post_init__(self):
+        if not 0 <= self.reach < 512 or self.gram < 1:
+            raise ValueError("a window may be at most 511 units longer than its gram")
+
     @property
     def reach(self) -> int:
         """Largest offset of an anchor in its window."""
