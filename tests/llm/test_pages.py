@@ -40,6 +40,53 @@ def test_page_without_article():
     assert html_text.train().predict(x).tolist() == [0, 1, 1]
 
 
+def main_text(page):
+    found = html_text.blocks(page)
+    x, _ = html_text.features([found])
+    return [b[0] for b, k in zip(found, html_text.train().predict(x), strict=True) if k]
+
+
+def words(start, n=40):
+    return " ".join(f"{start}{i}" for i in range(n))
+
+
+def test_article_below_marks():
+    a, b, c, d = (words(x) for x in "abcd")
+    nav, foot = "<nav><a href=1>Home page</a></nav>", f"<footer>{words('f', 30)}</footer>"
+    body = f"{nav}<article><h1>Title</h1><p>{a}</p><p>Short.</p><p>{b}</p></article>{foot}"
+    full = ["Title", a, "Short.", b]
+    for page in (f"<body><form id=form1 action=x>{body}</form></body>",
+                 f"<head><title>T</title><meta charset=u><body>{body}",
+                 f"<html><head><title>T</title>{body}",
+                 f"<body><div class='site has-sidebar'>{body}</div>",
+                 f"<body><div id=page class='page-header'><form>{body}</form></div>",
+                 f"<body><div class=cookies-on-page><div class='ads subscription'>{body}</div></div>",
+                 f"<form><article><p>Only a</p><p>short one.</p></article><div class=ad>Buy {words('x', 30)}</div></form>"):
+        assert main_text(page) == (["Only a", "short one."] if "Only" in page else full), page
+    plain = f"<form>{nav}<div class=content><div>{a}</div><div>{b}</div></div>{foot}<div class=sidebar>{c}</div></form>"
+    assert main_text(plain) == [a, b]
+    named = (f"<article><h1 class=entry-header>Title</h1><p>{a}</p><h2 id=related-work>Related work</h2><p>{b}</p>"
+             f"<section id=search><h2>Search</h2><p>{c}</p><p>So it is.</p></section>"
+             f"<div class=section id=legal><h2>Law</h2><p>{d}</p></div><div class=share>Share this</div></article>")
+    assert main_text(named) == ["Title", a, "Related work", b, "Search", c, "So it is.", "Law", d]
+    assert main_text(f"<article><p>{a}</p><form><p>{b}</p><p>{c}</p></form></article>") == [a, b, c]
+
+
+def test_furniture_stays():
+    a, b, note = words("a", 90), words("b", 90), words("n", 30)
+    talk = "<div id=comments>" + "".join(f"<div class=comment><p>{words(f'c{i}x', 60)}</p></div>" for i in range(9)) + "</div>"
+    for extra in (talk, f"<div class=cookie-notice>{note}</div>", f"<form><label>Mail</label><p>{note}</p></form>",
+                  f"<div class=sidebar><p>{note}</p></div>", f"<section id=related><p>{note}</p></section>",
+                  f"<div class=newsletter><p>{note}</p><p>{note}</p></div>", f"<div role=search>{note}</div>"):
+        assert main_text(f"<main><article><p>{a}</p><p>{b}</p></article></main>{extra}") == [a, b], extra
+        assert main_text(f"<div class=content><p>{a}</p><p>{b}</p></div>{extra}") == [a, b], extra
+    assert main_text(f"<article><p>{a}</p><div class=ad>{note}</div><form><p>{note}</p></form><p>{b}</p></article>") == [a, b]
+
+
+def test_deep_marks():
+    assert len(html_text.blocks("<div class=nav><form>" * 20000 + "text")) == 1
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text, long enough to be a paragraph of its own " * 5),
             (4, "u", "<article><p>cut off <b>here &am"), (5, "u", "<p " * 1000), (6, "u", "<script>never closed <p>x"),

@@ -4,6 +4,8 @@ A page is cut into text blocks at its block-level tags.  A block is described by
 the word counts and link densities of itself and its two neighbours, and by
 where it stands (in page furniture, in the article).  A decision tree, trained
 on the small labelled table below, tells the article's blocks from the rest.
+Forms and names of classes and ids count as furniture unless what they hold
+shows that they hold main text (``_judge``).
 """
 
 from __future__ import annotations
@@ -31,14 +33,22 @@ _INLINE = frozenset((
     "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"))
 _VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
 _FURNITURE = frozenset((
-    "nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "head", "title", "iframe", "object"))
+    "nav", "footer", "aside", "menu", "dialog", "button", "select", "title", "iframe", "object"))
 _ROLES = frozenset((
-    "navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu"))
+    "navigation", "banner", "contentinfo", "complementary", "dialog", "alert", "alertdialog", "menu"))
+#: Names of classes and ids: of page parts, of notes with sentences of their own, of readers' comments.
+_PART, _NOTE, _TALK, _FORM, _SECTION = "part", "note", "talk", "form", "section"
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banners?|sponsor\w*|promo\w*|nav\w*|menus?|side-?bars?|foot\w*|header|"
-    r"masthead|breadcrumbs?|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|"
-    r"subscription|signup|login|share|sharing|social|related|recommend\w*|comments?|replies|reply|disqus|widgets?|"
-    r"pagination|pager|copyright|legal|disclaimer|toolbar|search)(?=$|[\s_-])", re.I)
+    r"(?:^|[_-])(?:(?P<part>banners?|promo\w*|nav\w*|menus?|side-?bars?|foot\w*|header|masthead|breadcrumbs?|"
+    r"notices?|alerts?|popups?|modal|overlay|login|share|sharing|social|related|recommend\w*|widgets?|"
+    r"pagination|pager|legal|toolbar|search)|(?P<note>ads?|advert\w*|sponsor\w*|cookies?|consent|gdpr|newsletter|"
+    r"subscribe|subscription|signup|copyright|disclaimer)|(?P<talk>comments?|replies|reply|disqus))(?=$|[_-])", re.I)
+#: Names that tell a state of what they stand on, as in has-sidebar.
+_STATE = re.compile(r"(?:no|has|with|without|not)[_-]|.*[_-](?:open|closed|enabled|disabled)$", re.I)
+_SECTION_CLASS = re.compile(r"section|level[1-6]")
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: A block of so many words and at most this share of them in links is a paragraph.
+_PARAGRAPH, _LINKED = 25, 0.3
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 FEATURES = ("words_before", "words", "words_after", "links_before", "links", "links_after",
@@ -111,27 +121,83 @@ def train() -> Tree:
     return Tree(rows[:, :-1], rows[:, -1].astype(int))
 
 
-def _is_furniture(tag: str, attrs: str, inside_article: bool) -> bool:
+def _mark(tag: str, attrs: str, inside_article: int) -> str | None:
+    """What an element's tag and attributes say: "" for page furniture, or the
+    kind of a mark that needs a look at what the element holds, or None."""
     if tag in _FURNITURE or tag == "header" and not inside_article:
-        return True
-    if not attrs.strip(" /"):
-        return False
+        return ""
+    kind = _FORM if tag == "form" else None
+    section, named = tag == "section", False  # named by a class, not just by its id
+    if tag in ("html", "head", "body", "article", "main") or not attrs.strip(" /"):
+        return kind
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
-        if (name in ("class", "id") and _NAMES.search(value) or name == "role" and value.lower() in _ROLES
-                or name == "hidden" or name == "aria-hidden" and value.lower() == "true"
-                or name == "style" and _HIDDEN.search(value)):
-            return tag not in ("html", "body", "article", "main")
-    return False
+        if (name == "role" and value.lower() in _ROLES or name == "hidden"
+                or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value)):
+            return ""
+        if name == "role" and value.lower() in ("form", "search"):
+            kind = kind or _FORM
+        elif name == "class" or name == "id" and tag not in _HEADINGS:  # a heading's id is a link target
+            for token in value.split():
+                section |= name == "class" and bool(_SECTION_CLASS.fullmatch(token))
+                for n in () if _STATE.match(token) else _NAMES.finditer(token):
+                    if not (inside_article and n[0].strip("_-").lower() == "header"):
+                        kind = max(kind or "", n.lastgroup, key=("", _FORM, _PART, _NOTE, _TALK).index)
+                        named |= name == "class"
+    return _SECTION if kind == _PART and section and not named else kind
+
+
+def _judge(found: list[tuple], marks: list[tuple[str, int, int]]) -> list[bool]:
+    """Whether each block is page furniture.  ``found``: words, words in links,
+    furniture by its tags, in the article, innermost mark; ``marks``: kind,
+    enclosing mark (always an earlier one), 1 in <main> or 2 in <article>.
+
+    A mark doesn't count if its element holds the page's paragraphs (a form
+    around the whole body), if it names a section of paragraphs in the article,
+    or if it stands in an <article>, is made of paragraphs and holds a quarter
+    of the page's.  Notes must hold all of the page for that; comments always count.
+    """
+    if not marks:
+        return [b[2] for b in found]
+    aside = []  # in a note or in comments
+    for kind, up, _ in marks:
+        aside.append(kind in (_NOTE, _TALK) or up >= 0 and aside[up])
+    # words, words out of links, words of paragraphs, all three outside notes; words out of links; has article blocks
+    total, held = [0] * 5, [[0] * 5 for _ in marks]
+    for words, linked, tagged, article, mark in found:
+        if tagged:
+            continue
+        own = mark < 0 or not aside[mark]
+        long = words if words >= _PARAGRAPH and linked <= _LINKED * words else 0
+        for row in (total, held[mark]) if mark >= 0 else (total,):
+            for j, x in enumerate((own * words, own * (words - linked), own * long, words - linked, int(article))):
+                row[j] += x
+    for i in range(len(marks) - 1, -1, -1):
+        if marks[i][1] >= 0:
+            held[marks[i][1]] = [x + y for x, y in zip(held[marks[i][1]], held[i], strict=True)]
+    counts: list[bool] = []
+    for (kind, up, inside), (words, free, long, every, in_article) in zip(marks, held, strict=True):
+        if kind == _TALK:
+            void = False
+        elif kind == _NOTE:
+            void = not inside and 10 * every >= 9 * total[3]
+        elif total[2]:
+            void = (4 * (total[2] - long) <= long and 2 * free >= total[1]
+                    or 2 * long >= words > 0 and (inside > 0 and kind == _SECTION or inside > 1 and 4 * long >= total[2]))
+        else:  # a page without paragraphs
+            void = in_article > 0 and not inside and 5 * free >= 4 * total[1]
+        counts.append(not void or up >= 0 and counts[up])
+    return [b[2] or b[4] >= 0 and counts[b[4]] for b in found]
 
 
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     """(text, words, words in links, in furniture, in the article) of a page's
     text blocks in order.  Comments, scripts and styles give no text."""
     out, parts, linked = [], [], 0
-    stack: list[tuple[str, bool, bool]] = []  # open block elements: tag, furniture, article
-    furniture = article = False
-    anchors = 0
+    stack: list[tuple[str, bool, int, int]] = []  # open block elements: tag, furniture, article, innermost mark
+    marks: list[tuple[str, int, int]] = []
+    furniture = False
+    article, mark, anchors = 0, -1, 0
 
     def add(raw: str) -> None:
         nonlocal linked
@@ -145,10 +211,16 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         nonlocal linked
         words = "".join(parts).split()
         if words:
-            out.append((" ".join(words), len(words), min(linked, len(words)), furniture, article))
+            out.append((" ".join(words), len(words), min(linked, len(words)), furniture, article > 0, mark))
         parts.clear()
         linked = 0
 
+    def enter(tag: str, attrs: str) -> tuple[bool, int]:
+        kind = _mark(tag, attrs, article)
+        if kind:
+            marks.append((kind, mark, article))
+        return furniture or kind == "", len(marks) - 1 if kind else mark
+
     at = 0
     while m := _TOKEN.search(page, at):
         add(page[at: m.start()])
@@ -176,14 +248,15 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                     del stack[i:]
                     break
         elif tag not in _VOID and not m["attrs"].endswith("/") and tag not in ("p", "li"):
-            stack.append((tag, furniture or _is_furniture(tag, m["attrs"], article),
-                          article or tag in ("article", "main")))
-        furniture, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            inside, inner = enter(tag, m["attrs"])
+            stack.append((tag, inside, max(article, {"main": 1, "article": 2}.get(tag, 0)), inner))
+        furniture, article, mark = stack[-1][1:] if stack else (False, 0, -1)
         if tag in ("p", "li") and not m["close"] and not furniture:
-            furniture = _is_furniture(tag, m["attrs"], article)
+            furniture, mark = enter(tag, m["attrs"])
     add(page[at:])
     end()
-    return out
+    judged = _judge([b[1:] for b in out], marks)
+    return [(*b[:3], x, b[4]) for b, x in zip(out, judged, strict=True)]
 
 
 def _shift(x: np.ndarray, page: np.ndarray, by: int) -> np.ndarray:
