@@ -83,6 +83,24 @@ def test_furniture_stays():
     assert main_text(f"<article><p>{a}</p><div class=ad>{note}</div><form><p>{note}</p></form><p>{b}</p></article>") == [a, b]
 
 
+def test_articles_beside_the_main_text():
+    a, b, c = (words(x, 90) for x in "abc")
+    content = f"<div class=content><div>{a}</div><div>{b}</div></div>"
+    teasers = "".join(f"<article><h3><a href=x>One more</a></h3><p>{words(f't{i}x', 20)}</p></article>" for i in range(3))
+    talk = "".join(f"<article class='comment-body'><p>{words(f'c{i}x', 60)}</p></article>" for i in range(9))
+    for beside in (f"<aside>{teasers}</aside>", f"<div class=related-posts>{teasers}</div>",
+                   f"<div id=comments>{talk}</div>", talk, f"<aside>{teasers}</aside><div id=comments>{talk}</div>",
+                   "<article id=div-comment-12><p>" + c + "</p></article>"):
+        assert main_text(f"<body>{content}{beside}</body>") == [a, b], beside
+        marked = f"<article class='post reply-closed'><h1>Title</h1><p>{a}</p><p>{b}</p></article>"
+        assert main_text(f"<body>{marked}{beside}</body>") == ["Title", a, b], beside
+    # teasers that nothing sets apart: words and links decide
+    assert main_text(f"<body>{content}<div class=grid>{teasers}</div></body>")[:2] == [a, b]
+    listing = "".join(f"<article><h2>Title</h2><p>{x}</p></article>" for x in (a, b, c)) + f"<div>{words('z', 30)}</div>"
+    assert main_text(listing) == ["Title", a, "Title", b, "Title", c]
+    assert main_text(f"<article><p>{a}</p></article><div>{b}</div>") == [a]
+
+
 def test_deep_marks():
     assert len(html_text.blocks("<div class=nav><form>" * 20000 + "text")) == 1
 

@@ -45,6 +45,9 @@ _NAMES = re.compile(
     r"subscribe|subscription|signup|copyright|disclaimer)|(?P<talk>comments?|replies|reply|disqus))(?=$|[_-])", re.I)
 #: Names that tell a state of what they stand on, as in has-sidebar.
 _STATE = re.compile(r"(?:no|has|with|without|not)[_-]|.*[_-](?:open|closed|enabled|disabled)$", re.I)
+#: An <article> that is a reader's comment, by a token of its class or by its id.
+_COMMENT = re.compile(r"(?:comments?|reply|replies)(?:[_-].*)?", re.I)
+_COMMENT_ID = re.compile(r"(?:.*[_-])?comment[_-]?\d+", re.I)
 _SECTION_CLASS = re.compile(r"section|level[1-6]")
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: A block of so many words and at most this share of them in links is a paragraph.
@@ -128,8 +131,15 @@ def _mark(tag: str, attrs: str, inside_article: int) -> str | None:
         return ""
     kind = _FORM if tag == "form" else None
     section, named = tag == "section", False  # named by a class, not just by its id
-    if tag in ("html", "head", "body", "article", "main") or not attrs.strip(" /"):
+    if tag in ("html", "head", "body", "main") or not attrs.strip(" /"):
         return kind
+    if tag == "article":
+        for m in _ATTR.finditer(attrs):
+            name, value = m[1].lower(), (m[2] or "").strip("\"'")
+            if (name == "class" and any(_COMMENT.fullmatch(x) and not _STATE.match(x) for x in value.split())
+                    or name == "id" and _COMMENT_ID.fullmatch(value)):
+                return _TALK
+        return None
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if (name == "role" and value.lower() in _ROLES or name == "hidden"
@@ -149,7 +159,7 @@ def _mark(tag: str, attrs: str, inside_article: int) -> str | None:
 
 def _judge(found: list[tuple], marks: list[tuple[str, int, int]]) -> list[bool]:
     """Whether each block is page furniture.  ``found``: words, words in links,
-    furniture by its tags, in the article, innermost mark; ``marks``: kind,
+    furniture by its tags, number of its article, innermost mark; ``marks``: kind,
     enclosing mark (always an earlier one), 1 in <main> or 2 in <article>.
 
     A mark doesn't count if its element holds the page's paragraphs (a form
@@ -170,7 +180,7 @@ def _judge(found: list[tuple], marks: list[tuple[str, int, int]]) -> list[bool]:
         own = mark < 0 or not aside[mark]
         long = words if words >= _PARAGRAPH and linked <= _LINKED * words else 0
         for row in (total, held[mark]) if mark >= 0 else (total,):
-            for j, x in enumerate((own * words, own * (words - linked), own * long, words - linked, int(article))):
+            for j, x in enumerate((own * words, own * (words - linked), own * long, words - linked, int(article > 0))):
                 row[j] += x
     for i in range(len(marks) - 1, -1, -1):
         if marks[i][1] >= 0:
@@ -190,14 +200,15 @@ def _judge(found: list[tuple], marks: list[tuple[str, int, int]]) -> list[bool]:
     return [b[2] or b[4] >= 0 and counts[b[4]] for b in found]
 
 
-def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
-    """(text, words, words in links, in furniture, in the article) of a page's
-    text blocks in order.  Comments, scripts and styles give no text."""
+def blocks(page: str) -> list[tuple[str, int, int, bool, int]]:
+    """(text, words, words in links, in furniture, number of the outermost
+    <article> or <main> around it, or 0) of a page's text blocks in order.  Comments, scripts and styles give no text."""
     out, parts, linked = [], [], 0
-    stack: list[tuple[str, bool, int, int]] = []  # open block elements: tag, furniture, article, innermost mark
+    # open block elements: tag, furniture, 1 in <main> or 2 in <article>, number of the outermost, innermost mark
+    stack: list[tuple[str, bool, int, int, int]] = []
     marks: list[tuple[str, int, int]] = []
     furniture = False
-    article, mark, anchors = 0, -1, 0
+    article, outer, mark, anchors, articles = 0, 0, -1, 0, 0
 
     def add(raw: str) -> None:
         nonlocal linked
@@ -211,7 +222,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         nonlocal linked
         words = "".join(parts).split()
         if words:
-            out.append((" ".join(words), len(words), min(linked, len(words)), furniture, article > 0, mark))
+            out.append((" ".join(words), len(words), min(linked, len(words)), furniture, outer, mark))
         parts.clear()
         linked = 0
 
@@ -249,8 +260,12 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                     break
         elif tag not in _VOID and not m["attrs"].endswith("/") and tag not in ("p", "li"):
             inside, inner = enter(tag, m["attrs"])
-            stack.append((tag, inside, max(article, {"main": 1, "article": 2}.get(tag, 0)), inner))
-        furniture, article, mark = stack[-1][1:] if stack else (False, 0, -1)
+            if tag in ("article", "main"):
+                article = max(article, 1 + (tag == "article"))
+                if not outer:
+                    outer = articles = articles + 1
+            stack.append((tag, inside, article, outer, inner))
+        furniture, article, outer, mark = stack[-1][1:] if stack else (False, 0, 0, -1)
         if tag in ("p", "li") and not m["close"] and not furniture:
             furniture, mark = enter(tag, m["attrs"])
     add(page[at:])
@@ -259,6 +274,17 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     return [(*b[:3], x, b[4]) for b, x in zip(out, judged, strict=True)]
 
 
+def _has_article(found: list[tuple]) -> bool:
+    """Whether a page marks its main text: of the words out of links and
+    furniture, one article holds a third or all articles a half."""
+    held: dict[int, int] = {}
+    for _, words, linked, furniture, article in found:
+        if not furniture:
+            held[article] = held.get(article, 0) + words - linked
+    free, beside = sum(held.values()), held.pop(0, 0)
+    return bool(held) and (3 * max(held.values()) >= free or 2 * beside <= free)
+
+
 def _shift(x: np.ndarray, page: np.ndarray, by: int) -> np.ndarray:
     """The neighbour's value, 0 beyond the page's ends."""
     out = np.zeros(len(x))
@@ -274,9 +300,9 @@ def features(found: list[list[tuple]]) -> tuple[np.ndarray, np.ndarray]:
     page = np.repeat(np.arange(len(found)), [len(x) for x in found])
     rows = np.array([b[1:] for x in found for b in x], float).reshape(-1, 4)
     words, links = rows[:, 0], rows[:, 1] / np.maximum(rows[:, 0], 1)
-    marked = np.array([any(b[4] for b in x) for x in found], float)[page] if len(found) else words
+    marked = np.array([_has_article(x) for x in found], float)[page] if len(found) else words
     cols = [_shift(words, page, -1), words, _shift(words, page, 1), _shift(links, page, -1), links,
-            _shift(links, page, 1), rows[:, 2], rows[:, 3], marked]
+            _shift(links, page, 1), rows[:, 2], (rows[:, 3] > 0) * marked, marked]
     return np.stack(cols, axis=1), page
 
 
