@@ -1,5 +1,6 @@
 """Rules, mixing, decontamination, language ID and the classifier."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -86,6 +87,33 @@ def test_proximity(spark):
     assert got == {1: (["1"], ["1"]), 2: ([], ["1"]), 3: ([], []), 4: ([], [])}
 
 
+@pytest.mark.parametrize("slop", [1, 3])
+def test_proximity_in_many_documents(spark, slop):
+    rng = random.Random(slop)
+    vocab = ["red", "green", "blue", "black", "white", "pink"]
+    items = [(1, "red green blue black"), (2, "white red white"), (3, "pink"), (4, "green green black pink red blue")]
+    rows = [(0, "clean words"), (1, "green red blue black"), (2, "clean words"), (3, "red green black blue")]
+    rows += [(i, " ".join(rng.choice(vocab) for _ in range(rng.choice([0, 1, 3, 4, 6, 9])))) for i in range(4, 300)]
+
+    def near(text):
+        w, out = text.split(), []
+        for i, item in items:
+            t = item.split()
+            off = [[min((abs(k - s - j) for k, x in enumerate(w) if x == y), default=99) for j, y in enumerate(t)]
+                   for s in range(-len(t), len(w) + 1)]
+            out += [str(i)] if any(min(x) == 0 and max(x) <= slop for x in off) else []
+        return out
+
+    want = {i: near(t) for i, t in rows}
+    assert want[1][0] == "1" and want[0] == want[2] == []
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 40):  # what shares a slice doesn't matter
+        got = decontaminate.matches(docs.repartition(parts), bench, slop=slop).collect()
+        assert {r.doc_id: sorted(r.near_items) for r in got} == want and len(got) == len(rows)
+        assert all({*r["items"]} <= {*r.near_items} for r in got)
+
+
 def shares(size, weights=(3, 1, 2)):
     """Targets by handing out the excess again and again."""
     names = sorted(size, key=lambda s: (s is None, s or ""))

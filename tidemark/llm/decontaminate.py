@@ -5,8 +5,8 @@ the terms that the test items use: sorted (term, position) pairs.  A test
 phrase takes its rarest term's list, shifts it to the phrase start, and
 intersects it with the shifted lists of the next rarer terms until all terms
 are used.  Lists are intersected by binary search in the sorted postings.  The
-same lists answer proximity queries: a term then matches if it has a posting
-within ``slop`` words of its expected place.
+same lists answer proximity queries: one term has to stand in its place and
+every other within ``slop`` words of it, whichever term is the rarest.
 
 The index is partitioned by document, so documents are never shuffled and a
 frequent term's postings are spread over all tasks.  The phrases are broadcast
@@ -87,37 +87,41 @@ class Index:
 
 
 def find(index: Index, terms: np.ndarray, length: np.ndarray, first: np.ndarray,
-         last: np.ndarray, doc: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(phrase, start position) of every match.  ``terms``: phrases x window
-    term numbers, -1 for terms that the slice lacks or beyond ``length``."""
+         last: np.ndarray, doc: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(phrase, start position, document) of every match.  ``terms``: phrases x
+    window term numbers, -1 for terms that the slice lacks or beyond ``length``.
+    With ``slop`` a start may lie outside the document, and may come repeatedly."""
     inside = np.arange(terms.shape[1])[None, :] < length[:, None]
     freq = np.where(inside, np.where(terms >= 0, index.count[np.maximum(terms, 0)], 0),
                     np.iinfo(np.int64).max)
     alive = np.flatnonzero((freq > 0).all(axis=1))
     order = np.argsort(freq[alive], axis=1, kind="stable")  # the rarest term first
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = freq[alive, order[:, 0]] if len(alive) else np.empty(0, np.int64)
     block = np.cumsum(size) // _CANDIDATES
     for b in np.unique(block):
         rows = np.flatnonzero(block == b)
         p, o = alive[rows], order[rows]
-        r, at = index.places(terms[p, o[:, 0]])
-        start = at - o[r, 0]
-        d = doc[at]
-        keep = (start >= first[d]) & (start + length[p[r]] <= last[d]) if not slop else at >= 0
-        r, start, d = r[keep], start[keep], d[keep]
-        for j in range(1, terms.shape[1]):
-            used = j < length[p[r]]
-            want = start + o[r, j]
-            ok = ~used
-            ok[used] = index.near(terms[p[r], o[r, j]][used],
-                                  np.maximum(want - slop, first[d])[used],
-                                  np.minimum(want + slop, last[d] - 1)[used])
-            r, start, d = r[ok], start[ok], d[ok]
-        found.append((p[r], start))
+        postings, at = index.places(terms[p, o[:, 0]])
+        for shift in range(-slop, slop + 1):  # of the rarest term from its place
+            r, start, d = postings, at - o[postings, 0] - shift, doc[at]
+            placed = np.full(len(r), shift == 0)  # a term stands in its place
+            if not slop:
+                keep = (start >= first[d]) & (start + length[p[r]] <= last[d])
+                r, start, d, placed = r[keep], start[keep], d[keep], placed[keep]
+            for j in range(1, terms.shape[1]):
+                used = j < length[p[r]]
+                term, want = terms[p[r], o[r, j]][used], (start + o[r, j])[used]
+                lo, hi = first[d][used], last[d][used] - 1
+                ok = ~used
+                ok[used] = index.near(term, np.maximum(want - slop, lo), np.minimum(want + slop, hi))
+                if slop:
+                    placed[used] |= index.near(term, np.maximum(want, lo), np.minimum(want, hi))
+                r, start, d, placed = r[ok], start[ok], d[ok], placed[ok]
+            found.append((p[r[placed]], start[placed], d[placed]))
     if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def search(block: tuple, column: pa.Array, slop: int = 0):
@@ -136,11 +140,11 @@ def search(block: tuple, column: pa.Array, slop: int = 0):
     edge = np.searchsorted(doc, np.arange(n + 1))
     first, last = edge[:-1], edge[1:]
     index = Index(term, len(vocab))
-    spans, exact = _by_document(find(index, terms, length, first, last, doc), owner, length, doc, n)
+    spans, exact = _by_document(find(index, terms, length, first, last, doc), owner, length, first, n)
     near: list[list[int]] = [[] for _ in range(n)]
     if slop:
-        p, s = find(index, terms, length, first, last, doc, slop)
-        near = _items_of(doc[np.clip(s, 0, len(doc) - 1)] if len(s) else s, owner[p], n)
+        p, _, d = find(index, terms, length, first, last, doc, slop)
+        near = _items_of(d, owner[p], n)
     return last - first, spans, exact, near
 
 
@@ -184,12 +188,10 @@ def _items_of(doc: np.ndarray, item: np.ndarray, n: int) -> list[list[int]]:
     return [pairs[cut[i]: cut[i + 1], 1].tolist() for i in range(n)]
 
 
-def _by_document(hits, owner, length, doc, n: int):
+def _by_document(hits, owner, length, first, n: int):
     """Per document: merged hit spans (flat list start, end, ... in words from
     the document's start) and the items found."""
-    p, s = hits
-    d = doc[s] if len(s) else s
-    first = np.searchsorted(doc, np.arange(n))
+    p, s, d = hits
     spans: list[list[int]] = [[] for _ in range(n)]
     order = np.argsort(s, kind="stable")
     for i in order:
@@ -209,8 +211,9 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
 
     Returns one row for each row of ``docs`` and block of phrases: ``doc_id,
     n_words, spans`` (start and end word of each merged exact hit), ``items``
-    (ids found exactly), ``near_items`` (ids of which a phrase occurs with each
-    term at most ``slop`` words off; empty if ``slop`` is 0), ``block``.
+    (ids found exactly), ``near_items`` (ids of which a phrase occurs with one
+    term in its place and each other at most ``slop`` words off, all in the
+    document; empty if ``slop`` is 0), ``block``.
 
     A null text has no words, and no item without words is ever found.  Words
     are compared by 64-bit hashes.  Repeated rows get a row each; ties do not
