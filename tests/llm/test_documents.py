@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from data import TERM, WORD, awkward, frame, lower, sha
 
-from tidemark.llm import decontaminate, language_id, mixing, quality_classifier, quality_rules
+from tidemark.llm import decontaminate, language_id, mixing, nn, quality_classifier, quality_rules
 from tidemark.llm.queries import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
 from tests.helpers import assert_same, duck
@@ -168,6 +168,23 @@ def test_language(spark):
     assert language_id.identify(frame(spark, []), net).count() == 0
 
 
+def test_rare_classes_are_learned(spark):
+    rows = [(i, f"plain words number {i} of a text", "en", int(i != 17)) for i in range(600)]
+    rows[17] = (17, "q" * 900_000, "xx", 0)
+    docs = spark.createDataFrame(rows + rows[:40], "doc_id long, text string, lang string, quality int")
+    net = language_id.train(docs, documents=24, steps=2)
+    assert net.languages == ["en", "xx"]
+    assert not isinstance(quality_classifier.train(docs, 24, 2), float)
+    got = nn.excerpts(nn.bounded_sample(docs.select("doc_id", "text", "lang"), 24, docs.lang), 100, 3)
+    assert len(got) == len({r.doc_id for r in got}) == 24 and max(len(r.text) for r in got) == 300
+    assert got == nn.excerpts(nn.bounded_sample(docs.repartition(7).select("doc_id", "text", "lang"), 24, docs.lang), 100, 3)
+
+
+def test_without_a_language_network(spark):
+    rows = [(1, "some words"), (2, None), (3, "12 - 3"), (4, ""), (5, "é")]
+    assert sorted(r.doc_id for r in language_id.accept(frame(spark, rows), None).collect()) == [1, 5]
+
+
 def test_network_gradients():
     net = quality_classifier.Network.fresh(np.zeros(quality_classifier.FEATURES), np.ones(quality_classifier.FEATURES))
     rng = np.random.default_rng(0)

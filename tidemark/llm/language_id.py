@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
 from tidemark.llm.common import arrow, held_out, learnable, table
-from tidemark.llm.nn import Adam, bounded_sample, softmax
+from tidemark.llm.nn import Adam, bounded_sample, excerpts, softmax
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -136,20 +136,17 @@ class Network:
 
 def train(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, steps: int = STEPS) -> Network | None:
     """A network learned from at most ``documents`` rows with a text and a
-    ``lang``; None if there are none."""
-    rows = bounded_sample(docs.where("text is not null and lang is not null and text <> ''")
-                          .select("doc_id", "text", "lang"), documents)
+    ``lang``, every language having its share; None if there are none."""
+    rows = excerpts(bounded_sample(docs.where("text is not null and lang is not null and text <> ''")
+                                   .select("doc_id", "text", "lang"), documents, F.col("lang")), WINDOW, TRAIN_WINDOWS)
     if not rows:
         return None
     languages = sorted({r["lang"] for r in rows})
     net = Network.fresh(languages)
-    buf, off = tx.strings(pa.array([r["text"] for r in rows], pa.large_string()))
+    buf, off = tx.strings(pa.array([bytes(r["text"]) for r in rows], pa.large_binary()))
     start, length, doc = windows(buf, off)
-    first = np.searchsorted(doc, np.arange(len(rows) + 1))
-    pick = np.concatenate([np.unique(np.linspace(a, b - 1, TRAIN_WINDOWS).astype(int))
-                           for a, b in zip(first[:-1], first[1:], strict=True)])
     label = np.array([languages.index(r["lang"]) for r in rows])
-    net.fit(cut(symbols()[buf], start[pick], length[pick]), label[doc[pick]], steps)
+    net.fit(cut(symbols()[buf], start, length), label[doc], steps)
     return net
 
 
@@ -180,7 +177,8 @@ def _scorer(sent, only_known: bool):
                 letters = part.column(len(names) - 1).to_numpy(zero_copy_only=False)
                 language, score = predict(sent.value, part.column(names.index("text")), letters)
                 if only_known:
-                    yield part.select(names[:-1]).filter(pa.array([x != UNKNOWN for x in language], pa.bool_()))
+                    yield part.select(names[:-1]).filter(pa.array(
+                        letters if sent.value is None else [x != UNKNOWN for x in language], pa.bool_()))
                 else:
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0), part.column(1), pa.array(language, pa.string()), pa.array(score)],
@@ -207,7 +205,8 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
 
 def accept(docs: DataFrame, net: Network | None) -> DataFrame:
-    """The rows of ``docs`` that get a language (not ``und``), unchanged."""
+    """The rows of ``docs`` that get a language (not ``und``), unchanged; if the
+    network is None, the rows whose text has letters."""
     sent = docs.sparkSession.sparkContext.broadcast(net)
     rows = docs.select("*", F.coalesce(F.col("text").rlike(_LETTERS), F.lit(False)).alias("__letters"))
     return arrow(rows, _scorer(sent, True), docs.schema)

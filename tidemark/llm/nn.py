@@ -2,20 +2,72 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import arrow
+
+_HELD_ROWS = 50_000
+
+
+def _smallest(n: int):
+    """The ``n`` smallest hashes of each value in a task's rows."""
+    def cut(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        return pd.concat(parts).drop_duplicates().sort_values("__h").groupby("value", dropna=False).head(n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pd.DataFrame] = []
+        rows, limit = 0, _HELD_ROWS
+        for batch in batches:
+            parts.append(batch.to_pandas())
+            rows += batch.num_rows
+            if rows > limit:
+                parts = [cut(parts)]
+                rows = len(parts[0])
+                limit = 2 * rows + _HELD_ROWS
+        if parts:
+            yield pa.RecordBatch.from_pandas(cut(parts), preserve_index=False, schema=pa.schema(
+                [("value", pa.string()), ("__h", pa.int64())]))
+    return run
+
+
+def bounded_sample(df: DataFrame, n: int, by: Column, seed: int = 0) -> DataFrame:
+    """At most ``n`` different rows of ``df``, spread evenly over the values of
+    ``by``: of each, those whose hash ``__h`` over all columns is smallest, and
+    more of the others where a value has too few.  The same rows on every run."""
+    rows = df.withColumn("__h", F.xxhash64(*df.columns, F.lit(seed)))
+    keys = arrow(rows.select(by.cast("string").alias("value"), "__h"), _smallest(n), "value string, __h long")
+    rank = F.row_number().over(Window.partitionBy("value").orderBy("__h"))
+    top = keys.distinct().withColumn("rank", rank).orderBy("rank", "__h").limit(n).select("__h")
+    return rows.join(F.broadcast(top), "__h").select(*df.columns, "__h")
+
+
+def excerpts(rows: DataFrame, unit: int, pieces: int) -> list:
+    """The rows of a sample in order of ``__h``, each once, with at most
+    ``pieces`` runs of ``unit`` bytes of ``text``, evenly spread, the last one
+    too.  The texts are cut in the tasks, before they reach the driver."""
+    def cut(text: bytes | None) -> bytes:
+        text = text or b""
+        n = -(-len(text) // unit)
+        if n <= pieces:
+            return text
+        return b"".join(text[i * unit: (i + 1) * unit]
+                        for i in np.unique(np.linspace(0, n - 1, pieces).astype(int)).tolist())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            short = pa.array([cut(x) for x in batch.column(at).cast(pa.large_binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([short if i == at else c for i, c in enumerate(batch.columns)],
+                                             batch.schema.names)
 
-def bounded_sample(df: DataFrame, n: int, seed: int = 0) -> list:
-    """At most ``n`` rows of ``df``, those whose hashed ``doc_id`` is smallest:
-    the same rows on every run.  Only their texts reach the driver."""
-    h = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    top = df.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
-    if top is None:
-        return []
-    rows = df.where(h <= top).limit(n).collect()
-    return sorted(rows, key=lambda r: tuple(str(x) for x in r))
+    schema = ", ".join(f"{c} {'binary' if c == 'text' else t}" for c, t in rows.dtypes)
+    return sorted(arrow(rows, run, schema).distinct().collect(), key=lambda r: r["__h"])
 
 
 class Adam:

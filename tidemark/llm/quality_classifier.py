@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
 from tidemark.llm.common import arrow, held_out, learnable, table
-from tidemark.llm.nn import Adam, bounded_sample
+from tidemark.llm.nn import Adam, bounded_sample, excerpts
 
 PASSAGE = 384
 #: Hashed byte pairs, byte classes, distinct three-byte strings.
@@ -135,17 +135,18 @@ class Network:
 
 def train(labelled: DataFrame, documents: int = TRAIN_DOCUMENTS, steps: int = STEPS) -> Network | float:
     """A network learned from at most ``documents`` rows of ``doc_id, text,
-    quality``, both classes weighing the same.  With only one class (or no
+    quality``, both classes having a half of them if there are enough, and
+    weighing the same.  With only one class (or no
     rows) that class (or 0.5) is the answer for every text."""
-    rows = bounded_sample(labelled, documents)
+    rows = excerpts(bounded_sample(labelled.select("doc_id", "text", "quality"), documents, F.col("quality") >= 1),
+                    PASSAGE, TRAIN_PASSAGES)
     y = np.array([float(r["quality"] >= 1) for r in rows])
     if len(set(y)) < 2:
         return float(y[0]) if len(y) else 0.5
-    buf, off = tx.strings(pa.array([r["text"] or "" for r in rows], pa.large_string()))
+    buf, off = tx.strings(pa.array([bytes(r["text"]) for r in rows], pa.large_binary()))
     x, doc = passages(buf, off)
     edge = np.searchsorted(doc, np.arange(len(rows) + 1))
-    pick = [np.unique(np.linspace(a, b - 1, TRAIN_PASSAGES).astype(int))
-            for a, b in zip(edge[:-1], edge[1:], strict=True)]
+    pick = [np.arange(a, b) for a, b in zip(edge[:-1], edge[1:], strict=True)]
     net = Network.fresh(x.mean(0), x.std(0) + 1e-3)
     rng, opt = np.random.default_rng(3), Adam(net.params, 0.01)
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
@@ -198,7 +199,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(learnable()).where("quality is not null")
     # only the labelled rows that the sample may hold meet the texts
-    h = F.xxhash64(F.col("doc_id"), F.lit(0))
-    few = labels.select("doc_id", "quality").orderBy(h).limit(TRAIN_DOCUMENTS)
+    few = bounded_sample(labels.select("doc_id", "quality"), TRAIN_DOCUMENTS, F.col("quality") >= 1).drop("__h")
+    few = spark.createDataFrame(few.distinct().collect(), few.schema)
     net = train(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id"))
     return score(docs, net)
