@@ -1,8 +1,9 @@
-"""Substring dedup with prefix-partitioned suffix trees.
+"""Substring dedup with partitioned suffix trees.
 
-The suffixes that may repeat (see ``repeats``) are split into groups by
-prefixes of variable length, short where few suffixes share one and longer where
-many do, so that a group fits in memory.  A group's tree is grown level by
+The suffixes that may repeat (see ``repeats``) are split into groups by hashes
+of a common core inside the window, short where few share one and longer where
+many do, so that a group fits in memory; these stand in for prefixes.  Copies of
+equal contexts are found there by their hashes and are in no tree.  A group's tree is grown level by
 level: a node's suffixes are divided by their next word, and a suffix alone in
 its node is a leaf and grows no further.  Nodes as deep as the window are the
 maximal repeats; of the suffixes below one, all but the earliest are removed.

@@ -4,8 +4,9 @@ Of all suffixes, only those in groups with a common core can repeat (see
 ``repeats``).  Each group is sorted by a mergesort whose comparisons are
 logarithmic: prefix polynomial hashes and a binary search find how far two
 suffixes agree, and the next byte decides.  Neighbours in the sorted order that
-agree over a whole window repeat; their bytes are compared, so that a hash
-collision can't remove anything.
+agree over a whole window repeat; their bytes are compared, so that a collision
+of prefix hashes can't remove anything.  Copies of equal contexts don't get here:
+``repeats`` finds them by 64-bit hashes and compares no bytes.
 """
 
 from __future__ import annotations
