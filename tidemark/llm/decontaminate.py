@@ -1,4 +1,4 @@
-"""Benchmark decontamination with a document-partitioned positional index.
+"""Benchmark decontamination with positional postings made on the fly.
 
 Every task builds, for its share of the documents, the positional postings of
 the terms that the test items use: sorted (term, position) pairs.  A test
@@ -8,8 +8,9 @@ are used.  Lists are intersected by binary search in the sorted postings.  The
 same lists answer proximity queries: one term has to stand in its place and
 every other within ``slop`` words of it, whichever term is the rarest.
 
-The index is partitioned by document, so documents are never shuffled and a
-frequent term's postings are spread over all tasks.  The phrases are broadcast
+Postings are built for each slice of documents and not stored, so documents are
+never shuffled and a frequent term's postings are spread over all tasks; the rarest
+term is that of the slice.  The phrases are broadcast
 in blocks of ``block_windows``; a larger test set makes more passes over the
 documents, never a larger broadcast.
 """
