@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import (decontaminate, html_text, language_id, mixing, quality_classifier, quality_rules, simhash,
-                          substring_dedup, suffix_dedup, url_filter)
+from tidemark.llm import (decontaminate, html_text, language_id, lexical_search, mixing, quality_classifier,
+                          quality_rules, simhash, substring_dedup, suffix_dedup, token_alignment, url_filter,
+                          warc_archive)
 
 _MODULES = {
     "op1_simhash_dedup": simhash,
@@ -16,6 +17,9 @@ _MODULES = {
     "op8_substring_dedup": substring_dedup,
     "op9_decontamination": decontaminate,
     "op10_mixing": mixing,
+    "op11_lexical_search": lexical_search,
+    "op12_warc_archive": warc_archive,
+    "op13_token_alignment": token_alignment,
 }
 
 QUERIES = {name: module.query for name, module in _MODULES.items()}
