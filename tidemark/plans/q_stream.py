@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate as ev
+from tidemark.operators import kpis as kp
 from tidemark.operators import ml
 from tidemark.operators.forecast import seasonal_naive_one_step
 from tidemark.operators.indicators import realtime_features, technical_features
@@ -28,12 +29,28 @@ def _events(sf):
 
 
 def _bars_stream(spark, sf):
-    """Hourly bars that the T1 job makes of the ticks, as a stream (without a file
-    limit: the files of one T1 batch hold its bars in no order of time)."""
+    """Hourly bars that the T1 job makes of the ticks, as a stream."""
     path = jobs.bars_job(spark, _events(sf), shared_dir(spark, "streams", "bars"))
     return jobs.stream_source(spark, path, jobs.BAR_SCHEMA)
 
 
+def _in_runs(spark, sf, step, runs=3):
+    """Land the ticks in ``runs`` parts by time, each with the last 30 minutes of
+    the part before once more, and run T1 and then ``step(path)`` after each, on
+    the same roots.  Returns what the last step returned."""
+    events = spark.read.schema(jobs.TICK_SCHEMA).parquet(_events(sf))
+    span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    root, out = shared_dir(spark, "streams", "runs"), None
+    for i in range(runs):
+        cuts = [span["a"] + (span["b"] - span["a"]) * k / runs for k in (i, i + 1)]
+        part = events.where(F.col("ts") >= F.lit(cuts[0]) - F.expr("INTERVAL 30 MINUTES"))
+        if i + 1 < runs:
+            part = part.where(F.col("ts") < F.lit(cuts[1]))
+        part.write.parquet(f"{root}/ticks/{i}")
+        out = step(jobs.bars_job(spark, f"{root}/ticks/*", f"{root}/t1", once=True), f"{root}/next")
+    return out
+
+
 # S4
 @register("stream_bars", "SELECT * FROM events", ["value"])
 def stream_bars(spark, sf):
@@ -48,6 +65,12 @@ def stream_ohlc_tumbling(spark, sf):
     return finish(spark.read.schema(jobs.BAR_SCHEMA).parquet(path))
 
 
+# T1 started three times on one root, with ticks delivered again
+@register("stream_ohlc_restarted", q.BARS_HOURLY, BD)
+def stream_ohlc_restarted(spark, sf):
+    return finish(spark.read.schema(jobs.BAR_SCHEMA).parquet(_in_runs(spark, sf, lambda path, _: path)))
+
+
 # Every tick delivered twice, kept once
 @register("stream_dedup", "SELECT * FROM events", ["value"])
 def stream_dedup(spark, sf):
@@ -66,7 +89,8 @@ def _rt_sql() -> str:
           BD + ["returns", "log_returns", "price_range", "price_range_pct", "sma_5", "sma_20",
                 "ema_5", "ema_20", "rsi"])
 def stream_indicators_batch(spark, sf):
-    job = jobs.indicators_per_batch(_bars_stream(spark, sf), shared_dir(spark, "streams", "t3"))
+    job = _in_runs(spark, sf, lambda path, root: jobs.indicators_per_batch(
+        jobs.stream_source(spark, path, jobs.BAR_SCHEMA), root))
     return finish(job.result(spark))
 
 
@@ -89,8 +113,8 @@ _T4 = q.with_bars(
 
 @register("stream_indicators_state", _T4, ["close", "sma_5", "sma_20", "ema_5", "ema_20", "rsi"])
 def stream_indicators_state(spark, sf):
-    _, out = jobs.run(jobs.indicators_with_state(_bars_stream(spark, sf)), shared_dir(spark, "streams", "t4"))
-    return finish(spark.read.schema(jobs.STATE_OUT).parquet(out))
+    job = jobs.indicators_with_state(_bars_stream(spark, sf), shared_dir(spark, "streams", "t4"))
+    return finish(job.result(spark).unionByName(job.open(spark)))
 
 
 # T5
@@ -125,7 +149,18 @@ def _score(bars):
     return ev.prediction_errors(priced, "close", "predicted_price")
 
 
+def _kpis(spark, sf, kpi):
+    job = _in_runs(spark, sf, lambda path, root: jobs.kpis_per_batch(
+        jobs.stream_source(spark, path, jobs.BAR_SCHEMA), root, _score, kpi=kpi))
+    return finish(job.result(spark))
+
+
 @register("stream_kpis", ORACLE["latest_kpis"])
 def stream_kpis(spark, sf):
-    job = jobs.kpis_per_batch(_bars_stream(spark, sf), shared_dir(spark, "streams", "t7"), _score)
-    return finish(job.result(spark, ("series",)))
+    return _kpis(spark, sf, kp.latest_kpis)
+
+
+# T7 with K3
+@register("stream_latest_prediction", ORACLE["latest_prediction"])
+def stream_latest_prediction(spark, sf):
+    return _kpis(spark, sf, kp.latest_prediction)

@@ -7,26 +7,26 @@ shared folder): checkpoint, tail state and result.  Starting a job again on the
 same root resumes where it stopped.
 
 Window functions over rows (lag, row frames) are not allowed on streams;
-indicators are computed per micro-batch over a bounded tail of known bars plus
-the batch (T3, T7, ``foreachBatch``) or kept incrementally per series in bounded
-state (T4, ``applyInPandasWithState``).
+indicators are computed per micro-batch over the last known bars of its series plus
+the batch.  T3 and T7 take bars as they come and revise; T4 first puts them in the
+order of time in Spark's state store (``state.settle``) and writes each row once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
 from tidemark.functions.exprs import join_on
-from tidemark.operators.indicators import EMA_SPANS, RSI_PERIOD, SMA_PERIODS
+from tidemark.operators import ema, ordered
+from tidemark.operators.indicators import EMA_SPANS, RSI_PERIOD, SMA_PERIODS, rsi_partial_expr, sma_cols
+from tidemark.operators.ordered import HOURLY, Layout
 from tidemark.sources.files import BAR_SCHEMA
+from tidemark.streaming import state
 
 TICK_SCHEMA = StructType([
     StructField("event_id", LongType()), StructField("ts", TimestampNTZType()),
@@ -66,12 +66,6 @@ def run(df: DataFrame, root: str, mode: str = "append", trigger: dict | None = N
     return q, out
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder exists, wherever Spark reads it from."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def count_input(df: DataFrame, root: str, trigger: dict | None = None, drain: bool = False) -> DataFrame:
     """Rows read by each micro-batch (``batch_id, num_input_rows``), written
     as they are processed, so that a stream of any length is counted; a batch
@@ -85,15 +79,21 @@ def count_input(df: DataFrame, root: str, trigger: dict | None = None, drain: bo
 
 # ------------------------------------------------------------------ T1, T2
 
-def ohlc_tumbling(ticks: DataFrame, grain: str = "1 hour", watermark: str = WATERMARK) -> DataFrame:
+def _bars(keyed) -> DataFrame:
+    key = F.struct("ts", "event_id")
+    return keyed.agg(F.min_by("value", key).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"),
+                     F.max_by("value", key).alias("close"), F.count(F.lit(1)).alias("volume"))
+
+
+def ohlc_tumbling(ticks: DataFrame, grain: str = "1 hour", watermark: str = WATERMARK,
+                  once: bool = False) -> DataFrame:
     """Ticks -> tumbling OHLCV bars; a bar is emitted once the watermark
-    passes its end (late ticks beyond the watermark are dropped)."""
+    passes its end (late ticks beyond the watermark are dropped).  With ``once``
+    a tick delivered again within the watermark counts once."""
     t = ticks.withColumn("_t", F.col("ts").cast("timestamp")).withWatermark("_t", watermark)
-    key = F.struct("ts", "event_id")
-    bars = t.groupBy(F.window("_t", grain).alias("w"), F.col("event_type").alias("series")).agg(
-        F.min_by("value", key).alias("open"), F.max("value").alias("high"),
-        F.min("value").alias("low"), F.max_by("value", key).alias("close"),
-        F.count(F.lit(1)).alias("volume"))
+    if once:
+        t = t.dropDuplicatesWithinWatermark(["event_id"])
+    bars = _bars(t.groupBy(F.window("_t", grain).alias("w"), F.col("event_type").alias("series")))
     return bars.select("series", F.col("w.start").cast("timestamp_ntz").alias("bar_ts"),
                        "open", "high", "low", "close", "volume")
 
@@ -104,95 +104,106 @@ def dedup(ticks: DataFrame, key: str = "event_id", watermark: str = WATERMARK) -
     return t.dropDuplicatesWithinWatermark([key]).drop("_t")
 
 
-def open_bars(ticks: DataFrame, bars: DataFrame, grain: str = "1 hour") -> DataFrame:
+def open_bars(ticks: DataFrame, bars: DataFrame, grain: str = "1 hour", once: bool = False) -> DataFrame:
     """Bars that a bounded replay leaves open, computed from its (batch) ticks:
-    those of windows that the stream did not emit into ``bars``."""
+    those of the windows behind the last one that the stream has emitted into
+    ``bars`` (a window is emitted once the watermark has passed its end, so all
+    earlier ones are closed).  Only ticks from there on are read."""
+    last = bars.agg(F.max("bar_ts").alias("t")).first()["t"]
+    if last is not None:
+        since = F.lit(last).cast("timestamp_ntz") + F.expr(f"INTERVAL {grain}")
+        ticks = ticks.where(F.col("ts") >= since)
+    if once:
+        ticks = ticks.dropDuplicates(["event_id"])
     start = F.window(F.col("ts").cast("timestamp"), grain)["start"].cast("timestamp_ntz")
-    key = F.struct("ts", "event_id")
-    whole = ticks.groupBy(F.col("event_type").alias("series"), start.alias("bar_ts")).agg(
-        F.min_by("value", key).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"),
-        F.max_by("value", key).alias("close"), F.count(F.lit(1)).alias("volume"))
-    done = bars.select("series", "bar_ts").withColumn("_done", F.lit(True))
-    return join_on(whole, done, ["series", "bar_ts"], "left").where("_done IS NULL").drop("_done")
+    return _bars(ticks.groupBy(F.col("event_type").alias("series"), start.alias("bar_ts")))
 
 
 def bars_job(spark: SparkSession, ticks_path: str, root: str, bounded: bool = True,
-             trigger: dict | None = None) -> str:
+             trigger: dict | None = None, once: bool = False) -> str:
     """T1 as a job: closed bars of the ticks below ``ticks_path`` are written to
-    ``root``/bars/<batch>, for a ``bounded`` replay also those left open at its
-    end.  Returns the path pattern that bar streams read."""
+    ``root``/bars/<batch>.  A ``bounded`` replay also writes those left open at its
+    end to ``root``/open, in place of an earlier run's: a later run emits them from
+    the stream, with the ticks that came since.  Returns the path pattern of all
+    bars (without ``bounded``: of the closed ones)."""
     def step(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/bars/{batch_id}")
-    run(ohlc_tumbling(stream_source(spark, ticks_path)), root, trigger=trigger, foreach_batch=step)
-    path = f"{root}/bars/*"
-    if bounded:
-        rest = open_bars(spark.read.schema(TICK_SCHEMA).parquet(ticks_path),
-                         spark.read.schema(BAR_SCHEMA).parquet(path))
-        rest.write.mode("overwrite").parquet(f"{root}/bars/open")
-    return path
+    run(ohlc_tumbling(stream_source(spark, ticks_path), once=once), root, trigger=trigger, foreach_batch=step)
+    closed = f"{root}/bars/*"
+    if not bounded:
+        return closed
+    done = spark.read.schema(BAR_SCHEMA).parquet(closed) if state.exists(spark, f"{root}/bars") else \
+        spark.createDataFrame([], BAR_SCHEMA)
+    open_bars(spark.read.schema(TICK_SCHEMA).parquet(ticks_path), done, once=once).write.mode(
+        "overwrite").parquet(f"{root}/open")
+    return f"{root}/{{bars/*,open}}"
 
 
 # ------------------------------------------------------------------ T3, T7
 
 #: Longest row frame of the real-time indicators (a delta needs one row more).
 LOOKBACK = max(*SMA_PERIODS, *EMA_SPANS, RSI_PERIOD + 1)
-#: Bars kept besides, so that a bar delivered again this late is still revised
-#: together with the bars after it.
+#: Bars of a series, counted from its last one, that can still be revised.
 REVISED = 100
 
 
 class PerBatch:
-    """Incremental recomputation per micro-batch.
-
-    The state before batch n is the tail written by the latest batch before n:
-    the last LOOKBACK + REVISED bars of every series.  A batch is computed over
-    tail + new bars, a bar delivered again replacing the known one; rows from the
-    first new bar of a series on are written to ``result/n=<n>``.  Running a
-    batch again reads the same tail and overwrites its own folders, so a retry
-    changes nothing.  Readers take a bar's row from the last batch that has it.
-    New bars older than the tail cannot be revised; they go to ``late/n=<n>``."""
-
-    def __init__(self, root: str, compute: Callable[[DataFrame], DataFrame], changed_only: bool = True):
-        self.root, self.compute, self.changed_only = root, compute, changed_only
-
-    def tail(self, spark: SparkSession, before: int) -> DataFrame:
-        if exists(spark, f"{self.root}/tail"):
-            known = spark.read.schema(f"{BAR_SCHEMA.simpleString()[7:-1].replace(':', ' ')}, n long").parquet(
-                f"{self.root}/tail").where(F.col("n") < before)
-            last = known.agg(F.max("n")).first()[0]
-            if last is not None:
-                return known.where(F.col("n") == last).drop("n")
-        return spark.createDataFrame([], BAR_SCHEMA)
+    """Incremental recomputation per micro-batch over the bars known of the series
+    in it (``state.BarState``: the last LOOKBACK + REVISED bars).
+
+    A bar delivered again replaces the known one (of several in one batch the
+    largest row); rows of a series from its first new bar on are written to
+    ``result/n=<n>``.  Running a batch again reads the same state and overwrites its
+    own folders, so a retry changes nothing.  Readers take a bar's row from the last
+    batch that has it.  A bar before its series' cut (LOOKBACK bars must be known
+    before it, or the whole series), and one without a time, goes to ``late/n=<n>``."""
+
+    def __init__(self, root: str, compute: Callable[[DataFrame], DataFrame], changed_only: bool = True,
+                 key: tuple[str, ...] = ("series", "bar_ts")):
+        self.root, self.compute, self.changed_only, self.key = root, compute, changed_only, key
+        self.state = state.BarState(f"{root}/state", BAR_SCHEMA, LOOKBACK + REVISED, LOOKBACK)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from tidemark.operators import ordered
-        from tidemark.session import materialize
-        spark, cols = batch.sparkSession, BAR_SCHEMA.names
-        key = ["series", "bar_ts"]
-        fresh = batch.select(*cols).dropDuplicates(key).withColumn("_new", F.lit(True))
-        tail = self.tail(spark, batch_id)
-        oldest = tail.groupBy("series").agg(F.min("bar_ts").alias("_from"), F.count("*").alias("_held"))
-        fresh = join_on(fresh, oldest, "series", "left")
-        is_late = F.coalesce((F.col("bar_ts") < F.col("_from")) & (F.col("_held") >= LOOKBACK + REVISED), F.lit(False))
-        fresh = materialize(fresh.withColumn("_late", is_late).drop("_from", "_held"))
+        spark, cols, key = batch.sparkSession, BAR_SCHEMA.names, ["series", "bar_ts"]
+        rest = [c for c in cols if c not in key]
+        fresh = batch.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_r")).select(*key, "_r.*")
+        known = self.state.before(spark, batch_id, of=batch).persist()
+        cut = known.groupBy("series").agg(F.max("cut").alias("_cut"))
+        fresh = join_on(fresh, cut, "series", "left").withColumn(
+            "_late", F.col("bar_ts").isNull() | F.coalesce(F.col("bar_ts") < F.col("_cut"), F.lit(False))).persist()
         fresh.where("_late").select(*cols).write.mode("overwrite").parquet(f"{self.root}/late/n={batch_id}")
-        fresh = fresh.where("NOT _late").drop("_late")
-        known = join_on(tail, fresh.select(*key, "_new"), key, "left").where("_new IS NULL").drop("_new")
-        both = materialize(known.withColumn("_new", F.lit(False)).unionByName(fresh))
-        out = self.compute(both.drop("_new"))
+        fresh_in = fresh.where("NOT _late").select(*cols)
+        old = join_on(known.select(*cols), fresh_in.select(*key), key, "left_anti")
+        both = join_on(old.unionByName(fresh_in), fresh_in.select("series").distinct(), "series", "left_semi").persist()
+        out = self.compute(both)
         if self.changed_only:
-            first = fresh.groupBy("series").agg(F.min("bar_ts").alias("_from"))
+            first = fresh_in.groupBy("series").agg(F.min("bar_ts").alias("_from"))
             out = join_on(out, first, "series").where(F.col("bar_ts") >= F.col("_from")).drop("_from")
         out.write.mode("overwrite").parquet(f"{self.root}/result/n={batch_id}")
-        held = join_on(ordered.with_position(both.select(*cols)), ordered.series_counts(both, name="_n"), "series")
-        held.where(F.col(ordered.POS) >= F.col("_n") - LOOKBACK - REVISED).select(*cols).write.mode(
-            "overwrite").parquet(f"{self.root}/tail/n={batch_id}")
+        self.state.write(batch_id, both, known)
+        for df in (both, fresh, known):
+            df.unpersist()
 
-    def result(self, spark: SparkSession, key=("series", "bar_ts")) -> DataFrame:
+    def result(self, spark: SparkSession) -> DataFrame:
         """The rows written so far, of each key the last."""
         rows = spark.read.parquet(f"{self.root}/result")
-        cols = [c for c in rows.columns if c not in (*key, "n")]
-        return rows.groupBy(*key).agg(F.max_by(F.struct(*cols), "n").alias("r")).select(*key, "r.*")
+        cols = [c for c in rows.columns if c not in (*self.key, "n")]
+        return rows.groupBy(*self.key).agg(F.max_by(F.struct(*cols), "n").alias("r")).select(*self.key, "r.*")
+
+    def late(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.root}/late").drop("n")
+
+    def compact(self, spark: SparkSession) -> None:
+        """Merge the result folders into that of their last batch (between runs;
+        the checkpoint keeps that batch from running again)."""
+        done = state.numbered(spark, f"{self.root}/result", "n")
+        if len(done) > 1:
+            merged = f"{self.root}/merged"
+            self.result(spark).write.mode("overwrite").parquet(merged)
+            spark.read.parquet(merged).write.mode("overwrite").parquet(f"{self.root}/result/n={done[-1]}")
+            for n in done[:-1]:
+                state.remove(spark, f"{self.root}/result/n={n}")
+            state.remove(spark, merged)
 
 
 def indicators_per_batch(bars_stream: DataFrame, root: str, trigger=None) -> PerBatch:
@@ -204,11 +215,12 @@ def indicators_per_batch(bars_stream: DataFrame, root: str, trigger=None) -> Per
 
 
 def kpis_per_batch(bars_stream: DataFrame, root: str, score: Callable[[DataFrame], DataFrame],
-                   trigger=None) -> PerBatch:
-    """The latest price, change, prediction, its difference and RSI of every
-    series (K1), kept current; each batch writes a whole new snapshot."""
+                   trigger=None, kpi: Callable[[DataFrame], DataFrame] | None = None) -> PerBatch:
+    """One row per series, kept current; a batch writes those of its own series.
+    By default K1 (latest price, change, prediction, its difference and RSI);
+    ``kpi=latest_prediction`` keeps K3 (latest actual, predicted, error)."""
     from tidemark.operators.kpis import latest_kpis
-    job = PerBatch(root, lambda bars: latest_kpis(score(bars)), changed_only=False)
+    job = PerBatch(root, lambda bars: (kpi or latest_kpis)(score(bars)), changed_only=False, key=("series",))
     run(bars_stream, root, foreach_batch=job, trigger=trigger)
     return job
 
@@ -220,55 +232,76 @@ STATE_OUT = StructType([
     StructField("close", DoubleType()), StructField("sma_5", DoubleType()),
     StructField("sma_20", DoubleType()), StructField("ema_5", DoubleType()),
     StructField("ema_20", DoubleType()), StructField("rsi", DoubleType())])
-STATE_SCHEMA = StructType([
-    StructField("last_ts", TimestampNTZType()), StructField("closes", ArrayType(DoubleType())),
-    StructField("emas", ArrayType(DoubleType())), StructField("gap", LongType())])
+_CLOSES = StructType([f for f in STATE_OUT.fields if f.name in ("series", "bar_ts", "close")])
+#: Observations before a bar that its recursive EMA can see (to 1e-17).
+MEMORY = max(LOOKBACK, *(ema.horizon(n) for n in EMA_SPANS))
 
 
-def _frame_mean(x: np.ndarray, n: int) -> np.ndarray:
-    """Mean of the values (not nulls) among the last n, NaN if there are none."""
-    frames = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(n - 1, np.nan), x]), n)
-    count = (~np.isnan(frames)).sum(axis=1)
-    return np.divide(np.nansum(frames, axis=1), count, out=np.full(len(x), np.nan), where=count > 0)
+def state_features(closes: DataFrame, layout: Layout = HOURLY) -> DataFrame:
+    """SMA 5/20 and RSI 14 (partial frames) and the recursive EMA 5/20 of
+    ``series, bar_ts, close`` by chunked windows: no task holds a series."""
+    def build(f, w):
+        f = ema.ema_columns(f, [("close", n, f"ema_{n}") for n in EMA_SPANS], layout)
+        return f.withColumns({**sma_cols(w, partial=True), "rsi": rsi_partial_expr(w)})
+    out = ordered.run_windows(closes.select(*_CLOSES.names), build, MEMORY, layout, count="close")
+    return out.select(*STATE_OUT.names)
 
 
-def _incremental(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Per series: SMA 5/20 and RSI 14 (partial frames) and the recursive EMA
-    5/20 of the new bars, from the closes and EMAs kept.  Bars not after the last
-    one seen (delivered again) are left out; a null close keeps the EMAs."""
-    last, closes, emas, gap = state.get if state.exists else (None, [], [None] * len(EMA_SPANS), 0)
-    pdf = pd.concat(list(pdfs)).drop_duplicates("bar_ts").sort_values("bar_ts")
-    if last is not None:
-        pdf = pdf[pdf["bar_ts"] > pd.Timestamp(last)]
-    if pdf.empty:
-        return
-    new = pdf["close"].astype(float).to_numpy()
-    old = np.array([np.nan if c is None else c for c in closes], float)
-    c = pd.Series(np.concatenate([old, new]))
-    keep = len(old)
-    out = pd.DataFrame({"series": key[0], "bar_ts": pdf["bar_ts"].to_numpy(), "close": new})
-    for n in SMA_PERIODS:
-        out[f"sma_{n}"] = _frame_mean(c.to_numpy(), n)[keep:]
-    after = []
-    for n, e in zip(EMA_SPANS, emas, strict=True):
-        seed = [] if e is None else [e, *[np.nan] * gap]
-        ema = pd.Series([*seed, *new]).ewm(span=n, adjust=False).mean().to_numpy()[len(seed):]
-        out[f"ema_{n}"] = ema
-        after.append(None if np.isnan(ema[-1]) else float(ema[-1]))
-    delta = c.diff().fillna(0.0)
-    gain = _frame_mean(delta.clip(lower=0).to_numpy(), RSI_PERIOD)[keep:]
-    loss = _frame_mean((-delta).clip(lower=0).to_numpy(), RSI_PERIOD)[keep:]
-    rs = np.divide(gain, loss, out=np.zeros_like(gain), where=loss != 0)
-    out["rsi"] = np.where(rs != 0, 100 - 100 / (1 + rs), 0.0)
-    nulls = np.flatnonzero(~np.isnan(new))
-    gap = len(new) - 1 - int(nulls[-1]) if len(nulls) else gap + len(new)
-    kept = [None if np.isnan(x) else float(x) for x in c.to_numpy()[-LOOKBACK - RSI_PERIOD:]]
-    state.update((pdf["bar_ts"].iloc[-1].to_pydatetime(), kept, after, gap))
-    yield out[STATE_OUT.names]
-
-
-def indicators_with_state(bars_stream: DataFrame) -> DataFrame:
-    """T4: incremental indicators per series with bounded state.  A task holds
-    one series' bars of one micro-batch (``maxFilesPerTrigger`` bounds it)."""
-    return bars_stream.groupBy("series").applyInPandasWithState(
-        _incremental, STATE_OUT, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+class Settled:
+    """T4: indicators of every bar, once, in the order of time.
+
+    ``state.settle`` hands bars on when the watermark has passed them; a batch of
+    any size is computed by chunked windows over the last MEMORY observations of
+    its series and itself, and adds to ``result/n=<n>``.  Late bars are in
+    ``late/n=<n>``."""
+
+    def __init__(self, root: str, layout: Layout = HOURLY):
+        self.root, self.layout = root, layout
+        self.state = state.BarState(f"{root}/state", _CLOSES, MEMORY, count="close", layout=layout)
+
+    def _rows(self, new: DataFrame, known: DataFrame) -> DataFrame:
+        both = known.select(*_CLOSES.names).unionByName(new)
+        first = new.groupBy("series").agg(F.min("bar_ts").alias("_from"))
+        return join_on(state_features(both, self.layout), first, "series").where(
+            F.col("bar_ts") >= F.col("_from")).drop("_from")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, batch = batch.sparkSession, batch.persist()
+        state.when(batch.where("kind = 'late'")).write.mode("overwrite").parquet(f"{self.root}/late/n={batch_id}")
+        new = state.when(batch.where("kind = 'bar'")).persist()
+        known = self.state.before(spark, batch_id, of=new).persist()
+        self._rows(new, known).write.mode("overwrite").parquet(f"{self.root}/result/n={batch_id}")
+        self.state.write(batch_id, known.select(*_CLOSES.names).unionByName(new), known)
+        for df in (known, new, batch):
+            df.unpersist()
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        """Rows of the settled bars."""
+        return spark.read.schema(STATE_OUT).parquet(f"{self.root}/result/*")
+
+    def open(self, spark: SparkSession) -> DataFrame:
+        """Rows that the bars still waiting for the watermark would have now."""
+        done = state.numbered(spark, f"{self.root}/result", "n")
+        new = state.waiting(spark, f"{self.root}/checkpoint")
+        return self._rows(new, self.state.before(spark, done[-1] + 1 if done else 0, of=new))
+
+    def late(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(_CLOSES).parquet(f"{self.root}/late/*")
+
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def indicators_with_state(bars_stream: DataFrame, root: str, delay: str = WATERMARK, trigger=None,
+                          layout: Layout = HOURLY) -> Settled:
+    """Start T4 below ``root`` (see ``Settled``).  Its operator needs the RocksDB
+    state store, which is set for this query alone."""
+    conf, job = bars_stream.sparkSession.conf, Settled(root, layout)
+    before = conf.get(_STORE)
+    conf.set(_STORE, _ROCKS)
+    try:  # the query takes a copy of the settings when it starts
+        run(state.settle(bars_stream, delay, layout), root, foreach_batch=job, trigger=trigger)
+    finally:
+        conf.set(_STORE, before)
+    return job
