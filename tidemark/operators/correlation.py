@@ -1,8 +1,8 @@
 """Pearson correlations (C1-C7), long form.
 
-Every task reduces each Arrow batch to pair moments (count, means, centred
-products) with matrix products: k(k+1)/2 rows for each key in a batch instead of
-for each row.  A partial aggregation merges them.  Pairs with a null are left out
+Every task reduces its rows to pair moments (count, means, centred products) of
+all keys at once (``moments``): k(k+1)/2 rows for each key in a gathering of rows,
+instead of for each row.  A partial aggregation merges them.  Pairs with a null are left out
 (pairwise-complete, like pandas).  A pair with a constant side is undefined
 (null): the guard is ``min = max`` rather than a zero test on a rounded standard
 deviation.
@@ -13,10 +13,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.moments import gathered, grouped, products, reduced
+
 # Feature groups of the correlation report (our column names).
 FEATURE_GROUPS = {
     "Price_Based": ["close", "sma_5", "sma_20", "ema_5", "ema_20", "bb_middle", "bb_upper",
@@ -26,37 +27,45 @@ FEATURE_GROUPS = {
     "Volatility": ["daily_volatility", "atr", "price_range", "price_range_pct"],
 }
 HIGH_CORR = 0.8
+_KEYS = 500
+
+
+def _extremes(x: np.ndarray, ok: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest and largest value of column i among a group's rows that have
+    columns i and j."""
+    k, out = x.shape[1], []
+    for none, best in ((np.inf, np.minimum), (-np.inf, np.maximum)):
+        y = np.where(ok, x, none)
+
+        def long(s, y=y, none=none, best=best):
+            return np.stack([best.reduce(np.where(ok[s, j: j + 1], y[s], none)) for j in range(k)], axis=1)
 
+        def short(r, first, y=y, none=none, best=best):
+            return best.reduceat(np.where(ok[r][:, None, :], y[r][:, :, None], none), first, axis=0)
+        out.append(reduced(start, len(x), long, short, (k, k)))
+    return out[0], out[1]
 
-def _pair_moments(x: np.ndarray) -> pd.DataFrame:
-    """Moments of all column pairs i >= j of one key's rows (NaN: no value)."""
+
+def _pair_moments(x: np.ndarray, start: np.ndarray) -> dict[str, np.ndarray]:
+    """Moments of all column pairs i >= j of each group's rows (NaN: no value):
+    arrays of groups x pairs."""
     ok = ~np.isnan(x)
-    ref = np.where(ok.any(axis=0), np.nanmax(np.where(ok, x, -np.inf), axis=0), 0.0)
-    c, v = np.where(ok, x - ref, 0.0), ok.astype(float)
-    n = v.T @ v
+    group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(x))))
+    ref = np.maximum.reduceat(np.where(ok, x, -np.inf), start, axis=0)
+    ref = np.where(np.isfinite(ref), ref, 0.0)
+    c, v = np.where(ok, x - ref[group], 0.0), ok.astype(float)
+    n = products(v, v, start)
     d = np.maximum(n, 1)
-    sx = c.T @ v  # sum of column i over the rows where j has a value
-    mean, sq = sx / d, (c * c).T @ v - sx * sx / d
-    cross = c.T @ c - sx * sx.T / d
-    low, high = np.empty_like(n), np.empty_like(n)
-    for j in range(x.shape[1]):
-        rows = np.where(ok & ok[:, j: j + 1], x, np.nan)
-        low[:, j] = np.min(np.where(np.isnan(rows), np.inf, rows), axis=0)
-        high[:, j] = np.max(np.where(np.isnan(rows), -np.inf, rows), axis=0)
+    sx = products(c, v, start)  # sum of column i over the rows where j has a value
+    mean, sq = sx / d, products(c * c, v, start) - sx * sx / d
+    cross = products(c, c, start) - sx * np.swapaxes(sx, 1, 2) / d
+    low, high = _extremes(x, ok, start)
+    mean += ref[:, :, None]
     i, j = np.tril_indices(x.shape[1])
-    out = pd.DataFrame({"i": i, "j": j, "n": n[i, j].astype(np.int64), "mx": (mean + ref[:, None])[i, j],
-                        "my": (mean + ref[:, None])[j, i], "xx": np.maximum(sq[i, j], 0), "yy": np.maximum(sq[j, i], 0),
-                        "xy": cross[i, j], "x0": low[i, j], "x1": high[i, j], "y0": low[j, i], "y1": high[j, i]})
-    return out[out["n"] > 0]
-
-
-def by_key(pdf: pd.DataFrame, keys: Sequence[str]):
-    """(key values, rows) of a batch; a null key is a key."""
-    if not keys:
-        yield {}, pdf
-        return
-    for _, part in pdf.groupby(list(keys), dropna=False, sort=False):
-        yield {k: part[k].iloc[0] for k in keys}, part
+    out = {"mx": mean, "xx": np.maximum(sq, 0), "x0": low, "x1": high}
+    mirrored = {"my": "mx", "yy": "xx", "y0": "x0", "y1": "x1"}
+    return {"n": n[:, i, j].astype(np.int64), "xy": cross[:, i, j], **{k: m[:, i, j] for k, m in out.items()},
+            **{k: out[m][:, j, i] for k, m in mirrored.items()}}
 
 
 def corr_long(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -66,10 +75,18 @@ def corr_long(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Dat
     values = [f"_v{i}" for i in range(len(cols))]
     data = df.select(*keys, *[F.col(c).cast("double").alias(v) for c, v in zip(cols, values, strict=True)])
 
+    i, j = np.tril_indices(len(cols))
+
     def moments(batches):
-        for pdf in batches:
-            for key, part in by_key(pdf, keys):
-                yield _pair_moments(part[values].to_numpy(float)).assign(**key)
+        for pdf in gathered(batches, len(cols)):
+            rows, start, key = grouped(pdf, keys)
+            found = _pair_moments(rows[values].to_numpy(float), start)
+            for a in range(0, len(start), _KEYS):  # pairs of so many keys at once
+                part = {k: v[a: a + _KEYS].ravel() for k, v in found.items()}
+                g = np.repeat(np.arange(a, min(a + _KEYS, len(start))), len(i))
+                out = key.iloc[g].reset_index(drop=True).assign(i=np.tile(i, len(g) // len(i)),
+                                                                j=np.tile(j, len(g) // len(i)), **part)
+                yield out[out["n"] > 0]
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in data.schema.fields[:len(keys)])
     names = ("mx", "my", "xx", "yy", "xy", "x0", "x1", "y0", "y1")
@@ -125,8 +142,8 @@ def group_corr(long: DataFrame, groups: DataFrame) -> DataFrame:
     """The sub-matrix of each feature group (absent features skipped)."""
     g1 = groups.select("feature_group", F.col("feature").alias("column_1"))
     g2 = groups.select(F.col("feature_group").alias("_g2"), F.col("feature").alias("column_2"))
-    return (F.broadcast(g1).join(long, "column_1")
-            .join(F.broadcast(g2), "column_2")
+    return (g1.join(long, "column_1")
+            .join(g2, "column_2")
             .filter(F.col("feature_group") == F.col("_g2")).drop("_g2"))
 
 

@@ -8,9 +8,11 @@ series), and forecasts are computed per test row by ``mapInPandas`` from a
 small per-series state (companion-matrix powers), so no series is ever
 gathered into one task.
 
-Estimation is Hannan-Rissanen two-stage least squares (long AR -> residuals
--> regression on AR lags and lagged residuals), not maximum likelihood:
-coefficients differ from a state-space ML fit by design.
+Estimation starts with Hannan-Rissanen two-stage least squares (long AR ->
+residuals -> regression on AR lags and lagged residuals) and goes on with
+Gauss-Newton steps on the conditional sum of squares under the seasonal product
+constraint (``css``), not maximum likelihood in state space: coefficients differ
+from such a fit by design.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import join_on
-from tidemark.operators import ordered
-from tidemark.operators.correlation import by_key
+from tidemark.operators import css, ordered
+from tidemark.operators.moments import gathered, grouped, products
 from tidemark.operators.ordered import HOURLY, POS, Layout
 from tidemark.session import materialize
 
@@ -141,21 +143,25 @@ RIDGE = 1e-8
 def normal_equations(df: DataFrame, xcols: Sequence[str], y: str) -> DataFrame:
     """Long cross-product sums of z = x ++ [y] per series: (series, i, j, s, n).
 
-    Each Arrow batch is reduced to one matrix product per series; a partial
-    aggregation adds them up.  Rows with a null take no part."""
+    Each task reduces its rows by series (``moments``); a partial aggregation adds
+    the sums up.  Rows with a null take no part."""
     names = [*xcols, y]
-
-    def products(batches):
-        for pdf in batches:
-            for key, part in by_key(pdf, ["series"]):
-                z = part[names].to_numpy(float)
-                z = z[~np.isnan(z).any(axis=1)]
-                i, j = np.triu_indices(z.shape[1])
-                yield pd.DataFrame({"i": i, "j": j, "s": (z.T @ z)[i, j], "n": len(z), **key})
+    i, j = np.triu_indices(len(names))
+
+    def sums(batches):
+        for pdf in gathered(batches, len(names)):
+            pdf = pdf[~pdf[names].isna().any(axis=1)]
+            if len(pdf):
+                rows, start, key = grouped(pdf, ["series"])
+                z = rows[names].to_numpy(float)
+                found = products(z, z, start)[:, i, j]
+                n = np.diff(np.append(start, len(z)))
+                yield pd.DataFrame({"i": np.tile(i, len(n)), "j": np.tile(j, len(n)), "s": found.ravel(),
+                                    "n": np.repeat(n, len(i)), "series": np.repeat(key["series"].to_numpy(), len(i))})
 
     data = df.select("series", *[F.col(c).cast("double").alias(c) for c in names])
     kind = data.schema["series"].dataType.simpleString()
-    return (data.mapInPandas(products, f"i int, j int, s double, n long, series {kind}")
+    return (data.mapInPandas(sums, f"i int, j int, s double, n long, series {kind}")
             .groupBy("series", "i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
 
 
@@ -194,42 +200,45 @@ def _complete(cols: list[str]):
 
 
 def sarima_fit(split: DataFrame, column: str = "close", order: Order = ORDER_A,
-               long_ar: int = LONG_AR, layout: Layout = HOURLY):
-    """Hannan-Rissanen fit on the train rows of each series.
+               long_ar: int = LONG_AR, layout: Layout = HOURLY, steps: int = css.STEPS):
+    """Hannan-Rissanen start and ``steps`` Gauss-Newton steps on the train
+    rows of each series.
 
     Input: ``chrono_split(bars, keep_pos=True)``.  Returns (model, frame):
     model = (series, ar array, ma array, sigma2, n) with coefficients on
-    ``order.ar_lags()`` / ``order.ma_lags()`` of the differenced series;
-    frame = train rows with y, w (differenced) and stage-2 residuals ``e``.
+    ``order.ar_lags()`` / ``order.ma_lags()`` of the differenced series, those of
+    the cross lags being products (see ``css``); frame = train rows with y, w
+    (differenced) and the residuals ``e`` (0 where a lag of w is missing).
     """
     ar, ma = order.ar_lags(), order.ma_lags()
     base = split.filter(F.col("split") == "train").select(
         "series", "bar_ts", POS, F.col(column).cast("double").alias("y"))
     w = seasonal_difference(base, "y", order, layout, out="w")
-    d1 = lag_design(w, "w", range(1, long_ar + 1), layout, prefix="lw")
-    lcols = [f"lw{k}" for k in range(1, long_ar + 1)]
-    d1 = d1.withColumn("_x1", F.array(*[F.col(c) for c in lcols]))
-    stage1 = materialize(least_squares(d1.filter(_complete(["w"] + lcols)), lcols, "w"))
-    resid = join_on(d1, stage1.select("series", F.col("beta").alias("_b1")), "series", "left").withColumn(
-        "e1", F.when(_complete(["w"] + lcols), F.col("w") - _dot("_b1", "_x1")))
-    resid = resid.select("series", "bar_ts", POS, "y", "w", "e1")
+    start = _start(w, ar, ma, long_ar, layout)
+    blocks = materialize(css.pack(w, max(ar, default=0), layout))
+    return css.fit(blocks, start, order, steps)
+
+
+def _start(w: DataFrame, ar: list[int], ma: list[int], long_ar: int, layout: Layout) -> DataFrame:
+    """(series, beta): two-stage least squares with a free coefficient for every
+    lag; the first stage, a long autoregression, gives the residuals that the
+    second one lags.  Without lags there is nothing to estimate."""
+    if not ar and not ma:
+        return w.select("series").distinct().withColumn("beta", F.array().cast("array<double>"))
+    if ma:
+        d1 = lag_design(w, "w", range(1, long_ar + 1), layout, prefix="lw")
+        lcols = [f"lw{k}" for k in range(1, long_ar + 1)]
+        d1 = d1.withColumn("_x1", F.array(*[F.col(c) for c in lcols]))
+        stage1 = materialize(least_squares(d1.filter(_complete(["w"] + lcols)), lcols, "w"))
+        w = join_on(d1, stage1.select("series", F.col("beta").alias("_b1")), "series", "left").withColumn(
+            "e1", F.when(_complete(["w"] + lcols), F.col("w") - _dot("_b1", "_x1"))).select(
+            "series", "bar_ts", POS, "w", "e1")
     lagcols = {f"aw{k}": ("w", k) for k in ar} | {f"ae{k}": ("e1", k) for k in ma}
-    halo = max(k for _, k in lagcols.values())
 
     def build(f, wdw):
         return f.withColumns({n: F.lag(c, k).over(wdw) for n, (c, k) in lagcols.items()})
-    d2 = ordered.run_windows(resid, build, halo, layout, keep_pos=True)
-    d2 = d2.withColumn("_x2", F.array(*[F.col(c) for c in lagcols]))
-    ok2 = _complete(["w"] + list(lagcols))
-    stage2 = materialize(least_squares(d2.filter(ok2), list(lagcols), "w"))
-    na = len(ar)
-    model = stage2.select("series", F.slice("beta", 1, na).alias("ar"),
-                          F.slice("beta", na + 1, len(ma)).alias("ma") if ma else
-                          F.array().cast("array<double>").alias("ma"), "sigma2", "n")
-    frame = join_on(d2, stage2.select("series", F.col("beta").alias("_b2")), "series", "left") \
-        .withColumn("e", F.when(ok2, F.col("w") - _dot("_b2", "_x2")).otherwise(F.lit(0.0))) \
-        .select("series", "bar_ts", POS, "y", "w", "e")
-    return model, frame
+    d2 = ordered.run_windows(w, build, max(ar + ma), layout, keep_pos=True)
+    return least_squares(d2.filter(_complete(["w"] + list(lagcols))), list(lagcols), "w").select("series", "beta")
 
 
 def _full_ar(order: Order, ar: Sequence[float]) -> np.ndarray:
