@@ -30,15 +30,30 @@ def test_predictions_match_least_squares(spark):
     assert names == {*cols, "intercept"}
 
 
-def test_model_store_round_trip(spark):
-    a = _key(q_ml.model_store(spark, SF_SMALL).toPandas())
-    b = _key(q_ml.lr_predict(spark, SF_SMALL).toPandas())
-    assert np.allclose(a["prediction"], b["prediction"], rtol=1e-9)
-
-
 def test_stream_scores_like_batch(spark):
-    got = _key(q_stream.stream_score(spark, SF_SMALL).toPandas())
-    assert len(got) and np.abs(got["prediction"] - got["close"]).mean() < 0.05 * got["close"].abs().mean()
+    stream, batch = q_stream.scored_both_ways(spark, SF_SMALL)
+    got, want = _key(stream.toPandas()), _key(batch.select(*stream.columns).toPandas())
+    assert len(got) and got.equals(want)
+
+
+def test_boosting_stops_on_a_planted_overfit(spark):
+    """The training rows hold noise that the validation rows contradict."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 6))
+    signal = np.where(x[:, 0] > 0, 1.0, -1.0)
+    rows = [(list(map(float, a)), float(b)) for a, b in zip(x, signal + rng.normal(scale=1.5, size=300), strict=True)]
+    df = spark.createDataFrame(rows, "window array<double>, target double").persist()
+    train, valid = df.limit(150), df.subtract(df.limit(150))
+    stopped = ml.sequence_boosting(train, valid, max_iter=30, depth=4)
+    assert stopped.stages[0].getNumTrees < 30
+    # with validation rows that agree with the training rows there is no reason to stop so early
+    agreed = ml.sequence_boosting(train, train, max_iter=30, depth=4, tolerance=0.0)
+    assert agreed.stages[0].getNumTrees > stopped.stages[0].getNumTrees
+
+    def error(model):
+        pred = ml.sequence_predict(model, valid).toPandas()
+        return float(((pred.prediction - pred.target) ** 2).mean())
+    assert error(stopped) < error(agreed)
 
 
 def test_penalty_is_chosen_on_validation_rows(spark):

@@ -210,6 +210,33 @@ def test_state_with_a_hot_series_in_one_batch(spark):
     pd.testing.assert_frame_equal(got, want, check_dtype=False, atol=1e-7)
 
 
+def test_predictions_meet_later_prices(spark):
+    made, seen = shared_dir(spark, "test", "made"), shared_dir(spark, "test", "seen")
+    base = pd.Timestamp("2024-01-01")
+    h = pd.Timedelta(hours=1)
+    kinds = "series string, made_ts timestamp_ntz, target_ts timestamp_ntz, predicted_price double"
+
+    def predict(rows):
+        spark.createDataFrame([(s, (base + (t - 1) * h).to_pydatetime(), (base + t * h).to_pydatetime(), p)
+                               for s, t, p in rows], kinds).coalesce(1).write.mode(
+            "append").parquet(made)
+    root, out, kind = shared_dir(spark, "test", "met"), None, None
+    # hour 3 of a never comes; b's prediction for hour 2 is met by a bar 40 minutes later, one run after it was made
+    steps = [([("a", 1, 110.0), ("a", 3, 1.0), ("b", 2, 50.0)], [("a", 1.0, 100.0), ("b", 1.0, 7.0)]),
+             ([("a", 9, 5.0)], [("b", 2 + 2 / 3, 40.0), ("a", 8.0, 0.0)]), ([("a", 8, 3.0)], [("a", 8.5, 3.0)])]
+    for predictions, prices in steps:
+        predict(predictions)
+        _land(spark, seen, [(s, base + t * h, 1.0, 2.0, 0.5, c, 10) for s, t, c in prices])
+        joined = jobs.match_predictions(spark.readStream.schema(kinds).parquet(made),
+                                        jobs.stream_source(spark, seen, jobs.BAR_SCHEMA), "59 minutes")
+        kind = joined.schema
+        _, out = jobs.run(joined, root)
+    got = sorted((r.series, r.predicted_price, r.actual_price, r.prediction_error_pct)
+                 for r in spark.read.schema(kind).parquet(out).collect())
+    assert [x[:3] for x in got] == [("a", 1.0, None), ("a", 3.0, 0.0), ("a", 3.0, 3.0), ("a", 110.0, 100.0), ("b", 50.0, 40.0)]
+    assert got[3][3] == 10.0 and got[4][3] == 25.0 and got[1][3] is None
+
+
 def test_counting_with_a_processing_time_trigger(spark):
     path, root = shared_dir(spark, "test", "bars"), shared_dir(spark, "test", "t6")
     _land(spark, path, _bars(30))

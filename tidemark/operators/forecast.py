@@ -110,6 +110,18 @@ def seasonal_naive_one_step(df: DataFrame, column: str = "close", s: int = 5,
     return ordered.run_windows(df, build, s + 1, layout)
 
 
+def seasonal_naive_ahead(df: DataFrame, column: str = "close", s: int = 5, grain: str = "1 hour",
+                         layout: Layout = HOURLY) -> DataFrame:
+    """``series, made_ts, target_ts, predicted_price``: at every bar, the (0,1,0)
+    (0,1,0,s) prediction of the next one; none where history is missing."""
+    def build(f, w):
+        return f.withColumn("predicted_price", F.col(column) + F.lag(column, s - 1).over(w) - F.lag(column, s).over(w))
+    out = ordered.run_windows(df, build, s + 1, layout)
+    return out.where("predicted_price IS NOT NULL").select(
+        "series", F.col(layout.ts).alias("made_ts"), F.expr(f"`{layout.ts}` + INTERVAL {grain}").alias("target_ts"),
+        "predicted_price")
+
+
 def seasonal_naive_forecast(split: DataFrame, column: str = "close", s: int = 5) -> DataFrame:
     """h-step (0,1,0)(0,1,0,s) forecast of the test rows from the train end.
 

@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,6 +91,19 @@ def sequence_regression(train: DataFrame, valid: DataFrame | None = None, window
     return best
 
 
+def sequence_boosting(train: DataFrame, valid: DataFrame, window: str = "window", label: str = "target",
+                      max_iter: int = 20, depth: int = 3, rate: float = 0.3, tolerance: float = 0.01,
+                      seed: int = 7) -> PipelineModel:
+    """M10 with early stopping: trees are added one by one to the flattened
+    windows, and training stops at the first that betters the error on ``valid``
+    by less than ``tolerance`` (relative)."""
+    both = train.withColumn("_valid", F.lit(False)).unionByName(valid.withColumn("_valid", F.lit(True)))
+    gbt = GBTRegressor(featuresCol="features", labelCol=label, validationIndicatorCol="_valid", maxIter=max_iter,
+                       maxDepth=depth, stepSize=rate, validationTol=tolerance, maxBins=16, seed=seed,
+                       featureSubsetStrategy="onethird")
+    return Pipeline(stages=[gbt]).fit(both.withColumn("features", array_to_vector(window)))
+
+
 def sequence_predict(model: PipelineModel, df: DataFrame, window: str = "window") -> DataFrame:
     return model.transform(df.withColumn("features", array_to_vector(window))).drop("features")
 

@@ -9,6 +9,8 @@ from tidemark.operators.ordered import DAILY, HOURLY
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sqlparts as q
 from tidemark.plans.catalog import finish, register
+from tidemark.session import materialize
+from tidemark.sources.bars import BAR_COLUMNS, bar_states, roll_up
 
 B = ["series", "bar_ts", "open", "high", "low", "close", "volume"]
 BD = ["open", "high", "low", "close"]
@@ -358,6 +360,21 @@ def build_bars(spark, sf):
     return finish(fx.bars_hourly(spark, sf))
 
 
+# S3 at three grains from one scan of the ticks: minutes are kept, hours come from them, days from hours
+@register("rolled_bars", " UNION ALL ".join(
+    f"SELECT '{g}' AS grain, * FROM ({q.BARS_HOURLY.replace(chr(39) + 'hour' + chr(39), chr(39) + g + chr(39))})"
+    for g in ("minute", "hour", "day")), BD)
+def rolled_bars(spark, sf):
+    minutes = materialize(bar_states(fx.table(spark, sf, "events"), "ts", "value", "event_type", "minute",
+                                     ["ts", "event_id"]))
+    hours = roll_up(minutes, "hour")
+    out = None
+    for grain, bars in (("minute", minutes), ("hour", hours), ("day", roll_up(hours, "day"))):
+        one = bars.select(F.lit(grain).alias("grain"), *BAR_COLUMNS)
+        out = one if out is None else out.unionByName(one)
+    return finish(out)
+
+
 @register("build_bars_daily", q.BARS_DAILY, BD + ["volume"])
 def build_bars_daily(spark, sf):
     return finish(fx.bars_daily(spark, sf))

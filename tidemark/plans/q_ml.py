@@ -70,6 +70,41 @@ def lr_evaluate(spark, sf):
     return ml.evaluate(model, test)
 
 
+# M7-M9 with one feature, whose least squares have a closed form; hours since 2024 of the bars
+_ONE = (f"WITH b AS (SELECT *, epoch(bar_ts)::BIGINT // 3600 AS hour FROM ({q.BARS_HOURLY})), "
+        f"s AS (SELECT *, CASE WHEN ((hour::HUGEINT * {mp.HASH_MULT} + 42) % {mp.HASH_MOD}) % 100 < 80 THEN 'train' "
+        "ELSE 'test' END AS split FROM b), "
+        "m AS (SELECT regr_slope(close, open) AS slope, regr_intercept(close, open) AS intercept, "
+        "regr_r2(close, open) AS r2 FROM s WHERE split = 'train'), "
+        "t AS (SELECT series, bar_ts, close, intercept + slope * open AS prediction FROM s, m WHERE split = 'test') ")
+
+
+def _lr_one(spark, sf):
+    hour = F.floor(F.unix_micros(F.col("bar_ts").cast("timestamp")) / 3_600_000_000)
+    split = mp.hash_split(fx.bars_hourly(spark, sf).withColumn("_hour", hour), "_hour").drop("_hour")
+    train, test = (split.filter(F.col("split") == x).drop("split") for x in ("train", "test"))
+    return ml.linear_regression(train, ["open"], solver="normal"), test
+
+
+@register("linear_regression_one", _ONE + "SELECT 'open' AS feature, slope AS coefficient FROM m UNION ALL "
+          "SELECT 'intercept', intercept FROM m", ["coefficient"])
+def linear_regression_one(spark, sf):
+    return finish(ml.coefficients(_lr_one(spark, sf)[0], spark))
+
+
+@register("lr_predict_one", _ONE + "SELECT * FROM t", ["close", "prediction"])
+def lr_predict_one(spark, sf):
+    model, test = _lr_one(spark, sf)
+    return finish(ml.predict(model, test).select("series", "bar_ts", "close", "prediction"))
+
+
+@register("lr_evaluate_one", _ONE + "SELECT sqrt(avg((close - prediction) ** 2)) AS rmse_test, max(r2) AS r2_train, "
+          "1 - sum((close - prediction) ** 2) / (count(*) * var_pop(close)) AS r2_test FROM t, m",
+          ["rmse_test", "r2_train", "r2_test"])
+def lr_evaluate_one(spark, sf):
+    return finish(ml.evaluate(*_lr_one(spark, sf)))
+
+
 # M5 (window alignment checked exactly: size, first and last element, target)
 _F0, _FL = ml.SEQ_FEATURES[0], ml.SEQ_FEATURES[-1]
 
@@ -101,7 +136,7 @@ def sequence_split(spark, sf):
     return sp.groupBy("series", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _sequence_model(spark, sf):
+def _sequence_rows(spark, sf):
     feats = _features(spark, sf)
     stats = mp.scaler_stats(feats, ["series"], ml.SEQ_FEATURES + ["close"])
     zcols = [f"{c}_z" for c in ml.SEQ_FEATURES]
@@ -112,8 +147,12 @@ def _sequence_model(spark, sf):
     nth, train = F.col("_pos") - SEQ_LEN, F.floor((F.col("_n") - SEQ_LEN) * 0.8)
     part = F.when(nth < F.floor(train * 0.9), "train").when(nth < train, "valid").otherwise("test")
     rows = materialize(rows.withColumn("split", part).drop("_n"))
-    seq = mp.sequence_windows(rows, zcols, "close_z", SEQ_LEN, carry=["split"])
-    model = ml.sequence_regression(*(seq.filter(F.col("split") == x) for x in ("train", "valid")))
+    return mp.sequence_windows(rows, zcols, "close_z", SEQ_LEN, carry=["split"]), stats
+
+
+def _sequence_model(spark, sf, fit=ml.sequence_regression):
+    seq, stats = _sequence_rows(spark, sf)
+    model = fit(*(seq.filter(F.col("split") == x) for x in ("train", "valid")))
     pred = ml.sequence_predict(model, seq).drop("window", "_pos")
     pred = mp.inverse_scale(pred, ["series"], "prediction", stats, "close", "predicted")
     pred = mp.inverse_scale(pred, ["series"], "target", stats, "close", "actual")
@@ -127,14 +166,25 @@ def sequence_regression(spark, sf):
     return finish(ev.evaluation_report(pred.filter(F.col("split") == "test").drop("split")))
 
 
-# S5
-@register("model_store")
+# M10, stopped early
+@register("sequence_boosting")
+def sequence_boosting(spark, sf):
+    pred = _sequence_model(spark, sf, ml.sequence_boosting)
+    return finish(ev.evaluation_report(pred.filter(F.col("split") == "test").drop("split")))
+
+
+# What was saved predicts what the model itself predicts, row by row
+@register("model_store", _ONE + "SELECT series, bar_ts, close, prediction, TRUE AS as_fitted FROM t",
+          ["close", "prediction"])
 def model_store(spark, sf):
-    model, _, test = _lr(spark, sf)
+    model, test = _lr_one(spark, sf)
     path = shared_dir(spark, "models")
     ml.save_model(model, path, model.stages[0].getInputCols(), spark)
-    loaded, _, meta = ml.load_model(path, spark)
-    return ml.predict(loaded, test).select("series", "bar_ts", "close", "prediction")
+    loaded, _, _ = ml.load_model(path, spark)
+    kept = ml.predict(model, test).select("series", "bar_ts", F.col("prediction").alias("_fitted"))
+    rows = join_on(ml.predict(loaded, test), kept, ["series", "bar_ts"])
+    return finish(rows.select("series", "bar_ts", "close", "prediction",
+                              (F.col("prediction") == F.col("_fitted")).alias("as_fitted")))
 
 
 # S6

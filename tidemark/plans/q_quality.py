@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import sketches as sk
 from tidemark.operators import projection as pj
 from tidemark.operators import quality as ql
 from tidemark.operators.indicators import sma as ind_sma
@@ -19,6 +20,7 @@ from tidemark.plans.catalog import finish, register
 
 B = ["series", "bar_ts", "open", "high", "low", "close", "volume"]
 BD = ["open", "high", "low", "close"]
+_PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
 PROFILE = ["open", "high", "low", "close", "volume"]
 W = q.w()
 
@@ -123,6 +125,36 @@ def iqr_outliers_approx(spark, sf):
     return finish(ql.iqr_outliers(fx.bars_hourly(spark, sf), ["series"], PROFILE, approx=True))
 
 
+# Q8: quantiles of a sketch over all rows, of merged daily sketches and of Spark's own, by their exact ranks
+@register("approx_quantile_ranks", "SELECT event_type AS series, 'value' AS column_name, p, count(value) AS n, "
+          "TRUE AS one_pass, TRUE AS merged_days, TRUE AS percentile_approx FROM events, (VALUES " +
+          ", ".join(f"({p}::DOUBLE)" for p in _PROBS) + ") t(p) GROUP BY event_type, p")
+def approx_quantile_ranks(spark, sf):
+    ticks = fx.shared(fx.table(spark, sf, "events").select(F.col("event_type").alias("series"), "ts", "value"))
+    keys, by = ["series"], ["series", "column_name", "n", "p"]
+    found = {"one_pass": sk.quantiles(sk.sketch(ticks, keys, ["value"]), _PROBS),
+             "merged_days": sk.quantiles(sk.merge(sk.sketch(ticks, keys, ["value"], day="ts"), keys), _PROBS),
+             "percentile_approx": ticks.groupBy(*keys).agg(F.percentile_approx("value", _PROBS, 10_000).alias("q")).select(
+                 *keys, F.lit("value").alias("column_name"), F.explode(F.arrays_zip(
+                     F.array(*[F.lit(p) for p in _PROBS]).alias("p"), "q")).alias("z")).select(*keys, "column_name", "z.*")}
+    out = None
+    for name, q_ in found.items():
+        bound = 1 / 10_000 if name == "percentile_approx" else sk.rank_error()
+        one = sk.outside_ranks(ticks, keys, ["value"], q_.drop("n")).select(
+            *by, (F.col("rank_error") <= bound).alias(name))
+        out = one if out is None else out.join(one, by)
+    return out
+
+
+# Q6 from merged daily states, without reading a row again
+@register("sketch_summary", "SELECT event_type AS series, 'value' AS column_name, count(value) AS n, avg(value) AS mean, "
+          "stddev_samp(value) AS stddev, min(value) AS low, max(value) AS high FROM events GROUP BY event_type",
+          ["mean", "stddev", "low", "high"])
+def sketch_summary(spark, sf):
+    ticks = fx.table(spark, sf, "events").select(F.col("event_type").alias("series"), "ts", "value")
+    return finish(sk.summary(sk.merge(sk.sketch(ticks, ["series"], ["value"], day="ts"), ["series"])).drop("sketch"))
+
+
 # Q9
 @register("outlier_rows", f"WITH bars AS ({q.BARS_HOURLY}), qs AS (SELECT series, "
           "quantile_cont(close, 0.25) AS q1, quantile_cont(close, 0.75) AS q3 FROM bars "
@@ -216,6 +248,19 @@ def kde_grid(spark, sf):
     return finish(ql.kde_grid(fx.bars_hourly(spark, sf), ["series"], "close"))
 
 
+# Q14 by linear binning: flagged where it is within the bound of the exact density
+@register("kde_binned", f"WITH bars AS ({q.BARS_HOURLY}), st0 AS (SELECT series, count(close) AS n, "
+          "stddev_samp(close) AS sd, min(close) AS lo, max(close) AS hi FROM bars GROUP BY series), "
+          "st1 AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st0) "
+          f"SELECT series, g::INTEGER AS g, lo - {ql.KDE_CUT} * h + g * ((hi - lo + 2 * {ql.KDE_CUT} * h) / "
+          f"{float(ql.KDE_GRID - 1)}) AS x, TRUE AS within FROM st1, range(0, {ql.KDE_GRID}) t(g) WHERE h > 0", ["x"])
+def kde_binned(spark, sf):
+    bars = fx.bars_hourly(spark, sf)
+    exact = ql.kde_grid(bars, ["series"], "close").select("series", "g", F.col("density").alias("exact"))
+    both = ql.kde_binned(bars, ["series"], "close").join(exact, ["series", "g"])
+    return finish(both.select("series", "g", "x", (F.abs(F.col("density") - F.col("exact")) <= F.col("bound")).alias("within")))
+
+
 # Q15
 _BOX = ["q1", "median", "q3", "min", "max", "lower_whisker", "upper_whisker"]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import evaluate as ev
 from tidemark.operators import kpis as kp
 from tidemark.operators import ml
-from tidemark.operators.forecast import seasonal_naive_one_step
+from tidemark.operators.forecast import seasonal_naive_ahead, seasonal_naive_one_step
 from tidemark.operators.indicators import realtime_features, technical_features
 from tidemark.operators.ordered import with_position
 from tidemark.plans import fixtures as fx
@@ -117,9 +117,16 @@ def stream_indicators_state(spark, sf):
     return finish(job.result(spark).unionByName(job.open(spark)))
 
 
-# T5
-@register("stream_score")
+# T5: the stream's predictions are the batch's, row by row
+@register("stream_score", f"SELECT series, bar_ts, close, TRUE AS as_batch FROM ({q.BARS_HOURLY})", ["close"])
 def stream_score(spark, sf):
+    stream, batch = scored_both_ways(spark, sf)
+    both = stream.join(batch.select("series", "bar_ts", F.col("prediction").alias("_batch")), ["series", "bar_ts"], "left")
+    return finish(both.select("series", "bar_ts", "close", F.col("prediction").eqNullSafe(F.col("_batch")).alias("as_batch")))
+
+
+def scored_both_ways(spark, sf):
+    """(predictions of the stream, of the batch) by one saved model."""
     from tidemark.operators import mlprep as mp
     feats = technical_features(fx.bars_hourly(spark, sf))
     train = mp.hash_split(feats.withColumn("_k", F.year("bar_ts") * 366 + F.dayofyear("bar_ts")), "_k").filter(
@@ -133,7 +140,33 @@ def stream_score(spark, sf):
     stream = spark.readStream.schema(feats.schema).option("maxFilesPerTrigger", 2).parquet(landing)
     _, out = jobs.run(ml.predict(loaded, stream).select("series", "bar_ts", "close", "prediction"),
                       shared_dir(spark, "streams", "t5"))
-    return spark.read.parquet(out)
+    batch = ml.predict(loaded, spark.read.schema(feats.schema).parquet(landing))
+    return spark.read.parquet(out), batch
+
+
+# T5 with K3: predictions meet the prices that come later
+_AHEAD = (f"WITH b AS ({q.BARS_HOURLY}), "
+          f"p AS (SELECT series, bar_ts AS made_ts, bar_ts + INTERVAL 1 HOUR AS target_ts, close + lag(close, 4) {W} - "
+          f"lag(close, 5) {W} AS predicted_price FROM b), "
+          "j AS (SELECT p.*, b.bar_ts, b.close AS actual_price FROM p LEFT JOIN b ON b.series = p.series AND "
+          "b.bar_ts = p.target_ts WHERE predicted_price IS NOT NULL), "
+          "e AS (SELECT max(bar_ts) - INTERVAL 10 MINUTE AS passed FROM b) ")
+
+
+@register("stream_prediction_errors", _AHEAD + "SELECT series, made_ts, target_ts, predicted_price, bar_ts, actual_price, "
+          "abs(predicted_price - actual_price) / NULLIF(actual_price, 0) * 100 AS prediction_error_pct FROM j, e "
+          "WHERE bar_ts IS NOT NULL OR target_ts + INTERVAL 59 MINUTE < passed",
+          ["predicted_price", "actual_price", "prediction_error_pct"])
+def stream_prediction_errors(spark, sf):
+    bars = fx.bars_hourly(spark, sf)
+    w = seasonal_naive_ahead(bars)
+    made, prices = shared_dir(spark, "landing", "made"), shared_dir(spark, "landing", "prices")
+    w.write.parquet(made)
+    bars.write.parquet(prices)
+    joined = jobs.match_predictions(
+        spark.readStream.schema(w.schema).parquet(made), jobs.stream_source(spark, prices, jobs.BAR_SCHEMA), "59 minutes")
+    _, out = jobs.run(joined, shared_dir(spark, "streams", "met"))
+    return finish(spark.read.schema(joined.schema).parquet(out))
 
 
 # T6

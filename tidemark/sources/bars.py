@@ -62,6 +62,31 @@ def build_bars(df: DataFrame, ts: str, price: Column | str, series: Column | str
     )
 
 
+def bar_states(df: DataFrame, ts: str, price: Column | str, series: Column | str, grain: str = "minute",
+               order: Sequence[str] | None = None, volume: Column | str | None = None) -> DataFrame:
+    """Bars that roll up: as ``build_bars``, with the order keys of the open and
+    the close (``open_key``, ``close_key``)."""
+    p = F.col(price) if isinstance(price, str) else price
+    s = F.col(series) if isinstance(series, str) else series
+    key = F.struct(*[F.col(c) for c in (order or [ts])])
+    vol = F.count(F.lit(1)) if volume is None else F.sum(F.col(volume) if isinstance(volume, str) else volume)
+    # the price with its key, so that rows without a price lend no key to the open or the close
+    first, last = (f(F.when(p.isNotNull(), F.struct(key.alias("k"), p.alias("p")))) for f in (F.min, F.max))
+    return df.groupBy(s.alias(SERIES), bucket(ts, grain).alias(TS)).agg(
+        first.alias("_o"), F.max(p).alias("high"), F.min(p).alias("low"), last.alias("_c"), vol.alias("volume")).select(
+        SERIES, TS, F.col("_o.p").alias("open"), "high", "low", F.col("_c.p").alias("close"), "volume",
+        F.col("_o.k").alias("open_key"), F.col("_c.k").alias("close_key"))
+
+
+def roll_up(states: DataFrame, grain: str) -> DataFrame:
+    """Bars of a coarser grain (hours or days) out of finer ones; they roll up
+    further.  A state without a price adds its volume only."""
+    return states.groupBy(SERIES, bucket(TS, grain).alias(TS)).agg(
+        F.min_by("open", "open_key").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max_by("close", "close_key").alias("close"), F.sum("volume").alias("volume"),
+        F.min("open_key").alias("open_key"), F.max("close_key").alias("close_key"))
+
+
 def events_bars(events: DataFrame, grain: str = "hour") -> DataFrame:
     """Main fixture: one series per event type, price = value, volume = ticks."""
     return build_bars(events, "ts", "value", "event_type", grain, ["ts", "event_id"])

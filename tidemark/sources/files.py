@@ -53,6 +53,37 @@ def read_bars(spark: SparkSession, path: str, schema: StructType = BAR_SCHEMA, f
     return raw.select(*out)
 
 
+def read_bars_checked(spark: SparkSession, path: str, schema: StructType = BAR_SCHEMA,
+                      sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """S1 for files that may hold bad lines: (bars, rejected lines).
+
+    ``path``: CSV files whose first lines name the schema's columns in order.  A
+    line with another number of fields, or a field that isn't empty and can't be
+    read as its column's type, is in ``line, reason, file`` of the second frame,
+    once for each time it stands there; every other line is a bar.  Lines are read
+    as text, so quoted fields must not hold line ends."""
+    names = [f.name for f in schema.fields]
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    head = sep.join(names)
+    lines = lines.where((F.col("line") != head) & (F.trim("line") != ""))
+    texts = StructType([*[StructField(n, StringType()) for n in names], StructField("_bad", StringType())])
+    parsed = lines.withColumn("t", F.from_csv("line", texts.simpleString()[7:-1].replace(":", " "), {
+        "sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    cast, wrong = [], []
+    for f in schema.fields:
+        text = F.nullif(F.trim(F.col(f"t.{f.name}")), F.lit(""))
+        value = (F.try_to_timestamp(text, F.lit(_STAMP)).cast(f.dataType) if isinstance(f.dataType, TimestampNTZType)
+                 else text.try_cast("double").try_cast(f.dataType) if isinstance(f.dataType, LongType)
+                 else text.try_cast(f.dataType))
+        cast.append(value.alias(f.name))
+        wrong.append(F.when(text.isNotNull() & value.isNull(), F.lit(f.name)))
+    fields = F.array_compact(F.array(*wrong))
+    reason = F.when(F.col("t._bad").isNotNull(), F.lit("fields")).when(
+        F.size(fields) > 0, F.concat(F.lit("not readable: "), F.array_join(fields, ", ")))
+    rows = parsed.select("line", "file", reason.alias("reason"), *cast)
+    return rows.where("reason IS NULL").select(*names), rows.where("reason IS NOT NULL").select("line", "reason", "file")
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: Sequence[str] = (), mode: str = "overwrite",
                 header: bool = True) -> None:
@@ -66,8 +97,42 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     w.save(path)
 
 
+def write_run(df: DataFrame, path: str, partition_by: Sequence[str], run: str) -> bool:
+    """S2 for jobs that may be killed and started again: partitions of ``df``
+    replace those of the same values below ``path``, others stay.
+
+    The rows are computed once, into a staging folder of the run; they are moved
+    into place by dynamic partition overwrite, and the run's manifest (partitions
+    and rows) is written last.  A run whose manifest is there is not written again
+    (returns False); one that was killed goes on from its staging folder, or from
+    ``df`` if that is not complete.  Readers of ``path`` see neither folder."""
+    spark = df.sparkSession
+    staging, manifest = f"{path}/_staging/run={run}", f"{path}/_manifest/run={run}"
+    if _complete(spark, manifest):
+        return False
+    if not _complete(spark, staging):
+        df.write.mode("overwrite").parquet(staging)
+    rows = spark.read.schema(df.schema).parquet(staging)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    rows.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(manifest)
+    fs, p = _fs(spark, staging)
+    fs.delete(p, True)
+    return True
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _complete(spark: SparkSession, folder: str) -> bool:
+    fs, p = _fs(spark, f"{folder}/_SUCCESS")
+    return fs.exists(p)
+
+
 def write_metrics(report: DataFrame, path: str, run_ts=None) -> None:
-    """Append an evaluation report stamped with its run time."""
+    """An evaluation report stamped with its run time (by default now), in a
+    partition of its own that writing it again replaces."""
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts)
-    report.withColumn("run_ts", F.date_format(stamp, "yyyyMMdd_HHmmss")) \
-        .write.mode("append").partitionBy("run_ts").parquet(path)
+    run = report.sparkSession.range(1).select(F.date_format(stamp, "yyyyMMdd_HHmmss").alias("t")).first()["t"]
+    write_run(report.withColumn("run_ts", F.lit(run)), path, ["run_ts"], run)

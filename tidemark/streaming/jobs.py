@@ -225,6 +225,25 @@ def kpis_per_batch(bars_stream: DataFrame, root: str, score: Callable[[DataFrame
     return job
 
 
+# ------------------------------------------------------------------ T5 with K3
+
+def match_predictions(predictions: DataFrame, prices: DataFrame, within: str, delay: str = WATERMARK) -> DataFrame:
+    """Streams of ``series, made_ts, target_ts, predicted_price`` and of bars: each
+    prediction with the bars of its series from ``target_ts`` to ``within`` later
+    and the error in percent.  One that has met no bar comes out without, once the
+    watermark (``delay`` behind the older of both streams) has passed its time.
+    Both sides wait in state for no longer than that."""
+    made = predictions.withColumn("_target", F.col("target_ts").cast("timestamp")).withWatermark("_target", delay)
+    seen = prices.select(F.col("series").alias("_s"), "bar_ts", F.col("close").alias("actual_price")).withColumn(
+        "_bar", F.col("bar_ts").cast("timestamp")).withWatermark("_bar", delay)
+    on = (F.col("series") == F.col("_s")) & (F.col("_bar") >= F.col("_target")) & (
+        F.col("_bar") <= F.col("_target") + F.expr(f"INTERVAL {within}"))
+    error = F.abs(F.col("predicted_price") - F.col("actual_price"))
+    return made.join(seen, on, "left").select(
+        "series", "made_ts", "target_ts", "predicted_price", "bar_ts", "actual_price",
+        (F.try_divide(error, F.col("actual_price")) * 100).alias("prediction_error_pct"))
+
+
 # ------------------------------------------------------------------ T4
 
 STATE_OUT = StructType([
