@@ -33,7 +33,9 @@ def frame(spark, rows, extra=True):
     """documents, with columns whose names the operators use inside."""
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     clash = ("k", "c", "n", "key", "fp", "size", "spans", "score", "component", "_d", "_h", "at", "label", "taken",
-             "n_words", "held_out", "letters", "u", "v", "node", "first", "ctx", "items", "block")
+             "n_words", "held_out", "letters", "u", "v", "node", "first", "ctx", "items", "block",
+             "__d", "__h", "__spans", "__copies", "__words", "__letters", "_fd", "_fh", "_letters", "_spans", "_copies",
+             "_words")
     if extra:
         schema += "".join(f", {c} string" for c in clash)
     langs = [None, "en", "de"]

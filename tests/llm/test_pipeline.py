@@ -16,7 +16,7 @@ STAGES = dict(corpus_pipeline.STAGES)
 
 def test_entry_has_all_queries():
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 

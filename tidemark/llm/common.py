@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.session import shared_dir
 
@@ -49,13 +50,28 @@ def learnable(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(c.cast("string")) % 3 != 1, F.lit(False))
 
 
-def document_key() -> Column:
-    """A row's id for joins: never null."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+def document_key(docs: DataFrame) -> Column:
+    """A row's id for joins, a long that is never null: a whole number itself, an
+    id of another type its hash (documents then follow each other in its order)."""
+    c, kind = F.col("doc_id"), docs.schema["doc_id"].dataType
+    number = c.cast("long") if isinstance(kind, IntegralType) else F.when(c.isNotNull(), F.xxhash64(c.cast("string")))
+    return F.coalesce(number, F.lit(NO_ID))
+
+
+def spare(docs: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``docs`` has, one for each of ``names``."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` plus the join key of a document: ``_d`` (its id, or
     ``NO_ID``) and ``_h`` (hash of its text).  Rows that agree in both are one
     document; rows that share an id but not the text are different ones."""
-    return docs.select("doc_id", "text").withColumns({"_d": document_key(), "_h": F.xxhash64("text")})
+    return docs.select("doc_id", "text").withColumns({"_d": document_key(docs), "_h": F.xxhash64("text")})

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import arrow, held_out, learnable, table
+from tidemark.llm.common import arrow, held_out, learnable, spare, table
 from tidemark.llm.nn import Adam, bounded_sample, excerpts, softmax
 
 WINDOW = 128
@@ -208,7 +208,7 @@ def accept(docs: DataFrame, net: Network | None) -> DataFrame:
     """The rows of ``docs`` that get a language (not ``und``), unchanged; if the
     network is None, the rows whose text has letters."""
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    rows = docs.select("*", F.coalesce(F.col("text").rlike(_LETTERS), F.lit(False)).alias("__letters"))
+    rows = docs.select("*", F.coalesce(F.col("text").rlike(_LETTERS), F.lit(False)).alias(spare(docs, "_letters")[0]))
     return arrow(rows, _scorer(sent, True), docs.schema)
 
 

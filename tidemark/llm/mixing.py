@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import document_key, table, written
+from tidemark.llm.common import document_key, spare, table, written
 
 #: Weights of the sources, in code point order of their names, repeating.
 WEIGHTS = (3, 1, 2)
@@ -40,10 +40,13 @@ def quality(text: str | Column = "text") -> Column:
     return F.coalesce(F.greatest(F.lit(LEAST_QUALITY), 1.0 - 4.0 * share), F.lit(1.0))
 
 
-def key(doc_id: str | Column, weight: Column, seed: str = SEED) -> Column:
-    """Exponential key; the same for the same id, seed and weight."""
+def key(doc_id: str | Column, weight: Column, seed: str = SEED, text: str | Column = "text") -> Column:
+    """Exponential key; the same for the same id, seed and weight.  A row without
+    an id is keyed by its text, so that such rows spread like any others."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    h = F.md5(F.concat(F.coalesce(c.cast("string"), F.lit("")), F.lit(":" + seed)))
+    t = F.col(text) if isinstance(text, str) else text
+    own = F.concat(F.lit("text:"), F.md5(F.coalesce(t, F.lit("")).cast("binary")))
+    h = F.md5(F.concat(F.coalesce(c.cast("string"), own), F.lit(":" + seed)).cast("binary"))
     u = (F.conv(F.substring(h, 1, 13), 16, 10).cast("double") + 0.5) / float(2 ** 52)
     return -F.log(u) / weight
 
@@ -52,7 +55,8 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL,
             most: float = MOST) -> DataFrame:
     """``source, source_size, target`` from ``source, source_size`` (one row for
     each source).  Capped sources drop out in the order of cap / weight; the
-    rest share what is left by weight."""
+    rest share what is left by weight.  Sources are ranked in one task: meant for
+    up to some hundred thousand of them."""
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (rank % len(weights) + 1).cast("int"))
     rows = sizes.withColumn("w", w).withColumn("cap", most * F.col("source_size"))
@@ -70,22 +74,31 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL,
     return rows.select("source", "source_size", F.least("cap", level * F.col("w")).alias("target"))
 
 
+def _weight(column: str | None) -> Column:
+    if column is None:
+        return quality()
+    q = F.col(column).cast("double")
+    return F.coalesce(F.greatest(F.lit(LEAST_QUALITY), F.least(F.lit(1.0), q)), F.lit(1.0))
+
+
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL, most: float = MOST,
-        seed: str = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+        seed: str = SEED, bucket_rows: int = BUCKET_ROWS, quality_column: str | None = None) -> DataFrame:
     """``doc_id, _d, _h, source, size, source_size, target, taken`` for every row
     (``_d, _h``: its key, see ``common.keyed``).
 
     ``size`` counts ``[^\\x20\\x09-\\x0D]+`` (null text: 0, taken 0).  A null
     source is a source of its own, the last.  Rows order by key, then id, then
     size, so ties and repeated rows give the same result on every run; a row
-    without an id keys as the empty id.  The row on which the budget ends is
+    without an id is keyed by its text.  ``quality_column`` names a quality weight
+    of the documents (such as the score of ``quality_classifier.score``), held to
+    ``LEAST_QUALITY`` to 1 (null: 1); else ``quality(text)`` counts.  The row on which the budget ends is
     taken if that brings the source nearer to its target.  An empty table gives
     no rows.
     """
     slim = docs.select(
-        "doc_id", document_key().alias("_d"), F.xxhash64("text").alias("_h"), "source",
+        "doc_id", document_key(docs).alias("_d"), F.xxhash64("text").alias("_h"), "source",
         F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
-        key("doc_id", quality(), seed).alias("_key"))
+        key("doc_id", _weight(quality_column), seed).alias("_key"))
     slim = written(slim, "mix")
     sums = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))
     goal = written(targets(sums.drop("_n"), weights, total, most).join(
@@ -122,14 +135,16 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL, most: f
 def draw(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the mix takes, with ``mix_copies`` (times that
     the mix takes the text) and ``mix_words`` (words that it takes, repeats
-    counted).  Rows that repeat an id and a text become one, whose copies add
-    up; a text without words is never taken.  Options as for ``mix``."""
+    counted; columns of these names are replaced).  Rows that repeat an id and a
+    text become one, whose copies add up; a text without words is never taken.  Options as for ``mix``."""
     taken = mix(docs, **options).where("taken > 0").groupBy("_d", "_h").agg(
-        F.sum(F.col("taken") / F.col("size")).cast("long").alias("__copies"), F.sum("taken").alias("__words"))
-    taken = taken.withColumnsRenamed({"_d": "__d", "_h": "__h"})
-    rows = docs.drop("mix_copies", "mix_words").withColumns({"__d": document_key(), "__h": F.xxhash64("text")})
-    rows = rows.join(taken, ["__d", "__h"]).dropDuplicates(["__d", "__h"])
-    return rows.withColumnsRenamed({"__copies": "mix_copies", "__words": "mix_words"}).drop("__d", "__h")
+        F.sum(F.col("taken") / F.col("size")).cast("long").alias("_copies"), F.sum("taken").alias("_words"))
+    rows = docs.drop("mix_copies", "mix_words")
+    d, h, copies, words = spare(rows, "_d", "_h", "_copies", "_words")
+    taken = taken.withColumnsRenamed({"_d": d, "_h": h, "_copies": copies, "_words": words})
+    rows = rows.withColumns({d: document_key(docs), h: F.xxhash64("text")})
+    rows = rows.join(taken, [d, h]).dropDuplicates([d, h])
+    return rows.withColumnsRenamed({copies: "mix_copies", words: "mix_words"}).drop(d, h)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +157,7 @@ WITH d AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
       CASE WHEN length(text) > 0 THEN (length(text) - length(translate(text, '#$%&*|<>!0123456789', '')))::DOUBLE
            / length(text)::DOUBLE ELSE 0.0::DOUBLE END AS share,
-      (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix-1'), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE)
+      (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, ''))) || ':mix-1'), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE)
         / 4503599627370496.0::DOUBLE AS u
     FROM documents)),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),

@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow
+from tidemark.llm.common import arrow, written
 
 _HELD_ROWS = 50_000
+_SPARE = 4
 
 
 def _smallest(n: int):
@@ -39,11 +40,32 @@ def _smallest(n: int):
 def bounded_sample(df: DataFrame, n: int, by: Column, seed: int = 0) -> DataFrame:
     """At most ``n`` different rows of ``df``, spread evenly over the values of
     ``by``: of each, those whose hash ``__h`` over all columns is smallest, and
-    more of the others where a value has too few.  The same rows on every run."""
+    more of the others where a value has too few.  The same rows on every run.
+
+    Rows are counted by value first; only those with a hash below a threshold, in
+    which some ``_SPARE * n`` rows of a value are expected, are ranked, so that a
+    value with a third of all rows doesn't meet whole in one task.  Where repeated
+    rows leave too few, the threshold is raised."""
     rows = df.withColumn("__h", F.xxhash64(*df.columns, F.lit(seed)))
-    keys = arrow(rows.select(by.cast("string").alias("value"), "__h"), _smallest(n), "value string, __h long")
-    rank = F.row_number().over(Window.partitionBy("value").orderBy("__h"))
-    top = keys.distinct().withColumn("rank", rank).orderBy("rank", "__h").limit(n).select("__h")
+    keys = rows.select(by.cast("string").alias("value"), "__h")
+    count = written(keys.groupBy("value").count(), "sample-classes").withColumnRenamed("value", "_v")
+    share = _SPARE * n
+    while True:
+        # hashes lie evenly between -2^63 and 2^63
+        below = F.least(F.lit(1.0), F.lit(float(share)) / F.col("count"))
+        limit = (below - 0.5) * 2.0 ** 64
+        near = keys.join(count, F.col("value").eqNullSafe(F.col("_v"))).where(
+            (below >= 1.0) | (F.col("__h").cast("double") <= limit)).select("value", "__h")
+        near = arrow(near, _smallest(n), "value string, __h long").distinct()
+        rank = F.row_number().over(Window.partitionBy("value").orderBy("__h"))
+        top = written(near.withColumn("rank", rank).where(F.col("rank") <= n), "sample")
+        kept = top.groupBy("value").agg(F.max("rank").alias("_kept"))
+        short = count.join(kept, F.col("value").eqNullSafe(F.col("_v")), "left").where(
+            (F.col("count") > share) & (F.coalesce("_kept", F.lit(0)) < n))
+        if short.isEmpty():
+            break
+        share *= 16
+    top = top.orderBy("rank", "__h").limit(n).select("__h")
     return rows.join(F.broadcast(top), "__h").select(*df.columns, "__h")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import arrow, document_key, keyed, table, written
+from tidemark.llm.common import arrow, document_key, keyed, spare, table, written
 from tidemark.llm.graph import components
 
 SHINGLE = 3
@@ -231,9 +231,11 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, s
     columns stay as they are."""
     first = _components(docs, shingle, radius, seed, tile).select("first").distinct().select(
         F.col("first._d").alias("_fd"), F.col("first._h").alias("_fh"))
-    rows = docs.withColumns({"__d": document_key(), "__h": F.xxhash64("text")})
-    kept = rows.join(first, (F.col("__d") == F.col("_fd")) & (F.col("__h") == F.col("_fh")), "left_semi")
-    return kept.dropDuplicates(["__d", "__h"]).select(*docs.columns)
+    d, h, fd, fh = spare(docs, "_d", "_h", "_fd", "_fh")
+    rows = docs.withColumns({d: document_key(docs), h: F.xxhash64("text")})
+    first = first.withColumnsRenamed({"_fd": fd, "_fh": fh})
+    kept = rows.join(first, (F.col(d) == F.col(fd)) & (F.col(h) == F.col(fh)), "left_semi")
+    return kept.dropDuplicates([d, h]).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import arrow, document_key, keyed, table
+from tidemark.llm.common import arrow, document_key, keyed, spare, table
 from tidemark.llm.repeats import Windows, offsets_of, removed, repeated_spans
 
 WINDOW = 20
@@ -90,7 +90,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
 
     A null text has no words.  Rows that repeat an id and a text are one
     document: each gets its result.  Rows that share an id but not the text are
-    ordered by their texts' hashes; a null id comes first.  Other columns are
+    ordered by their texts' hashes; a null id comes first; ids that aren't whole
+    numbers are ordered by their hashes.  Other columns are
     not read; an empty table gives no rows.
     """
     spec = Windows("words", window, gram, every=False, group_rows=group_rows)
@@ -107,7 +108,7 @@ def _cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = part.schema.names
             at = names.index("text")
             texts = part.column(at).to_pylist()
-            cuts = removed(part.column(names.index("__spans")), np.zeros(len(texts)))
+            cuts = removed(part.column(len(names) - 1), np.zeros(len(texts)))
             for i, (a, b) in enumerate(cuts):
                 if len(a):
                     w = texts[i].encode().split()
@@ -123,10 +124,11 @@ def clean(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_rows: i
     (maybe none), all others stay as they are.  Other columns are unchanged;
     nulls and repeats are treated as in ``remove_repeats``."""
     spec = Windows("words", window, gram, every=False, group_rows=group_rows)
+    d, h, gone = spare(docs, "_d", "_h", "_spans")
     spans = repeated_spans(keyed(docs), spec, resolve, "substrings").select(
-        F.col("_d").alias("__d"), F.col("_h").alias("__h"), F.col("spans").alias("__spans"))
-    rows = docs.withColumns({"__d": document_key(), "__h": F.xxhash64("text")})
-    rows = rows.join(spans, ["__d", "__h"], "left").select(*docs.columns, "__spans")
+        F.col("_d").alias(d), F.col("_h").alias(h), F.col("spans").alias(gone))
+    rows = docs.withColumns({d: document_key(docs), h: F.xxhash64("text")})
+    rows = rows.join(spans, [d, h], "left").select(*docs.columns, gone)
     return arrow(rows, _cleaner, docs.schema)
 
 
