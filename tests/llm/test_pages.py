@@ -101,6 +101,58 @@ def test_articles_beside_the_main_text():
     assert main_text(f"<article><p>{a}</p></article><div>{b}</div>") == [a]
 
 
+def test_comments_and_adverts_in_lists():
+    a, b, c = (words(x, 90) for x in "abc")
+    talk = "".join(f"<li class=comment><p>{words(f'c{i}x', 60)}</p><p>So it is.</p></li>" for i in range(5))
+    for page in (f"<article><p>{a}</p><p>{b}</p></article><ol>{talk}</ol>", f"<article><p>{a}</p><p>{b}</p><ol>{talk}</ol></article>",
+                 f"<div><p>{a}</p><p>{b}</p></div><ol>{talk}</ol>", f"<div><p>{a}</p><p>{b}</p></div><ol>{talk.replace('</li>', '')}</ol>",
+                 f"<article><p>{a}<ul><li class=ad><p>{c}</p></ul><p>{b}</article>"):
+        assert main_text(page) == [a, b], page
+    # closing tags left out: an element's mark ends with it
+    assert main_text(f"<article><ul><li class=ad>{words('n', 20)}<li>{a}</ul><p class=promo>{words('m', 20)}<p>{b}</article>") == [a, b]
+    rows = f"<article><p>{a}</p><table><tr><td class=ad>{words('n', 20)}<td>one<tr><td>two</table><p>{b}</p></article>"
+    assert main_text(rows) == [a, "one", "two", b]
+
+
+def test_links_around_blocks():
+    a, b = words("a", 90), words("b", 90)
+    teaser = f"<a href=x><div>{words('t', 30)}</div><div>{words('u', 30)}</div></a>"
+    assert main_text(f"<div><div>{a}</div><div>{b}</div></div>{teaser}") == [a, b]
+    assert [x[2] for x in html_text.blocks(f"{teaser}<p>free</p>")] == [30, 30, 0]
+    # a link that isn't closed ends with the block that it stands in
+    assert [x[1:3] for x in html_text.blocks("<div><a href=x>one two</div><p>three four</p>")] == [(2, 2), (2, 0)]
+    assert [x[1:3] for x in html_text.blocks("<ul><li><a href=x>one<li>two</ul>three")] == [(1, 1), (1, 0), (1, 0)]
+
+
+def test_short_pages():
+    assert main_text("<body><h1>Closed today</h1><p>We are not open.</p><p>Come back tomorrow.</p></body>") == [
+        "Closed today", "We are not open.", "Come back tomorrow."]
+    assert main_text("<p>It works!</p>") == ["It works!"]
+    assert main_text("<nav><a href=1>Home</a></nav><p>Nothing here yet, sorry.</p><footer>All rights</footer>") == [
+        "Nothing here yet, sorry."]
+    assert main_text("<ul><li><a href=1>Home page</a><li><a href=2>News of today</a></ul>") == []
+
+
+def unmarked(page):
+    """The page without any mark: other tags for furniture and article, no attributes but links."""
+    body = re.sub(r"(?s)<(script|style|title|head)\b.*?</\1>", "", page)
+    body = re.sub(r"<(/?)(?:article|main|nav|header|footer|aside|section|form|button|label)\b[^>]*>", r"<\1div>", body)
+    return re.sub(r"<(?!a\b)(\w+)\s[^>]*>", r"<\1>", body)
+
+
+def test_words_and_links_alone(spark):
+    """On the given pages without their marks, the tree still finds most of the article."""
+    hit = kept = true = 0
+    for r in spark.read.parquet(f"{SF_MID}/pages.parquet").collect():
+        want = {b[0]: b[1] for b in html_text.blocks(re.search(r"(?s)<article>.*?</article>", r.html)[0])}
+        got = main_text(unmarked(r.html))
+        true += sum(want.values())
+        kept += sum(len(x.split()) for x in got)
+        hit += sum(len(x.split()) for x in got if x in want)
+    print(f"words found {hit / true:.3f}, of those kept {hit / kept:.3f}")
+    assert hit / true > 0.95 and hit / kept > 0.7
+
+
 def test_deep_marks():
     assert len(html_text.blocks("<div class=nav><form>" * 20000 + "text")) == 1
 

@@ -1,9 +1,11 @@
 """Main text of web pages from flat text blocks.
 
 A page is cut into text blocks at its block-level tags.  A block is described by
-the word counts and link densities of itself and its two neighbours, and by
-where it stands (in page furniture, in the article).  A decision tree, trained
-on the small labelled table below, tells the article's blocks from the rest.
+the word counts and link densities of itself and its two neighbours, the words of
+the page's longest block, and by where it stands (in page furniture, in the
+article).  A decision tree, trained on the small labelled tables below, tells the
+article's blocks from the rest: by place where tags tell it, else by the words and
+links of a block and its neighbours.
 Forms and names of classes and ids count as furniture unless what they hold
 shows that they hold main text (``_judge``).
 """
@@ -50,21 +52,36 @@ _COMMENT = re.compile(r"(?:comments?|reply|replies)(?:[_-].*)?", re.I)
 _COMMENT_ID = re.compile(r"(?:.*[_-])?comment[_-]?\d+", re.I)
 _SECTION_CLASS = re.compile(r"section|level[1-6]")
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: Open elements that an opening tag ends as their closing tag may be left out, up to the nearest of the others.
+_FLOW = ("div", "section", "article", "main", "body", "blockquote", "td", "th", "table", "form", "aside", "nav")
+_ENDED = {
+    **{t: ((("p",), (*_FLOW, "li", "dd")),) for t in (
+        "p", "div", "ul", "ol", "dl", "table", "section", "article", "main", "aside", "nav", "header", "footer", "form",
+        "blockquote", "pre", "figure", "hr", "address", "fieldset", "details", *_HEADINGS)},
+    "li": ((("li",), ("ul", "ol", "menu", *_FLOW)),),
+    "dt": ((("dt", "dd"), ("dl", *_FLOW)),), "dd": ((("dt", "dd"), ("dl", *_FLOW)),),
+    "tr": ((("tr", "td", "th"), ("table", "thead", "tbody", "tfoot")),),
+    "td": ((("td", "th"), ("tr", "table")),), "th": ((("td", "th"), ("tr", "table")),),
+    "option": ((("option",), ("select",)),), "tbody": ((("thead", "tbody", "tfoot"), ("table",)),),
+}
 #: A block of so many words and at most this share of them in links is a paragraph.
 _PARAGRAPH, _LINKED = 25, 0.3
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 FEATURES = ("words_before", "words", "words_after", "links_before", "links", "links_after",
-            "furniture", "article", "page_has_article")
+            "furniture", "article", "page_has_article", "longest")
 
 # Neighbours of a block: (words, share of words in links).
 _EDGE, _LINK, _SHORT, _LONG = (0, 0.0), (2, 1.0), (10, 0.0), (100, 0.0)
 _ANY = (_EDGE, _LINK, _SHORT, _LONG)
 
-#: Labelled blocks: furniture, article, page_has_article; words; share of words
-#: in links; neighbours on either side; 1 for main text.  Each line stands for
-#: all combinations of its values.
-LABELLED = (
+#: Words of the longest block on such pages: their tags tell, whatever it is.
+_LONGEST = (0, 8, 30, 200)
+
+#: Labelled blocks of pages whose tags tell: furniture, article, page_has_article;
+#: words; share of words in links; neighbours on either side; 1 for main text.
+#: Each line stands for all combinations of its values.
+MARKED = (
     # page furniture, whatever its length and place
     ((1, 0, 1), (1, 15, 100), (0.0, 1.0), _ANY, 0),
     ((1, 1, 1), (1, 15, 100), (0.0, 1.0), _ANY, 0),
@@ -75,19 +92,50 @@ LABELLED = (
     ((0, 1, 1), (1, 4), (1.0,), (_LINK,), 0),
     # beside the article that a page marks
     ((0, 0, 1), (1, 15, 100, 400), (0.0, 0.3, 1.0), _ANY, 0),
-    # pages that mark no article: long blocks, and short ones between them
-    ((0, 0, 0), (25, 100, 400), (0.0, 0.2), _ANY, 1),
-    ((0, 0, 0), (1, 8), (0.0,), (_LONG,), 1),
-    ((0, 0, 0), (1, 8), (0.0,), (_EDGE, _LINK, _SHORT), 0),
-    ((0, 0, 0), (1, 8, 25, 100), (0.8, 1.0), _ANY, 0),
+)
+#: Labelled pages whose tags tell nothing, one (words, share in links, 1 for main
+#: text) for each block in order: there, words and links of neighbours decide.
+UNMARKED = (
+    # a blog post: menu, title, paragraphs, tags, a form, the foot
+    ((1, 1, 0), (1, 1, 0), (2, 1, 0), (9, 0, 1), (62, .05, 1), (48, 0, 1), (7, 0, 1), (95, .1, 1), (31, 0, 1), (2, 1, 0),
+     (2, 1, 0), (3, 0, 0), (2, 0, 0), (8, .5, 0), (6, 0, 0)),
+    # news: sections, headline, lead, paragraphs, more stories
+    ((3, 1, 0), (2, 1, 0), (4, 1, 0), (12, 0, 1), (25, 0, 1), (40, 0, 1), (55, .02, 1), (38, 0, 1), (6, 0, 1), (44, 0, 1),
+     (10, 1, 0), (9, 1, 0), (11, 1, 0), (5, 0, 0), (4, .8, 0)),
+    # a manual: short headings between its paragraphs
+    ((1, 1, 0), (1, 1, 0), (1, 1, 0), (4, 0, 1), (33, 0, 1), (3, 0, 1), (27, .1, 1), (2, 0, 1), (70, 0, 1), (5, 0, 1),
+     (29, 0, 1), (2, 1, 0), (2, 1, 0)),
+    # an essay and nothing else
+    ((6, 0, 1), (120, 0, 1), (210, 0, 1), (180, 0, 1), (160, .01, 1)),
+    # a product among links and buttons
+    ((2, 1, 0), (2, 1, 0), (3, 1, 0), (2, 1, 0), (7, 0, 1), (85, 0, 1), (42, 0, 1), (3, 1, 0), (3, 1, 0), (2, 0, 0), (2, 0, 0),
+     (3, 1, 0)),
+    # an article, then teasers: a linked title and a line of each
+    ((8, 0, 1), (100, 0, 1), (90, 0, 1), (2, 0, 0), (4, 1, 0), (18, 0, 0), (5, 1, 0), (16, 0, 0), (4, 1, 0), (19, 0, 0)),
+    # talk: short lines between long ones
+    ((70, 0, 1), (5, 0, 1), (45, 0, 1), (8, 0, 1), (60, 0, 1)),
+    # pages of few words: a notice, one with a menu, single sentences, a sentence and a signature
+    ((4, 0, 1), (9, 0, 1), (7, 0, 1)),
+    ((1, 1, 0), (1, 1, 0), (1, 1, 0), (5, 0, 1), (11, 0, 1), (8, 0, 1), (2, 1, 0)),
+    ((6, 0, 1),), ((12, 0, 1),), ((3, 0, 1), (14, 0, 1)), ((2, 1, 0), (10, 0, 1), (2, 0, 1)),
+    ((5, 0, 1), (6, 0, 1), (4, 0, 1), (7, 0, 1), (5, 0, 1)),
+    # a list of links
+    ((2, 1, 0), (3, 1, 0), (4, 1, 0), (5, 1, 0), (3, 1, 0), (12, 1, 0)),
 )
 
 
-def labelled_table(lines: tuple = LABELLED) -> np.ndarray:
-    """The rows of the labelled table: FEATURES, then the label."""
-    return np.array([(before[0], words, after[0], before[1], links, after[1], *place, label)
-                     for place, counts, shares, sides, label in lines
-                     for words, links, before, after in product(counts, shares, sides, sides)], float)
+def labelled_table() -> np.ndarray:
+    """The rows of the labelled tables: FEATURES, then the label."""
+    rows = [(before[0], words, after[0], before[1], links, after[1], *place,
+             max(words * (links <= _LINKED and not place[0]), longest), label)
+            for place, counts, shares, sides, label in MARKED
+            for words, links, before, after, longest in product(counts, shares, sides, sides, _LONGEST)]
+    for page in UNMARKED:
+        around = [(0, 0.0), *[b[:2] for b in page], (0, 0.0)]
+        longest = max((w for w, share, _ in page if share <= _LINKED), default=0)
+        rows += [(before[0], words, after[0], before[1], links, after[1], 0, 0, 0, longest, label)
+                 for before, (words, links, label), after in zip(around, page, around[2:], strict=False)]
+    return np.array(rows, float)
 
 
 class Tree:
@@ -226,6 +274,13 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, int]]:
         parts.clear()
         linked = 0
 
+    def close(i: int) -> None:
+        """End the open elements from the i-th on; a link inside ends with them."""
+        nonlocal anchors
+        del stack[i:]
+        if anchors > 1 + len(stack):
+            anchors = 0
+
     def enter(tag: str, attrs: str) -> tuple[bool, int]:
         kind = _mark(tag, attrs, article)
         if kind:
@@ -246,19 +301,26 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, int]]:
                 at = _RAW[tag].search(page, at).end()
             continue
         if tag in _INLINE:
-            if tag == "a":
-                anchors = 0 if m["close"] else 1
+            if tag == "a":  # the depth it stands at: a link around blocks covers them all
+                anchors = 0 if m["close"] else 1 + len(stack)
             elif tag == "br":
                 parts.append(" ")
             continue
         end()
-        anchors = 0
         if m["close"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    del stack[i:]
+                    close(i)
                     break
-        elif tag not in _VOID and not m["attrs"].endswith("/") and tag not in ("p", "li"):
+        elif tag not in _VOID and not m["attrs"].endswith("/"):
+            for ends, within in _ENDED.get(tag, ()):  # tags that may be left out
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] in within:
+                        break
+                    if stack[i][0] in ends:
+                        close(i)
+                        break
+            furniture, article, outer, mark = stack[-1][1:] if stack else (False, 0, 0, -1)
             inside, inner = enter(tag, m["attrs"])
             if tag in ("article", "main"):
                 article = max(article, 1 + (tag == "article"))
@@ -266,8 +328,6 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, int]]:
                     outer = articles = articles + 1
             stack.append((tag, inside, article, outer, inner))
         furniture, article, outer, mark = stack[-1][1:] if stack else (False, 0, 0, -1)
-        if tag in ("p", "li") and not m["close"] and not furniture:
-            furniture, mark = enter(tag, m["attrs"])
     add(page[at:])
     end()
     judged = _judge([b[1:] for b in out], marks)
@@ -300,9 +360,11 @@ def features(found: list[list[tuple]]) -> tuple[np.ndarray, np.ndarray]:
     page = np.repeat(np.arange(len(found)), [len(x) for x in found])
     rows = np.array([b[1:] for x in found for b in x], float).reshape(-1, 4)
     words, links = rows[:, 0], rows[:, 1] / np.maximum(rows[:, 0], 1)
+    longest = np.zeros(len(found))
+    np.maximum.at(longest, page, np.where((links <= _LINKED) & (rows[:, 2] == 0), words, 0))
     marked = np.array([_has_article(x) for x in found], float)[page] if len(found) else words
     cols = [_shift(words, page, -1), words, _shift(words, page, 1), _shift(links, page, -1), links,
-            _shift(links, page, 1), rows[:, 2], (rows[:, 3] > 0) * marked, marked]
+            _shift(links, page, 1), rows[:, 2], (rows[:, 3] > 0) * marked, marked, longest[page]]
     return np.stack(cols, axis=1), page
 
 
