@@ -1,18 +1,17 @@
-"""Benchmark decontamination with positional postings made on the fly.
-
-Every task builds, for its share of the documents, the positional postings of
-the terms that the test items use: sorted (term, position) pairs.  A test
-phrase takes its rarest term's list, shifts it to the phrase start, and
-intersects it with the shifted lists of the next rarer terms until all terms
-are used.  Lists are intersected by binary search in the sorted postings.  The
-same lists answer proximity queries: one term has to stand in its place and
-every other within ``slop`` words of it, whichever term is the rarest.
-
-Postings are built for each slice of documents and not stored, so documents are
-never shuffled and a frequent term's postings are spread over all tasks; the rarest
-term is that of the slice.  The phrases are broadcast
-in blocks of ``block_windows``; a larger test set makes more passes over the
-documents, never a larger broadcast.
+"""Benchmark decontamination with a stored positional inverted index.
+
+``build_index`` reads the documents once and stores the postings of every token:
+for each term and each slice of about a batch of documents, the positions.  A
+frequent term has a row in every slice, so no list grows with the corpus.  A test
+phrase is looked up from its rarest term, by the counts of the whole corpus: the
+slices that hold that term are its candidates; there its lists, shifted to the
+phrase's start, are intersected from the rarest term on by binary search.  The same
+lists answer proximity queries: one term has to stand in its place and every other
+within ``slop`` words of it.
+
+Documents are not read again, whatever the number of test items; phrases meet
+postings in joins, and a task holds one slice's lists of the terms of at most about
+``block_windows`` phrases.
 """
 
 from __future__ import annotations
@@ -21,18 +20,25 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.common import arrow, table, written
+from tidemark.llm.common import arrow, document_key, spare, table, written
+from tidemark.session import shared_dir
 
 WINDOW = 10
-#: Phrases in one broadcast block (about 200 bytes each).
+#: Phrases looked up in a slice by one task, about.
 BLOCK_WINDOWS = 50_000
+#: Bytes of text in a slice of the index, at most (but for a longer text).
+SLICE_BYTES = 4_000_000
 #: Candidate places checked at once in a task.
 _CANDIDATES = 1_000_000
+#: Documents found (16 bytes each) whose keys are broadcast; more are joined.
+_SENT_KEYS = 1_000_000
 
 
 def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -65,11 +71,12 @@ def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
 class Index:
     """Sorted positional postings of the query terms in one slice."""
 
-    def __init__(self, term: np.ndarray, n_terms: int):
-        where = np.flatnonzero(term >= 0)
-        self.width = np.int64(len(term) + 1)
-        self.post = np.sort(term[where].astype(np.int64) * self.width + where)
-        self.first = np.searchsorted(self.post, np.arange(n_terms + 1, dtype=np.int64) * self.width)
+    def __init__(self, vocab: np.ndarray, lists: list[np.ndarray], n_words: int):
+        self.width = np.int64(n_words + 1)
+        number = np.repeat(np.arange(len(vocab)), [len(x) for x in lists])
+        at = np.concatenate([np.empty(0, np.int64), *lists]).astype(np.int64)
+        self.post = np.sort(number * self.width + at)
+        self.first = np.searchsorted(self.post, np.arange(len(vocab) + 1, dtype=np.int64) * self.width)
         self.count = np.diff(self.first)
 
     def places(self, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,62 +132,127 @@ def find(index: Index, terms: np.ndarray, length: np.ndarray, first: np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def search(block: tuple, column: pa.Array, slop: int = 0):
-    """(words, merged hit spans, items found exactly, items found with ``slop``)
-    of each text of a slice, given a block of phrases (see ``_blocks``)."""
-    items, owner, vocab, terms, length = block
-    n = len(column)
-    buf, off = tx.strings(column)
-    buf = tx.lower_ascii(buf)
-    start, end, doc = tx.words(buf, off, "alnum")
-    h = tx.word_hashes(buf, start, end).view(np.int64)
-    term = np.full(len(h), -1)
-    if len(vocab):
-        at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-        term = np.where(vocab[at] == h, at, -1)
-    edge = np.searchsorted(doc, np.arange(n + 1))
-    first, last = edge[:-1], edge[1:]
-    index = Index(term, len(vocab))
-    spans, exact = _by_document(find(index, terms, length, first, last, doc), owner, length, first, n)
-    near: list[list[int]] = [[] for _ in range(n)]
-    if slop:
-        p, _, d = find(index, terms, length, first, last, doc, slop)
-        near = _items_of(d, owner[p], n)
-    return last - first, spans, exact, near
-
-
-def _searcher(sent, slop: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = sent.value[0]
-        for batch in batches:
-            for part in tx.slices(batch, "text"):
-                n_words, spans, exact, near = search(sent.value, part.column(1), slop)
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
-                    pa.array([[items[i] for i in x] for x in exact], pa.list_(pa.string())),
-                    pa.array([[items[i] for i in x] for x in near], pa.list_(pa.string())),
-                ], ["doc_id", "n_words", "spans", "items", "near_items"])
+# ------------------------------------------------------------------ index
+
+def _indexer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the index: of each slice its documents (``doc``: number in the
+    slice), and its postings, by term; the row without a term has the documents'
+    first positions and the number of words."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for part in tx.slices(batch, "text", SLICE_BYTES):
+            n = part.num_rows
+            buf, off = tx.strings(part.column(1))
+            buf = tx.lower_ascii(buf)
+            start, end, owner = tx.words(buf, off, "alnum")
+            term = tx.word_hashes(buf, start, end).view(np.int64)
+            order = np.argsort(term, kind="stable")
+            cut = np.flatnonzero(np.concatenate([[True], term[order][1:] != term[order][:-1]])[:len(term)])
+            known = pa.array(term[order][cut])
+            first = np.searchsorted(owner, np.arange(n + 1))
+            at = np.concatenate([order, first]).astype(np.int32)
+            edge = np.concatenate([cut, [len(order), len(at)]])
+            m = len(cut) + 1
+            none = pa.nulls(m, part.schema.field(0).type)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(m, number)), pa.concat_arrays([known, pa.nulls(1, pa.int64())]),
+                pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(at)), pa.nulls(m, pa.int32()), none,
+                pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], _COLUMNS)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(n, number)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int32())),
+                pa.array(np.arange(n, dtype=np.int32)), part.column(0), part.column(2), part.column(3),
+                pa.array(np.diff(first))], _COLUMNS)
+            number += 1
+
+
+_COLUMNS = ["slice", "term", "at", "doc", "doc_id", "_d", "_h", "n_words"]
+
+
+def build_index(docs: DataFrame) -> str:
+    """Write the index of ``doc_id, text``; returns its folder.  A null text has no
+    words; every row is a document of its own."""
+    kind = dict(docs.dtypes)["doc_id"]
+    rows = docs.select("doc_id", "text", document_key(docs).alias("_d"), F.xxhash64("text").alias("_h"))
+    out = arrow(rows, _indexer, f"slice long, term long, at array<int>, doc int, doc_id {kind}, _d long, _h long, n_words long")
+    path = shared_dir(docs.sparkSession, "postings")
+    out.withColumn("kind", F.when(F.col("doc").isNull(), "terms").otherwise("docs")).write.option(
+        "compression", "zstd").partitionBy("kind").parquet(path)
+    return path
+
+
+def _part(spark: SparkSession, path: str, kind: str, columns: str) -> DataFrame:
+    """A half of the index; without rows there is no folder."""
+    whole = spark.read.schema(f"{columns}, kind string").parquet(path)
+    return whole.where(F.col("kind") == kind).drop("kind")
+
+
+# ------------------------------------------------------------------ look-up
+
+def _found(slop: int):
+    def run(postings: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        """Hits in one slice: ``postings`` (edges: where its documents begin, or the
+        list of a term), ``wanted`` (item, terms)."""
+        out = {"slice": [], "doc": [], "spans": [], "items": [], "near_items": []}
+        marks = postings[postings["edges"]]
+        if len(marks) and len(wanted):
+            edge = np.asarray(marks["at"].iloc[0], np.int64)
+            lists = postings[~postings["edges"]].sort_values("term")
+            vocab = lists["term"].to_numpy(np.int64)
+            index = Index(vocab, [np.asarray(x) for x in lists["at"]], int(edge[-1]))
+            first, last, n = edge[:-1], edge[1:], len(edge) - 1
+            doc = np.repeat(np.arange(n), np.diff(edge))
+            length = np.array([len(x) for x in wanted["terms"]], np.int64)
+            flat = np.concatenate([np.empty(0, np.int64), *wanted["terms"]]).astype(np.int64)
+            at = np.minimum(np.searchsorted(vocab, flat), max(len(vocab) - 1, 0))
+            flat = np.where(vocab[at] == flat, at, -1) if len(vocab) else np.full(len(flat), -1)
+            terms = np.full((len(wanted), int(length.max())), -1, np.int64)
+            terms[np.arange(terms.shape[1]) < length[:, None]] = flat
+            names = sorted(set(wanted["item"]))
+            owner = np.searchsorted(names, wanted["item"].to_numpy(str)) if names else np.empty(0, int)
+            spans, exact = _by_document(find(index, terms, length, first, last, doc), owner, length, first, n)
+            near: list[list[int]] = [[] for _ in range(n)]
+            if slop:
+                p, _, d = find(index, terms, length, first, last, doc, slop)
+                near = _items_of(d, owner[p], n)
+            hit = [i for i in range(n) if spans[i] or near[i]]
+            out = {"slice": [int(postings["slice"].iloc[0])] * len(hit), "doc": hit, "spans": [spans[i] for i in hit],
+                   "items": [[names[j] for j in exact[i]] for i in hit],
+                   "near_items": [[names[j] for j in near[i]] for i in hit]}
+        return pd.DataFrame({k: pd.Series(v, dtype="int64" if k in ("slice", "doc") else object) for k, v in out.items()})
     return run
 
 
-def _blocks(items: DataFrame, window: int, block_windows: int) -> Iterator:
-    """Broadcasts of at most about ``block_windows`` phrases each: item names,
-    each phrase's item, sorted vocabulary, phrases x terms, lengths."""
-    frame = phrases(items, window)
-    blocks = max(1, -(-frame.count() // block_windows))
-    for b in range(blocks):
-        part = frame if blocks == 1 else frame.where(
-            F.pmod(F.xxhash64("item", "terms"), F.lit(blocks)) == b)
-        rows = part.select("item", "terms").toPandas()
-        names = sorted(set(rows["item"]))
-        number = {x: i for i, x in enumerate(names)}
-        vocab = np.unique(np.concatenate([np.empty(0, np.int64), *rows["terms"]]))
-        length = np.array([len(x) for x in rows["terms"]], np.int64)
-        terms = np.full((len(rows), window), -1, np.int64)
-        for i, x in enumerate(rows["terms"]):
-            terms[i, :len(x)] = np.searchsorted(vocab, x)
-        owner = np.array([number[x] for x in rows["item"]], np.int64)
-        yield items.sparkSession.sparkContext.broadcast((names, owner, vocab, terms, length))
+def lookup(spark: SparkSession, path: str, items: DataFrame, window: int = WINDOW, slop: int = 0,
+           block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """``slice, doc, spans, items, near_items``: the documents of the index in which
+    phrases of the items are found (see ``matches``)."""
+    wanted = phrases(items, window).withColumn("id", F.xxhash64("item", "terms"))
+    groups = max(1, -(-wanted.count() // block_windows))
+    wanted = written(wanted.withColumn("block", F.pmod("id", F.lit(groups)).cast("int")), "phrases")
+    terms = wanted.select("block", "id", F.size("terms").alias("size"), F.explode("terms").alias("term"))
+    vocab = written(terms.select("term").distinct(), "phrase-terms")
+    postings = _part(spark, path, "terms", "slice long, term long, at array<int>")
+    lists = written(postings.join(vocab, "term", "left_semi"), "phrase-postings")
+    counts = lists.groupBy("term").agg(F.sum(F.size("at")).alias("n"))
+    # a phrase with a term that the corpus lacks is nowhere; the rarest term names the candidates
+    rarest = terms.distinct().join(counts, "term", "left").groupBy("block", "id").agg(
+        F.count_if(F.col("n").isNull()).alias("lacks"), F.min(F.struct("n", "term")).alias("rare")).where(
+        "lacks = 0").select("block", "id", F.col("rare.term").alias("term"))
+    found = rarest.join(lists.select("slice", "term"), "term").select("slice", "block", "id")
+    found = written(found.join(wanted.select("id", "item", "terms"), "id"), "phrase-candidates")
+    # the lists of a block's terms, where a phrase of the block has a candidate
+    places = written(found.select("slice", "block").distinct(), "phrase-slices")
+    needed = lists.join(terms.select("block", "term").distinct(), "term").join(places, ["slice", "block"], "left_semi")
+    marks = postings.where("term IS NULL").join(places, "slice")
+    # never a null term: pandas would hold the others as floats
+    rows = needed.select("slice", "block", F.lit(False).alias("edges"), "term", "at").unionByName(
+        marks.select("slice", "block", F.lit(True).alias("edges"), F.lit(0).cast("long").alias("term"), "at"))
+    hits = rows.groupBy("slice", "block").cogroup(found.groupBy("slice", "block")).applyInPandas(
+        _found(slop), "slice long, doc int, spans array<long>, items array<string>, near_items array<string>")
+    both = hits.groupBy("slice", "doc").agg(*[F.flatten(F.collect_list(c)).alias(c)
+                                              for c in ("spans", "items", "near_items")])
+    return both.select("slice", "doc", "spans", *[F.array_sort(F.array_distinct(c)).alias(c)
+                                                  for c in ("items", "near_items")])
 
 
 def _items_of(doc: np.ndarray, item: np.ndarray, n: int) -> list[list[int]]:
@@ -206,99 +278,82 @@ def _by_document(hits, owner, length, first, n: int):
     return spans, _items_of(d, owner[p], n)
 
 
+def _merged(spans: list) -> list[int]:
+    """A flat list of spans, merged."""
+    out: list[int] = []
+    for a, b in sorted(zip(spans[::2], spans[1::2], strict=True)):
+        if out and a <= out[-1]:
+            out[-1] = max(out[-1], b)
+        else:
+            out += [a, b]
+    return out
+
+
+def _indexed(docs: DataFrame, items: DataFrame, window: int, slop: int, block_windows: int) -> DataFrame:
+    """Documents of the index (``doc_id, _d, _h, n_words``) with what is found in
+    them; ``spans`` of several blocks follow each other, unmerged."""
+    spark, path = docs.sparkSession, build_index(docs)
+    own = _part(spark, path, "docs", f"slice long, doc int, doc_id {dict(docs.dtypes)['doc_id']}, _d long, _h long, "
+                                     "n_words long")
+    hits = written(lookup(spark, path, items, window, slop, block_windows), "phrase-hits")
+    return own.join(hits, ["slice", "doc"], "left").drop("slice", "doc")
+
+
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0,
             block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Exact phrase (and, if ``slop``, proximity) matches of the items.
 
-    Returns one row for each row of ``docs`` and block of phrases: ``doc_id,
-    n_words, spans`` (start and end word of each merged exact hit), ``items``
-    (ids found exactly), ``near_items`` (ids of which a phrase occurs with one
-    term in its place and each other at most ``slop`` words off, all in the
-    document; empty if ``slop`` is 0), ``block``.
+    Returns one row for each row of ``docs``: ``doc_id, n_words, spans`` (start
+    and end word of each merged exact hit), ``items`` (ids found exactly),
+    ``near_items`` (ids of which a phrase occurs with one term in its place and
+    each other at most ``slop`` words off, all in the document; empty if ``slop``
+    is 0).
 
     A null text has no words, and no item without words is ever found.  Words
     are compared by 64-bit hashes.  Repeated rows get a row each; ties do not
     arise.  An empty ``docs`` gives no rows, an empty ``items`` no hits.
     """
-    out = None
-    for b, sent in enumerate(_blocks(items, window, block_windows)):
-        got = arrow(docs.select("doc_id", "text"), _searcher(sent, slop),
-            f"doc_id {docs.select('doc_id').dtypes[0][1]}, n_words long, spans array<long>, "
-            "items array<string>, near_items array<string>").withColumn("block", F.lit(b))
-        out = got if out is None else out.unionByName(got)
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [_merged(x or []) for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.int64())),
+                                              batch.column(3), batch.column(4)], batch.schema.names)
+    none = F.array().cast("array<string>")
+    rows = _indexed(docs, items, window, slop, block_windows).select(
+        "doc_id", "n_words", "spans", F.coalesce("items", none).alias("items"),
+        F.coalesce("near_items", none).alias("near_items"))
+    return arrow(rows, run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, spans array<long>, items array<string>, "
+                            "near_items array<string>")
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW,
           block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """The rows of ``docs`` in which no phrase of the items occurs, unchanged."""
-    def keeper(sent):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in tx.slices(batch, "text"):
-                    spans = search(sent.value, part.column(part.schema.get_field_index("text")))[1]
-                    yield part.filter(pa.array([not x for x in spans], pa.bool_()))
-        return run
-    out, before = docs, None
-    for sent in _blocks(items, window, block_windows):
-        if before is not None:
-            out = written(arrow(out, keeper(before), docs.schema), "phrase-blocks")
-        before = sent
-    return arrow(out, keeper(before), docs.schema)
-
-
-def _union(x: list[int], y: list[int]) -> list[int]:
-    """Merged spans of two flat lists of spans."""
-    out: list[int] = []
-    for a, b in sorted([*zip(x[::2], x[1::2], strict=True), *zip(y[::2], y[1::2], strict=True)]):
-        if out and a <= out[-1]:
-            out[-1] = max(out[-1], b)
-        else:
-            out += [a, b]
-    return out
-
-
-def _adder(sent, digest: bool):
-    """Adds a block's hits to ``spans`` and ``items``, or gives the digests."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = sent.value[0]
-        for batch in batches:
-            for part in tx.slices(batch, "text"):
-                n_words, spans, exact, _ = search(sent.value, part.column(1))
-                spans = [_union(x, y) for x, y in zip(part.column(2).to_pylist(), spans, strict=True)]
-                items = [sorted({*x, *(names[i] for i in y)})
-                         for x, y in zip(part.column(3).to_pylist(), exact, strict=True)]
-                if not digest:
-                    yield pa.RecordBatch.from_arrays([
-                        part.column(0), part.column(1), pa.array(spans, pa.list_(pa.int64())),
-                        pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "spans", "items"])
-                    continue
-                hit = [sum(x[1::2]) - sum(x[::2]) for x in spans]
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(n_words, pa.int64()), pa.array(hit, pa.int64()),
-                    pa.array([len(x) for x in items], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
-                    pa.array([x > 0 for x in hit], pa.bool_()),
-                ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-    return run
+    found = _indexed(docs, items, window, 0, block_windows).where("spans IS NOT NULL")
+    d, h = spare(docs, "_d", "_h")
+    found = written(found.select(F.col("_d").alias(d), F.col("_h").alias(h)).distinct(), "contaminated")
+    if found.count() <= _SENT_KEYS:
+        found = F.broadcast(found)
+    rows = docs.withColumns({d: document_key(docs), h: F.xxhash64("text")})
+    return rows.join(found, [d, h], "left_anti").select(*docs.columns)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                   block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for each
-    row of ``docs`` (see ``matches`` for nulls, repeats and empty tables).  Each
-    block of phrases but the last is a written pass over the documents, so that
-    no task holds more than one."""
-    kind = docs.select("doc_id").dtypes[0][1]
-    rows = docs.select("doc_id", "text", F.array().cast("array<long>").alias("spans"),
-                       F.array().cast("array<string>").alias("items"))
-    before = None
-    for sent in _blocks(items, window, block_windows):
-        if before is not None:
-            rows = written(arrow(rows, _adder(before, False), rows.schema), "phrase-blocks")
-        before = sent
-    return arrow(rows, _adder(before, True), f"doc_id {kind}, n_words long, n_hit long, n_items long, "
-                                             "items_sha256 string, contaminated boolean")
+    row of ``docs`` (see ``matches`` for nulls, repeats and empty tables)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = [sum(x[1::2]) - sum(x[::2]) for x in (_merged(y or []) for y in batch.column(2).to_pylist())]
+            items = [x or [] for x in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()),
+                pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
+                pa.array([x > 0 for x in hit], pa.bool_()),
+            ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+    rows = _indexed(docs, items, window, 0, block_windows).select("doc_id", "n_words", "spans", "items")
+    return arrow(rows, run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_hit long, n_items long, "
+                            "items_sha256 string, contaminated boolean")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
