@@ -3,10 +3,12 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID
 from tidemark.operators import indicators as ind
 from tidemark.operators.ordered import Layout
+from tidemark.plans import fixtures as fx
 
 SMALL = Layout(block_seconds=3600 * 64, chunk_rows=1280)  # several chunks per series
 
@@ -99,3 +101,28 @@ def test_window_ema_matches_python_recursion(spark):
         for x in win[1:]:
             e = x * a + e * (1 - a)
         assert out["ema_5"][i] == pytest.approx(e, rel=1e-12)
+
+
+@pytest.mark.parametrize("spans", [(5, 20), (1, 2, 3), (2, 400), (9, 26, 100)])
+def test_ema_with_even_blocks(spark, spans):
+    """Without nulls, blocks of positions give what decaying blocks and pandas give,
+    also with short chunks and spans whose blocks differ."""
+    rng = np.random.default_rng(len(spans))
+    base = pd.Timestamp("2020-01-01")
+    rows = [(s, base + pd.Timedelta(hours=i), float(v)) for s, n in (("a", 5000), ("b", 3), ("c", 700))
+            for i, v in enumerate(100 + np.cumsum(rng.normal(size=n)))]
+    pdf = pd.DataFrame(rows, columns=["series", "bar_ts", "close"])
+    bars = spark.createDataFrame(pdf).withColumn("bar_ts", F.col("bar_ts").cast("timestamp_ntz"))
+    layout = Layout(block_seconds=512 * 3600, chunk_rows=1500)
+    for gaps in (False, None):
+        got = ind.ema(bars, layout, spans, gaps=gaps).toPandas().sort_values(["series", "bar_ts"]).reset_index(drop=True)
+        for n in spans:
+            want = pdf.groupby("series")["close"].transform(lambda x, n=n: x.ewm(span=n, adjust=False).mean())
+            assert np.abs(got[f"ema_{n}"] - want).max() < 1e-9
+
+
+def test_one_order_of_rows_for_all_averages(spark):
+    bars = fx.bars_hourly(spark, SF_MID)
+    plan = ind.technical_features(bars, gaps=False)._jdf.queryExecution().executedPlan().toString()
+    sorts = [x for x in plan.split("\n") if "Sort [" in x and "_chunk" in x]
+    assert len(sorts) == 2  # row frames, averages

@@ -15,7 +15,9 @@ linear, so it splits into blocks of adjoining observations, cut where the decay
 * y_i = loc_i + F_i * E, E the value at the end of the block before.  E needs no
   carry of its own: over a whole block it decays below 1e-17.
 
-Windows run over ``partitionBy(series, chunk, is null)``, the chunk's own
+Where inputs hold no nulls, blocks are runs of positions that all spans share, and
+one sort serves all of them (``even_columns``).  With nulls,
+windows run over ``partitionBy(series, chunk, is null)``, the chunk's own
 shuffle with another sort.  Rows without an observation take the last y.
 Chunks must be cut by observations (``with_halo(count=x)``): then
 ``horizon(span)`` halo positions make a chunk exact to 1e-17.
@@ -34,6 +36,8 @@ from tidemark.operators.ordered import CHUNK, POS, Layout
 _EPS = 1e-17
 #: Decay (as a negative logarithm) of a block; exp of it must be a double.
 _DECAY = 80.0
+#: Largest decay of a block of even positions.
+_RANGE = 600.0
 #: Most that one step counts; beyond it the old value is below _EPS anyway.
 _STEP = 40.0
 
@@ -53,15 +57,73 @@ def dbl(v: float) -> str:
     return f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
+def has_gaps(df: DataFrame, column: str) -> bool:
+    """Whether rows lack ``column`` (one aggregation; a cached frame is then in use)."""
+    return bool(df.agg(F.coalesce(F.max(F.col(column).isNull()), F.lit(False))).first()[0])
+
+
+def _even_groups(specs: Sequence[tuple[str, float, str]], least: int) -> list[tuple[int, list]]:
+    """(rows of a block, specs): blocks as long as the longest horizon (or ``least``),
+    with powers of the fastest decay over a block in a double's range."""
+    out: list[tuple[int, list]] = []
+    for spec in sorted(specs, key=lambda s: -s[1]):
+        q = 1.0 - alpha(spec[1])
+        if out and q > 0.0 and -math.log(q) * out[-1][0] <= _RANGE:
+            out[-1][1].append(spec)
+        else:
+            size = horizon(spec[1])
+            if size < least and (q <= 0.0 or -math.log(q) * least <= _RANGE):
+                size = least
+            out.append((size, [spec]))
+    return out
+
+
+def even_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]], layout: Layout,
+                 least: int = 0) -> DataFrame:
+    """EMA columns of inputs without nulls: blocks are runs of positions, the same
+    for all spans, so that every window of all of them has one order of rows and
+    the frame is sorted once.  A block's end value decays below 1e-17 over the next
+    block, so it only reaches one block on."""
+    df, outs = framed, {}
+    for size, group in _even_groups(specs, least):
+        block, n = f"_e{size}", f"pmod(`{POS}`, {size})"
+        df = df.withColumn(block, F.expr(f"`{POS}` div {size}"))
+        order = f"`{POS}`, `{layout.ts}` NULLS LAST"
+        inside = (f"PARTITION BY `{layout.series}`, `{CHUNK}`, `{block}` ORDER BY {order} "
+                  "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+        along = f"PARTITION BY `{layout.series}`, `{CHUNK}` ORDER BY `{block}`, {order}"
+        loc, end, last = {}, {}, {}
+        for x, span, out in group:
+            a, v = alpha(span), f"CAST(`{x}` AS DOUBLE)"
+            q = 1.0 - a
+            if q <= 0.0:
+                outs[out] = F.expr(v)
+                continue
+            first = f"CASE WHEN `{POS}` = 0 THEN {v} ELSE {dbl(a)} * {v} END"
+            loc[f"_loc_{out}"] = F.expr(f"pow({dbl(q)}, {n}) * sum(({first}) * pow({dbl(q)}, -{n})) OVER ({inside})")
+            end[f"_end_{out}"] = F.expr(f"CASE WHEN lead(`{block}`) OVER ({along}) <> `{block}` THEN `_loc_{out}` END")
+            last[f"_last_{out}"] = F.expr(
+                f"last(`_end_{out}`, true) OVER ({along} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+            outs[out] = F.expr(f"`_loc_{out}` + pow({dbl(q)}, {n} + 1) * coalesce(`_last_{out}`, {dbl(0.0)})")
+        for stage in (loc, end, last):
+            df = df.withColumns(stage) if stage else df
+    keep = [c for c in framed.columns if c not in outs]
+    return df.select(*keep, *[v.alias(k) for k, v in outs.items()])
+
+
 def ema_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]],
-                layout: Layout) -> DataFrame:
-    """Add EMA columns to a framed (position + chunk) DataFrame.
+                layout: Layout, gaps: bool = True, least: int = 0) -> DataFrame:
+    """Add EMA columns to a framed (position + chunk) DataFrame; without ``gaps``
+    no input may hold nulls (see ``even_columns``; ``least``: rows of a block that
+    another call has sorted by).
 
     ``specs`` = [(input column, span, output column)].  The frame's halo must
     hold ``horizon(span)`` observations.  Rows before the first observation get
     null.  Expressions are generated as SQL text: one parse per column instead
     of hundreds of driver round trips.
     """
+    if not gaps:
+        return even_columns(framed, specs, layout, least)
     w = layout.window_sql()
     order = w[w.index("ORDER BY"):]
     upto = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"

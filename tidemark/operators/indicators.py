@@ -185,10 +185,19 @@ def sma_partial_op(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
     return _run(bars, lambda f, w: f.withColumns(sma_cols(w, partial=True)), layout)
 
 
-def ema(bars: DataFrame, layout: Layout = HOURLY, spans=EMA_SPANS, x: str = "close") -> DataFrame:
+def _gaps(bars: DataFrame, gaps: bool | None, x: str = "close") -> tuple[bool, str | None]:
+    """(whether ``x`` has nulls, the column that positions count); None looks."""
+    gaps = _ema.has_gaps(bars, x) if gaps is None else gaps
+    return gaps, x if gaps else None
+
+
+def ema(bars: DataFrame, layout: Layout = HOURLY, spans=EMA_SPANS, x: str = "close",
+        gaps: bool | None = None) -> DataFrame:
+    """W7.  ``gaps``: whether ``x`` holds nulls (None: one aggregation looks)."""
+    gaps, count = _gaps(bars, gaps, x)
     halo = max(_ema.horizon(s) for s in spans)
     specs = [(x, s, f"ema_{s}") for s in spans]
-    return run_windows(bars, lambda f, w: _ema.ema_columns(f, specs, layout), halo, layout, count=x)
+    return run_windows(bars, lambda f, w: _ema.ema_columns(f, specs, layout, gaps), halo, layout, count=count)
 
 
 def ema_window(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
@@ -234,13 +243,17 @@ def volume_ratio_20(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
     return _run(bars, build, layout)
 
 
-def macd(bars: DataFrame, layout: Layout = HOURLY) -> DataFrame:
+def macd(bars: DataFrame, layout: Layout = HOURLY, gaps: bool | None = None) -> DataFrame:
+    """W16.  ``gaps`` as for ``ema``."""
+    gaps, count = _gaps(bars, gaps)
+
     def build(f, w):
         f = _ema.ema_columns(f, [("close", MACD_FAST, "ema_12"), ("close", MACD_SLOW, "ema_26")],
-                             layout)
+                             layout, gaps)
         f = f.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
-        return _ema.ema_columns(f, [("macd", MACD_SIGNAL, "macd_signal")], layout)
-    return run_windows(bars, build, EMA_HALO, layout, count="close")
+        return _ema.ema_columns(f, [("macd", MACD_SIGNAL, "macd_signal")], layout, gaps,
+                                _ema.horizon(MACD_SLOW))
+    return run_windows(bars, build, EMA_HALO, layout, count=count)
 
 
 def _pct_raw(w):
@@ -286,13 +299,17 @@ FEATURE_COLUMNS = [
 
 
 def technical_features(bars: DataFrame, layout: Layout = HOURLY,
-                       fill_zero: bool = True) -> DataFrame:
+                       fill_zero: bool = True, gaps: bool | None = None) -> DataFrame:
     """The 22 feature columns of the daily feature table in one plan.
 
     ``fill_zero`` reproduces the table's final null -> 0 step; with False the
     warm-up rows stay null (better input for correlations and models).
     ``ema_12`` is the true 12-span EMA (the source table stored MACD there).
+    ``gaps``: whether closes may be null; None looks with one aggregation (persist
+    bars that are costly to build).
     """
+    gaps, count = _gaps(bars, gaps)
+
     def build(f, w):
         f = f.withColumns({
             "_ret": _pct_raw(w),
@@ -314,11 +331,12 @@ def technical_features(bars: DataFrame, layout: Layout = HOURLY,
         })
         f = _ema.ema_columns(f, [("close", 5, "ema_5"), ("close", 20, "ema_20"),
                                  ("close", MACD_FAST, "ema_12"), ("close", MACD_SLOW, "_ema_26")],
-                             layout)
+                             layout, gaps)
         f = f.withColumn("macd", F.col("ema_12") - F.col("_ema_26"))
-        return _ema.ema_columns(f, [("macd", MACD_SIGNAL, "macd_signal")], layout)
+        return _ema.ema_columns(f, [("macd", MACD_SIGNAL, "macd_signal")], layout, gaps,
+                                _ema.horizon(MACD_SLOW))
 
-    out = run_windows(bars, build, EMA_HALO, layout, count="close")
+    out = run_windows(bars, build, EMA_HALO, layout, count=count)
     base = [c for c in bars.columns]
     out = out.select(*base, *FEATURE_COLUMNS)
     return fill_zero_op(out, FEATURE_COLUMNS) if fill_zero else out
