@@ -84,10 +84,12 @@ def even_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]], lay
     for all spans, so that every window of all of them has one order of rows and
     the frame is sorted once.  A block's end value decays below 1e-17 over the next
     block, so it only reaches one block on."""
-    df, outs = framed, {}
+    df, outs, blocks = framed, {}, []
     for size, group in _even_groups(specs, least):
         block, n = f"_e{size}", f"pmod(`{POS}`, {size})"
-        df = df.withColumn(block, F.expr(f"`{POS}` div {size}"))
+        if block not in df.columns:  # a later call on the result finds the same order of rows
+            df = df.withColumn(block, F.expr(f"`{POS}` div {size}"))
+            blocks.append(block)
         order = f"`{POS}`, `{layout.ts}` NULLS LAST"
         inside = (f"PARTITION BY `{layout.series}`, `{CHUNK}`, `{block}` ORDER BY {order} "
                   "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
@@ -107,7 +109,7 @@ def even_columns(framed: DataFrame, specs: Sequence[tuple[str, float, str]], lay
             outs[out] = F.expr(f"`_loc_{out}` + pow({dbl(q)}, {n} + 1) * coalesce(`_last_{out}`, {dbl(0.0)})")
         for stage in (loc, end, last):
             df = df.withColumns(stage) if stage else df
-    keep = [c for c in framed.columns if c not in outs]
+    keep = [c for c in framed.columns if c not in outs] + blocks
     return df.select(*keep, *[v.alias(k) for k, v in outs.items()])
 
 
