@@ -76,3 +76,31 @@ def test_kde_integrates_to_one(spark):
         g = g.sort_values("x")
         area = np.trapezoid(g["density"], g["x"])
         assert 0.98 < area < 1.01
+
+
+def test_correlations_of_many_keys(spark, monkeypatch):
+    """Keys dealt out in parts, gatherings of any size and a null key give pandas' values."""
+    from tidemark.operators import correlation as co
+    from tidemark.operators import moments
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame(rng.normal(size=(900, 4)), columns=list("abcd"))
+    pdf["b"] = pdf["a"] * 2 + rng.normal(size=900) * 0.1
+    pdf["d"] = 5.0
+    pdf.loc[rng.random(900) < 0.2, "c"] = np.nan
+    pdf["s"] = np.where(np.arange(900) < 500, "hot", np.where(rng.random(900) < 0.1, None, (np.arange(900) % 90).astype(str)))
+    df = spark.createDataFrame(pdf.astype({"s": object})).repartition(5)
+    monkeypatch.setattr(moments, "GATHERED", 300)
+    monkeypatch.setattr(co, "_SPLIT", 100)
+    for many in (False, True):
+        got = co.corr_long(df, ["s"], list("abcd"), many).toPandas()
+        for s, own in pdf.groupby("s", dropna=False):
+            want = own[list("abcd")].corr(min_periods=2)
+            part = got[got.s.isna()] if s is None or s != s else got[got.s == s]
+            for r in part.itertuples():
+                both = own[[r.column_1, r.column_2]].dropna()
+                assert r.n == len(both)
+                w = want.loc[r.column_1, r.column_2]
+                if "d" in (r.column_1, r.column_2) or len(both) < 2 or np.isnan(w):
+                    assert r.correlation is None or np.isnan(r.correlation)
+                else:
+                    assert abs(r.correlation - w) < 1e-9

@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import join_on
 from tidemark.operators.moments import gathered, grouped, products, reduced
 
 # Feature groups of the correlation report (our column names).
@@ -28,6 +29,7 @@ FEATURE_GROUPS = {
 }
 HIGH_CORR = 0.8
 _KEYS = 500
+_SPLIT = 50_000
 
 
 def _extremes(x: np.ndarray, ok: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,13 +70,26 @@ def _pair_moments(x: np.ndarray, start: np.ndarray) -> dict[str, np.ndarray]:
             **{k: out[m][:, j, i] for k, m in mirrored.items()}}
 
 
-def corr_long(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Keys + column_1, column_2, i, j, n, correlation for every ordered pair."""
+def _co_located(data: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Rows dealt out by key, those of a long one in parts of about ``_SPLIT`` rows."""
+    size = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    part = F.pmod(F.xxhash64(*values), F.ceil(F.col("_n") / _SPLIT))
+    return join_on(data, size, keys).repartition(*keys, part).drop("_n")
+
+
+def corr_long(df: DataFrame, keys: Sequence[str], columns: Sequence[str], many_keys: bool = False) -> DataFrame:
+    """Keys + column_1, column_2, i, j, n, correlation for every ordered pair.
+
+    ``many_keys``: there are so many keys that a task meets fewer rows of each than
+    there are columns.  Its moments would then be larger than the rows, so these are
+    dealt out by key first (which reads ``df`` twice: persist what is costly)."""
     keys = list(keys)
     cols = list(columns)
     values = [f"_v{i}" for i in range(len(cols))]
     data = df.select(*keys, *[F.col(c).cast("double").alias(v) for c, v in zip(cols, values, strict=True)])
 
+    if many_keys and keys:
+        data = _co_located(data, keys, values)
     i, j = np.tril_indices(len(cols))
 
     def moments(batches):

@@ -24,6 +24,17 @@ def align(actual: DataFrame, predicted: DataFrame, keys=("series", "bar_ts")) ->
     return actual.join(predicted, list(keys), "inner")
 
 
+def align_by_position(actual: DataFrame, predicted: DataFrame, skip: int = 0, value: str = "predicted",
+                      layout: Layout = HOURLY) -> DataFrame:
+    """E9 without common keys: within a series, the n-th row of ``predicted`` (its
+    column ``value``, in the order of its time) stands beside the n-th row of
+    ``actual`` behind the first ``skip`` ones (a window model predicts nothing for
+    those); the longer side is trimmed."""
+    rows = ordered.with_position(actual, layout).where(F.col(POS) >= skip).withColumn(POS, F.col(POS) - skip)
+    made = ordered.with_position(predicted.select(layout.series, layout.ts, value), layout).drop(layout.ts)
+    return join_on(rows, made, [layout.series, POS]).drop(POS)
+
+
 def residuals(df: DataFrame) -> DataFrame:
     """E7."""
     return df.select("series", "bar_ts", (F.col(A) - F.col(P)).alias("residual"))

@@ -56,6 +56,16 @@ def align_actual_predicted(spark, sf):
     return finish(ev.align(bars, pred))
 
 
+# E9 by position: 60 rows are skipped, as a window model's first; the longer side is trimmed
+@register("align_by_position", _fc_sql(
+    f"SELECT a.series, a.bar_ts, a.close, p.predicted FROM (SELECT *, row_number() {W} - 60 AS n FROM bars) a "
+    f"JOIN (SELECT *, row_number() {W} AS n FROM fc) p ON p.series = a.series AND p.n = a.n"), ["close", "predicted"])
+def align_by_position(spark, sf):
+    bars = fx.bars_hourly(spark, sf).select("series", "bar_ts", "close")
+    pred = forecast_frame(spark, sf).select("series", "bar_ts", "predicted")
+    return finish(ev.align_by_position(bars, pred, skip=60))
+
+
 # E1
 _E1 = ("SELECT series, count(*) AS n, avg((actual - predicted) * (actual - predicted)) AS mse, "
        "sqrt(avg((actual - predicted) * (actual - predicted))) AS rmse, "
