@@ -41,6 +41,14 @@ def test_quality_rules(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_quality_rules_on_long_texts(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(60_000)), "same words here\n" * 30_000, "x" * 1_000_000]
+    got = quality_rules.judge(frame(spark, list(enumerate(texts)))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()
+    assert sorted(map(tuple, got)) == [(i, *judged(t)) for i, t in enumerate(texts)]
+
+
 def hits(rows, items, window=10):
     grams = {}
     for i, t in items:
@@ -60,6 +68,20 @@ def hits(rows, items, window=10):
     return sorted(out, key=str)
 
 
+def test_the_index_is_looked_up_by_many_blocks(spark):
+    """A thousand phrases in blocks of three, slices of few documents, and long texts
+    across which positions must not leak."""
+    rng = random.Random(12)
+    vocab = [f"t{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choice(vocab) for _ in range(rng.choice([0, 3, 12, 200])))) for i in range(60)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.choice([1, 2, 3, 11])))) for i in range(120)]
+    items += [(200 + i, " ".join(rows[i][1].split()[4:18])) for i in range(60)]
+    docs, bench = frame(spark, rows).repartition(7), spark.createDataFrame(items, "item_id long, text string")
+    assert decontaminate.phrases(bench).count() > 200
+    got = decontaminate.decontaminate(docs, bench, block_windows=3)
+    assert sorted(map(tuple, got.collect()), key=str) == hits(rows, items)
+
+
 @pytest.mark.parametrize("block", [50_000, 7])
 def test_decontamination(spark, block):
     rows = awkward()

@@ -86,7 +86,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     """``doc_id, _d, _h, n_words, n_removed, kept_sha256, kept`` for every row:
     words in windows whose word sequence also starts earlier (smaller ``doc_id``,
     or the same document and an earlier start) are removed; ``kept`` joins the
-    others by one space (null unless ``keep_text``).
+    others by one space (null unless ``keep_text``).  ``window`` may be at most 511
+    words longer than ``gram`` (else ValueError).
 
     A null text has no words.  Rows that repeat an id and a text are one
     document: each gets its result.  Rows that share an id but not the text are

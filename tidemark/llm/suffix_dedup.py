@@ -153,7 +153,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` for every row:
     each UTF-8 byte covered by a ``window``-byte string that also starts anywhere
     else is removed, all copies alike; ``kept`` holds the remaining bytes (which
-    may end inside a character; null unless ``keep_text``).
+    may end inside a character; null unless ``keep_text``).  ``window`` may be at
+    most 511 bytes longer than ``gram`` (else ValueError).
 
     A null text counts as empty.  Rows that repeat an id and a text are one
     document: they don't repeat each other, and each gets its result.  Rows that
